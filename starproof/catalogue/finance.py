@@ -12,7 +12,7 @@ from starproof.sources.warehouse import DELIVERED, star
 
 
 def _lines(spark, sf_dir, axes, filters=facts.NO_FILTERS, cost=True):
-    return facts.delivered_lines(star(spark, sf_dir, budget=False), axes, filters, DELIVERED, cost)
+    return facts.delivered_lines(star(spark, sf_dir), axes, filters, DELIVERED, cost)
 
 
 _AMOUNTS = f"{dbl('sum(revenue)')} AS revenue, {dbl('sum(margin)')} AS margin, {RATE} AS margin_rate_pct"
@@ -218,7 +218,7 @@ UNION ALL SELECT DISTINCT 'region', r_name FROM region
 UNION ALL SELECT DISTINCT 'segment', c_mktsegment FROM customer
 UNION ALL SELECT DISTINCT 'salesperson', s_name FROM supplier""")
 def filter_options(spark, sf_dir):
-    options = views.filter_options(star(spark, sf_dir, budget=False), DELIVERED)
+    options = views.filter_options(star(spark, sf_dir), DELIVERED)
     parts = [df.select(F.lit(axis).alias("axis"), F.col(axis).alias("choice")) for axis, df in options.items()]
     out = parts[0]
     for part in parts[1:]:
@@ -271,7 +271,7 @@ FROM (SELECT l_partkey, CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_dis
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F') x
 JOIN part p ON x.l_partkey = p.p_partkey GROUP BY 1""")
 def share_of_total_by_brand(spark, sf_dir):
-    s = star(spark, sf_dir, budget=False)
+    s = star(spark, sf_dir)
     s["dim_product"] = s["dim_product"].withColumn("category", F.col("subcategory"))
     totals = facts.rollup_sum(facts.delivered_lines(s, ["category"], delivered=DELIVERED, cost=False), ["category"])
     shares = ranking.with_share(totals).withColumnRenamed("category", "subcategory")
