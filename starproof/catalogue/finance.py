@@ -167,9 +167,8 @@ summary AS (SELECT {dbl('t.revenue')} AS revenue, {dbl('t.margin')} AS margin, {
 
 def summary_of(spark, sf_dir):
     s = star(spark, sf_dir)
-    base = facts.delivered_lines(s, ["month", "year", "customer_code"], delivered=DELIVERED)
-    per_customer = facts.rollup_sum(base, ["month", "year", "customer_code"])
-    return views.summary(views.monthly(per_customer), views.by_year(per_customer), views.budget_monthly(per_customer, s))
+    years = views.by_year(facts.delivered_lines(s, ["year", "customer_code"], delivered=DELIVERED))
+    return views.summary(years, views.budget_totals(s))
 
 
 @query("summary", f"WITH {BASE}, {BUDGET}, {SUMMARY} SELECT * FROM summary")

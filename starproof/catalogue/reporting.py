@@ -59,8 +59,7 @@ def mom_variation(spark, sf_dir):
 @query("average_basket", f"""WITH {BASE}, m AS (SELECT month, sum(revenue) AS r, count(revenue) AS n FROM base GROUP BY 1)
 SELECT month, greatest(n, 1) AS valid_lines, {dbl('r')} / greatest(n, 1) AS average_basket FROM m ORDER BY month""")
 def average_basket(spark, sf_dir):
-    lines = _lines(spark, sf_dir)
-    return reporting.average_basket(lines, reporting.revenue_by_month(lines))
+    return reporting.average_basket(_lines(spark, sf_dir))
 
 
 @query("top10_salespeople", f"WITH {BASE}, {_REP} SELECT * FROM by_rep ORDER BY revenue DESC, salesperson LIMIT 10")
@@ -86,8 +85,17 @@ SELECT total_revenue, n AS valid_line_count, total_revenue / n AS average_basket
        best.*, worst.*, last_mom_growth_pct, top.*, (SELECT count(*) FROM by_rep) AS active_salespeople
 FROM tot, best, worst, top, latest""")
 def dashboard_kpis(spark, sf_dir):
-    lines, by_month, by_rep = reporting.reporting_views(star(spark, sf_dir), DELIVERED)
-    return reporting.dashboard_kpis(lines, by_month, by_rep)
+    return reporting.dashboard_kpis(_lines(spark, sf_dir))
+
+
+@query("basket_join", f"""WITH {BASE}, m AS (SELECT month, sum(revenue) AS r, count(*) AS n FROM base GROUP BY 1)
+SELECT month, CASE WHEN month < '1997' THEN n ELSE 1 END AS valid_lines,
+       {dbl('r')} / CASE WHEN month < '1997' THEN n ELSE 1 END AS average_basket FROM m ORDER BY month""")
+def basket_join(spark, sf_dir):
+    """Counts known for the first years only: the other months divide by one."""
+    lines = _lines(spark, sf_dir)
+    known = lines.filter("month < '1997'").groupBy("month").agg(F.count("amount").alias("n"))
+    return reporting.basket_of(reporting.revenue_by_month(lines), known)
 
 
 @query("period_bounds", f"""WITH {BASE}, b AS (SELECT min(month) AS first_month, max(month) AS last_month FROM base)

@@ -13,7 +13,7 @@ from starproof.operators.cleaning import prepare
 from starproof.operators.schema import union_by_name
 from starproof.plans import publish, views
 from starproof.sources import files, readers
-from starproof.sources.store import shared_dir
+from starproof.sources.store import materialise, shared_dir
 from starproof.sources.warehouse import DELIVERED, star, table
 
 _LABELS = specs.BUDGET_LAYOUT.month_labels
@@ -44,7 +44,7 @@ def budget_wide_subtotals(spark, sf_dir):
 def _grid(spark, sf_dir):
     """Both metrics as landed sheets: title, empty row, header, then region blocks
     whose region is written on the first row only, each closed by a subtotal."""
-    budget = _budget(spark, sf_dir)
+    budget = materialise(_budget(spark, sf_dir), "budget")
     sheets = []
     for sheet, metric in specs.BUDGET_LAYOUT.sheet_metrics:
         wide = reshape.budget_to_wide(budget, metric).withColumn("sheet", F.lit(sheet))
@@ -68,9 +68,10 @@ def _grid(spark, sf_dir):
             F.struct(F.lit(3).cast("bigint").alias("row"), F.array(*texts).alias("cells")),
         )).alias("r"),
     ).select("year", "sheet", "r.row", "r.cells")
-    return top.unionByName(body).select(
+    grid = top.unionByName(body).select(
         F.format_string("file:/landing/budget_%d.parquet", "year").alias("file"), "sheet", "row", "cells"
     )
+    return materialise(grid, "budget-grid")
 
 
 _LONG = f"""SELECT period, region_name, category, {dbl('round(budget_revenue)')} AS budget_revenue, {dbl('round(budget_margin)')} AS budget_margin

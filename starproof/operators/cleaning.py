@@ -13,14 +13,14 @@ SALES_KEY = ("order_id", "line_id")
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str], copies: str | None = None) -> DataFrame:
-    """One row per key, the first in ``order``.
+    """One row per key, the first in ``order`` (ties: the smallest row).
 
     Written as an aggregate rather than a ranked window: copies collapse inside
     each map task, so a key that holds a third of the rows never reaches a
     single task whole. ``copies`` adds the number of rows each survivor stands for.
     """
-    rest = [c for c in df.columns if c not in keys]
-    survivor = F.min_by(F.struct(*rest), F.struct(*order)).alias("_survivor")
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    survivor = F.min(F.struct(*order, *rest)).alias("_survivor")
     count = [F.count(F.lit(1)).alias(copies)] if copies else []
     picked = df.groupBy(*keys).agg(survivor, *count)
     columns: list[Column] = [F.col(c) if c in keys else F.col(f"_survivor.{c}").alias(c) for c in df.columns]
@@ -37,7 +37,8 @@ def audit_sales(raw: DataFrame, order: list[str]) -> DataFrame:
 
     The order matters to the audit: copies go first, then values are read, then
     the counters are taken, and only afterwards undated lines leave. ``_copies``
-    is the number of raw rows behind a line, ``_bad_*`` flag unreadable values.
+    is the number of raw rows behind a line. Everything passed in travels through
+    the shuffle, so pass only the columns that are needed.
     """
     lines = keep_first(raw, list(SALES_KEY), order, copies="_copies")
     typed = {
@@ -46,7 +47,7 @@ def audit_sales(raw: DataFrame, order: list[str]) -> DataFrame:
         "quantity": parsing.whole_number(F.col("quantity")),
         "discount_rate": parsing.points_to_rate(F.col("discount_rate")),
     }
-    names = [f.name for f in specs.SALES.fields]
+    names = [f.name for f in specs.SALES.fields if f.name in raw.columns]
     return lines.select(*[typed.get(n, F.col(n)).alias(n) for n in names], "_copies")
 
 

@@ -10,8 +10,15 @@ from starproof.sources.store import materialise
 
 
 def grand_total(df: DataFrame, column: str) -> Column:
-    """Total of ``column`` as a scalar subquery; the aggregate below it is reused."""
-    return df.select(F.sum(column)).scalar()
+    """Total of ``column`` over the grouped frame ``df``, as a scalar subquery.
+
+    The subquery asks for every measure of ``df``, so both uses of ``df`` keep the
+    same partial aggregate and its shuffle runs once (a pruned copy would differ
+    and scan the facts again). Pass a frame without unused measures.
+    """
+    measures = [c for c, kind in df.dtypes if c != column and kind.startswith(("decimal", "bigint", "double"))]
+    whole = df.select(F.struct(F.sum(column).alias("total"), *[F.max(c) for c in measures]))
+    return whole.scalar()["total"]
 
 
 def with_share(df: DataFrame, column: str = "revenue", name: str = "revenue_share_pct") -> DataFrame:

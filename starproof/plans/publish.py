@@ -102,7 +102,7 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
 
 
 def published_tables(
-    finance: Mapping[str, DataFrame], lines: DataFrame, by_month: DataFrame, by_rep: DataFrame, report: DataFrame
+    finance: Mapping[str, DataFrame], lines: DataFrame, by_month: DataFrame, report: DataFrame
 ) -> dict[str, DataFrame]:
     """The nine-table set, in reading order."""
     pareto = reporting.customers_for_share(finance["client_pareto"])
@@ -113,7 +113,7 @@ def published_tables(
         "customers_and_segments": finance["by_segment"].select(
             "*", pareto.select("customers_for_share").scalar().alias("customers_for_80_pct")
         ),
-        "dashboard": reporting.dashboard_kpis(lines, by_month, by_rep),
+        "dashboard": reporting.dashboard_kpis(lines),
         "by_month": monthly_export(by_month),
         "by_salesperson": finance["by_salesperson"],
         "annex_lines": lines,
@@ -133,11 +133,11 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, stamp: str | None = Non
     expected = readers.read_manifest(spark, raw_dir).select("attendus_apres_nettoyage.*")
     proof = checks.reconcile(loaded.star, loaded.reports, expected)
     report = spark.createDataFrame(checks.gate(proof), proof.schema)
-    lines, by_month, by_rep = reporting.reporting_views(loaded.star)
-    by_month = by_month.persist()
+    lines = reporting.reporting_lines(loaded.star)
+    by_month = reporting.revenue_by_month(lines).persist()
     finance = views.build_views(loaded.star)
     staging, final = output_paths(by_month, out_dir, stamp)
-    write_set({**published_tables(finance, lines, by_month, by_rep, report), **_detail(finance)}, staging)
+    write_set({**published_tables(finance, lines, by_month, report), **_detail(finance)}, staging)
     commit(spark, staging, final)
     finance.release()
     by_month.unpersist()

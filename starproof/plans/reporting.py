@@ -95,54 +95,69 @@ def top_salespeople(by_salesperson: DataFrame, n: int = 10) -> DataFrame:
     return by_salesperson.orderBy(F.col("revenue").desc(), "salesperson").limit(n)
 
 
-def average_basket(lines: DataFrame, by_month: DataFrame) -> DataFrame:
+def average_basket(lines: DataFrame) -> DataFrame:
     """Revenue per valid line and month; a month without a valid line divides by one."""
-    valid = lines.filter(F.col("amount").isNotNull()).groupBy("month").agg(F.count(F.lit(1)).alias("n"))
-    lines_in_month = F.greatest(F.coalesce(F.col("n"), F.lit(1)), F.lit(1))
-    return by_month.join(valid, "month", "left").select(
-        "month", lines_in_month.cast("bigint").alias("valid_lines"),
-        (F.col("revenue") / lines_in_month).alias("average_basket"),
+    per_month = lines.filter(F.col("month").isNotNull()).groupBy("month").agg(
+        m.as_double(m.sum_or_zero(F.col("amount"))).alias("revenue"), F.count("amount").alias("n")
+    )
+    divisor = F.greatest(F.col("n"), F.lit(1))
+    return per_month.select(
+        "month", divisor.alias("valid_lines"), (F.col("revenue") / divisor).alias("average_basket")
+    ).orderBy("month")
+
+
+def basket_of(by_month: DataFrame, valid_lines: DataFrame) -> DataFrame:
+    """The same from a monthly table and separate line counts (month, n): unknown counts as one."""
+    divisor = F.greatest(F.coalesce(F.col("n"), F.lit(1)), F.lit(1))
+    return by_month.join(valid_lines, "month", "left").select(
+        "month", divisor.cast("bigint").alias("valid_lines"), (F.col("revenue") / divisor).alias("average_basket")
     ).orderBy("month")
 
 
-def dashboard_kpis(lines: DataFrame, by_month: DataFrame, by_salesperson: DataFrame) -> DataFrame:
-    """Thirteen indicators in one row; ties go to the earliest month and first name."""
-    total = lines.agg(
-        m.as_double(m.sum_or_zero(F.col("amount"))).alias("total_revenue"),
-        F.count("amount").alias("valid_line_count"),
+def dashboard_kpis(lines: DataFrame) -> DataFrame:
+    """Thirteen indicators in one row; ties go to the earliest month and first name.
+
+    Months, salespeople and the grand total come from one pass over the lines
+    (grouping sets); the indicators are one aggregate over those few rows.
+    """
+    month, rep = F.col("month"), F.col("salesperson")
+    sets = lines.groupingSets([[month], [rep], []], month, rep).agg(
+        F.grouping_id("month", "salesperson").alias("_set"),
+        m.as_double(m.sum_or_zero(F.col("amount"))).alias("revenue"), F.count("amount").alias("n"),
+    )
+    revenue = F.col("revenue")
+    of_month, of_rep, of_all = (
+        (F.col("_set") == 1) & month.isNotNull(), (F.col("_set") == 2) & rep.isNotNull(), F.col("_set") == 3,
     )
-    revenue, month = F.col("revenue"), F.col("month")
-    ranked = by_month.select(
-        "month", "revenue", F.lag("revenue").over(_months()).alias("previous"),
-        F.row_number().over(_months(F.col("revenue").desc(), "month")).alias("best"),
-        F.row_number().over(_months(F.col("revenue").asc(), "month")).alias("worst"),
+    pair = F.struct("month", "revenue")
+    largest, smallest = F.struct((-revenue).alias("r"), month), F.struct(revenue, month)
+    # a calendar-bounded list: the two latest months are its last elements
+    history = F.array_sort(F.collect_list(F.when(of_month, pair)))
+    framed = sets.agg(
+        F.max(F.when(of_all, revenue)).alias("total_revenue"),
+        F.max(F.when(of_all, F.col("n"))).alias("valid_line_count"),
+        F.count_if(of_month).alias("active_months"),
+        F.min_by(pair, F.when(of_month, largest)).alias("best"),
+        F.min_by(pair, F.when(of_month, smallest)).alias("worst"),
+        history.alias("history"),
+        F.count_if(of_rep).alias("active_salespeople"),
+        F.min_by(F.struct("salesperson", "revenue"), F.when(of_rep, F.struct((-revenue).alias("r"), rep))).alias("top"),
     )
-    months = ranked.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("active"),
-            F.max(F.when(F.col("best") == 1, F.struct(month, revenue))).alias("best"),
-            F.max(F.when(F.col("worst") == 1, F.struct(month, revenue))).alias("worst"),
-            # the last month's own change: NULL when it has no usable previous month
-            F.max_by(F.struct(_change(revenue, F.col("previous")).alias("pct")), month).alias("last"),
-        )
-    ).scalar()
-    first_name = F.min_by(F.struct("salesperson", "revenue"), F.struct((-revenue).alias("r"), F.col("salesperson")))
-    reps = by_salesperson.agg(F.struct(F.count(F.lit(1)).alias("active"), first_name.alias("top"))).scalar()
-    framed = total.select("*", months.alias("m"), reps.alias("s"))
+    last = F.try_element_at("history", F.lit(-1))["revenue"]
+    previous = F.try_element_at("history", F.lit(-2))["revenue"]
+
+    def per(count: str):
+        return F.coalesce(F.try_divide("total_revenue", count), F.lit(0.0))
+
     return framed.select(
-        "total_revenue",
-        "valid_line_count",
-        F.coalesce(F.try_divide("total_revenue", "valid_line_count"), F.lit(0.0)).alias("average_basket"),
-        F.coalesce(F.try_divide(F.col("total_revenue"), F.col("m.active")), F.lit(0.0)).alias("monthly_avg_revenue"),
-        F.col("m.active").alias("active_months"),
-        F.col("m.best.month").alias("best_month"),
-        F.col("m.best.revenue").alias("best_month_revenue"),
-        F.col("m.worst.month").alias("worst_month"),
-        F.col("m.worst.revenue").alias("worst_month_revenue"),
-        F.col("m.last.pct").alias("last_mom_growth_pct"),
-        F.col("s.top.salesperson").alias("top_salesperson"),
-        F.col("s.top.revenue").alias("top_salesperson_revenue"),
-        F.col("s.active").alias("active_salespeople"),
+        "total_revenue", "valid_line_count",
+        per("valid_line_count").alias("average_basket"), per("active_months").alias("monthly_avg_revenue"),
+        "active_months",
+        F.col("best.month").alias("best_month"), F.col("best.revenue").alias("best_month_revenue"),
+        F.col("worst.month").alias("worst_month"), F.col("worst.revenue").alias("worst_month_revenue"),
+        _change(last, previous).alias("last_mom_growth_pct"),
+        F.col("top.salesperson").alias("top_salesperson"), F.col("top.revenue").alias("top_salesperson_revenue"),
+        "active_salespeople",
     )
 
 

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from starproof import specs
 from starproof.functions import measures as m
 from starproof.operators.facts import NO_FILTERS, Filters, delivered_lines, rollup_sum
-from starproof.operators.ranking import grand_total, running_share, with_share
+from starproof.operators.ranking import running_share, with_share
+from starproof.sources.store import materialise
 
 _RATE = "margin_rate_pct"
 CUBE_AXES = ("month", "year", "category", "region", "segment", "discount_band")
@@ -35,9 +36,8 @@ def _by_revenue(df: DataFrame, *ties: str) -> DataFrame:
 
 
 def _by_axis(base: DataFrame, axis: str, share: bool) -> DataFrame:
-    totals = _with_rate(rollup_sum(base, [axis]))
-    if share:
-        totals = with_share(totals)
+    totals = rollup_sum(base, [axis]).select(axis, "revenue", "margin")
+    totals = _with_rate(with_share(totals) if share else totals)
     columns = [axis, "revenue", "margin", _RATE, *(["revenue_share_pct"] if share else [])]
     return _doubles(totals.select(*columns), "revenue", "margin")
 
@@ -69,14 +69,14 @@ def by_segment(base: DataFrame) -> DataFrame:
         F.sum("revenue").alias("revenue"), F.sum("margin").alias("margin"),
         F.countDistinct("customer_code").alias("customers"),
     )
-    view = with_share(_with_rate(per_segment)).select(
+    view = _with_rate(with_share(per_segment)).select(
         "segment", "revenue", "margin", _RATE, "customers", "revenue_share_pct"
     )
     return _by_revenue(_doubles(view, "revenue", "margin"), "segment")
 
 
 def by_discount_band(base: DataFrame) -> DataFrame:
-    bands = with_share(_with_rate(rollup_sum(base, ["discount_band"])))
+    bands = _with_rate(with_share(rollup_sum(base, ["discount_band"])))
     return (
         _doubles(bands, "revenue")
         .orderBy(F.col("min_discount").asc_nulls_last(), "discount_band")
@@ -84,17 +84,22 @@ def by_discount_band(base: DataFrame) -> DataFrame:
     )
 
 
-def budget_by(
-    base: DataFrame, star: dict[str, DataFrame], axis: str, filters: Filters = NO_FILTERS
-) -> DataFrame:
-    """Actual against budget along ``month`` or ``region``: full outer, budget missing stays NULL."""
+def _planned(star: dict[str, DataFrame], filters: Filters) -> DataFrame:
+    """Budget rows with their region name; only month and region filters apply to them."""
     regions = star["dim_region"].select("region_code", F.col("region_name").alias("region"))
     budget = star["fact_budget"].withColumnRenamed("period", "month")
     if filters.months:
         budget = budget.filter(F.col("month").isin(*filters.months))
     if filters.regions:
         regions = regions.filter(F.col("region").isin(*filters.regions))
-    planned = budget.join(regions, "region_code").groupBy(axis).agg(
+    return budget.join(regions, "region_code")
+
+
+def budget_by(
+    base: DataFrame, star: dict[str, DataFrame], axis: str, filters: Filters = NO_FILTERS
+) -> DataFrame:
+    """Actual against budget along ``month`` or ``region``: full outer, budget missing stays NULL."""
+    planned = _planned(star, filters).groupBy(axis).agg(
         F.sum("budget_revenue").alias("budget_revenue"), F.sum("budget_margin").alias("budget_margin"),
     )
     actual = rollup_sum(base, [axis]).select(axis, F.col("revenue").alias("actual_revenue"), F.col("margin").alias("actual_margin"))
@@ -137,14 +142,18 @@ def years_of(base: DataFrame) -> list[str]:
 
 
 def category_mix(base: DataFrame, years: Sequence[str] | None = None) -> DataFrame:
-    """Revenue share of each category inside each year, one ``part_<year>`` column per year."""
-    cells = rollup_sum(base, ["category", "year"])
+    """Revenue share of each category inside each year, one ``part_<year>`` column per year.
+
+    The category x year cells are stored once: they give the pivot its columns,
+    the yearly totals and the shares without going back to the facts.
+    """
+    cells = materialise(rollup_sum(base, ["category", "year"]).select("category", "year", "revenue"), "mix")
     per_year = cells.groupBy("year").agg(F.sum("revenue").alias("year_revenue"))
     shares = cells.join(per_year, "year").select(
         "category", F.concat(F.lit("part_"), "year").alias("column"),
         m.pct(F.col("revenue"), F.col("year_revenue")).alias("share"),
     )
-    columns = [f"part_{y}" for y in (years if years is not None else years_of(base))]
+    columns = [f"part_{y}" for y in (years if years is not None else years_of(cells))]
     return shares.groupBy("category").pivot("column", columns).agg(F.first("share")).orderBy(
         F.col("category").asc_nulls_last()
     )
@@ -161,40 +170,38 @@ def client_pareto(base: DataFrame, with_code: bool = False) -> DataFrame:
 def client_top(base: DataFrame, n: int = 15, by: Sequence[str] = ("company_name", "segment")) -> DataFrame:
     """The ``n`` largest customers. Grouping is by name and segment, so homonyms merge
     unless ``by`` adds the customer code."""
-    totals = rollup_sum(base, list(by))
-    top = _with_rate(totals.withColumn("revenue_share_pct", m.pct(F.col("revenue"), grand_total(totals, "revenue"))))
+    top = _with_rate(with_share(rollup_sum(base, list(by)).select(*by, "revenue", "margin")))
     return _by_revenue(_doubles(top, "revenue").select(*by, "revenue", "revenue_share_pct", _RATE), *by).limit(n)
 
 
-def summary(monthly_view: DataFrame, by_year_view: DataFrame, budget_view: DataFrame) -> DataFrame:
+def budget_totals(star: dict[str, DataFrame], filters: Filters = NO_FILTERS) -> DataFrame:
+    """Planned revenue and margin of the filtered scope, one row, 0 when there is none."""
+    return _planned(star, filters).agg(
+        m.sum_or_zero(F.col("budget_revenue")).alias("revenue"), m.sum_or_zero(F.col("budget_margin")).alias("margin")
+    )
+
+
+def summary(by_year_view: DataFrame, plan_totals: DataFrame) -> DataFrame:
     """One row of totals, variances and first-to-last-year growth.
 
-    ``active_customers`` is the best year's count, not a distinct count over the period.
+    The years partition the delivered lines, so their sums are the totals and one
+    pass over that small view gives everything but the plan. ``active_customers``
+    is the best year's count, not a distinct count over the period.
     """
-    totals = monthly_view.agg(
-        m.sum_or_zero(F.col("revenue").cast("decimal(38,6)")).alias("revenue"),
-        m.sum_or_zero(F.col("margin").cast("decimal(38,6)")).alias("margin"),
-    )
-    plan = budget_view.agg(
-        F.struct(
-            m.sum_or_zero(F.col("budget_revenue").cast("decimal(38,6)")).alias("revenue"),
-            m.sum_or_zero(F.col("budget_margin").cast("decimal(38,6)")).alias("margin"),
-        )
-    ).scalar()
+    exact = "decimal(38,6)"
     point = F.when(F.col("year").isNotNull(), F.struct("revenue", F.col(_RATE).alias("rate")))
-    years = by_year_view.agg(
-        F.struct(
-            F.count("year").alias("n"),
-            F.min_by(point, "year").alias("first"),
-            F.max_by(point, "year").alias("last"),
-            F.coalesce(F.max("active_customers"), F.lit(0)).alias("customers"),
-        )
-    ).scalar()
-    framed = totals.select("revenue", "margin", plan.alias("plan"), years.alias("years"))
+    framed = by_year_view.agg(
+        m.sum_or_zero(F.col("revenue").cast(exact)).alias("revenue"),
+        m.sum_or_zero(F.col("margin").cast(exact)).alias("margin"),
+        F.count("year").alias("years"),
+        F.min_by(point, "year").alias("first"),
+        F.max_by(point, "year").alias("last"),
+        F.coalesce(F.max("active_customers"), F.lit(0)).alias("active_customers"),
+    ).withColumn("plan", plan_totals.select(F.struct("*")).scalar())
     revenue, margin = F.col("revenue"), F.col("margin")
     plan_revenue, plan_margin = F.col("plan.revenue"), F.col("plan.margin")
-    first, last = F.col("years.first"), F.col("years.last")
-    two_years = F.col("years.n") >= 2
+    first, last = F.col("first"), F.col("last")
+    two_years = F.col("years") >= 2
     return framed.select(
         m.as_double(revenue).alias("revenue"),
         m.as_double(margin).alias("margin"),
@@ -207,7 +214,7 @@ def summary(monthly_view: DataFrame, by_year_view: DataFrame, budget_view: DataF
         m.pct(margin - plan_margin, plan_margin).alias("variance_margin_pct"),
         F.when(two_years, m.pct(last["revenue"] - first["revenue"], first["revenue"])).alias("revenue_yoy_pct"),
         F.when(two_years, last["rate"] - first["rate"]).alias("margin_rate_delta_pts"),
-        F.col("years.customers").alias("active_customers"),
+        "active_customers",
     )
 
 
@@ -243,13 +250,13 @@ def build_views(
     cube = rollup_sum(delivered_lines(star, CUBE_AXES, filters, delivered), CUBE_AXES).persist()
     customers = rollup_sum(delivered_lines(star, CUSTOMER_AXES, filters, delivered), CUSTOMER_AXES).persist()
     reps = rollup_sum(delivered_lines(star, ["salesperson"], filters, delivered), ["salesperson"]).persist()
-    month, year, plan = monthly(cube), by_year(customers), budget_monthly(cube, star, filters)
+    year = by_year(customers)
     views = {
-        "summary": summary(month, year, plan),
+        "summary": summary(year, budget_totals(star, filters)),
         "by_year": year,
-        "monthly": month,
+        "monthly": monthly(cube),
         "by_category": by_category(cube),
-        "budget_monthly": plan,
+        "budget_monthly": budget_monthly(cube, star, filters),
         "budget_by_region": budget_by_region(cube, star, filters),
         "category_mix": category_mix(cube),
         "by_salesperson": by_salesperson(reps),
