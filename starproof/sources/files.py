@@ -38,6 +38,19 @@ def list_files(spark: SparkSession, directory: str, pattern: str = "*") -> list[
     return sorted(str(s.getPath().toString()) for s in found or [])
 
 
+def is_directory(spark: SparkSession, uri: str) -> bool:
+    return filesystem(spark, uri).getFileStatus(_path(spark, uri)).isDirectory()
+
+
+def small_text(spark: SparkSession, uri: str) -> str:
+    """A small control file whose name may start with ``_``, which scans skip as hidden."""
+    stream = filesystem(spark, uri).open(_path(spark, uri))
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs = filesystem(spark, source)
     if not fs.exists(_path(spark, source)):
@@ -80,21 +93,30 @@ def file_inventory(spark: SparkSession, directory: str) -> DataFrame:
 def source_status(spark: SparkSession, directory: str) -> DataFrame:
     """Number of sales files, whether the manifest is there, and both together."""
     sales_prefix = specs.SALES.file_glob.rstrip("*")
-    names = file_inventory(spark, directory)
-    return names.agg(
+    manifest = exists(spark, f"{directory.rstrip('/')}/{specs.MANIFEST_NAME}")
+    return file_inventory(spark, directory).agg(
         F.count_if(F.col("file_name").startswith(sales_prefix)).alias("sales_files"),
-        F.coalesce(F.max(F.col("file_name") == specs.MANIFEST_NAME), F.lit(False)).alias("manifest_present"),
-    ).withColumn("ready", (F.col("sales_files") > 0) & F.col("manifest_present"))
+    ).withColumn("manifest_present", F.lit(manifest)).withColumn(
+        "ready", (F.col("sales_files") > 0) & F.col("manifest_present")
+    )
 
 
 def fingerprints(spark: SparkSession, directory: str, single_read_limit: int = SINGLE_READ_LIMIT) -> DataFrame:
-    """SHA-256 of every file, one task per file; files over 1 GiB are hashed in blocks."""
+    """SHA-256 of every file, one task per file; files over 1 GiB are hashed in blocks.
+
+    Scans skip names starting with ``_`` or ``.``: those control files are listed apart.
+    """
     small = (
         _listing(spark, directory)
         .filter(F.col("length") <= single_read_limit)
         .select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.sha2("content", 256).alias("sha256"))
     )
     large = file_inventory(spark, directory).filter(F.col("length") > single_read_limit)
+    hidden = [
+        (p,) for p in list_files(spark, directory) if p.rsplit("/", 1)[-1][0] in "_." and not is_directory(spark, p)
+    ]
+    if hidden:
+        large = large.select("path").unionByName(spark.createDataFrame(hidden, "path string"))
     return small.unionByName(large.select("path").mapInArrow(_hash_in_blocks, "file_name string, sha256 string"))
 
 
