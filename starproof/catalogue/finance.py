@@ -275,3 +275,55 @@ def share_of_total_by_brand(spark, sf_dir):
     totals = facts.rollup_sum(facts.delivered_lines(s, ["category"], delivered=DELIVERED, cost=False), ["category"])
     shares = ranking.with_share(totals).withColumnRenamed("category", "subcategory")
     return shares.select("subcategory", m.as_double(F.col("revenue")).alias("revenue"), "revenue_share_pct")
+
+
+@query("region_variance_flag", f"""WITH {BASE}, {BUDGET}, {_budget_sql('region')}
+SELECT region, variance_revenue_pct, CASE WHEN variance_revenue_pct IS NULL THEN 'neutral'
+       WHEN variance_revenue_pct >= 0 THEN 'favourable' ELSE 'unfavourable' END AS flag FROM plan ORDER BY 2""")
+def region_variance_flag(spark, sf_dir):
+    from starproof.functions.text import favourable
+
+    view = budget_by_region(spark, sf_dir).select("region", "variance_revenue_pct")
+    return view.withColumn("flag", favourable(F.col("variance_revenue_pct"))).orderBy("variance_revenue_pct", "region")
+
+
+@query("segment_weight", f"""WITH {BASE} SELECT segment, {SHARE} AS revenue_share_pct FROM base GROUP BY segment ORDER BY 2""")
+def segment_weight(spark, sf_dir):
+    return by_segment(spark, sf_dir).select("segment", "revenue_share_pct").orderBy("revenue_share_pct", "segment")
+
+
+@query("concentration_headline", f"""WITH {BASE}, {PARETO},
+seg AS (SELECT segment, {SHARE} AS share, count(DISTINCT customer_code) AS n FROM base GROUP BY 1 ORDER BY sum(revenue) DESC LIMIT 1),
+core AS (SELECT greatest(count(*) FILTER (WHERE cumulative_pct <= 80), 1) AS k, count(*) AS total FROM pareto)
+SELECT segment || ' : ' || format('{{:.0f}}', share) || ' % du CA pour ' || n || ' clients   |   base diversifiée : ' || k || ' clients ('
+       || format('{{:.0f}}', 100.0 * CAST(k AS DOUBLE) / total) || ' %) pour 80 % du CA' AS headline FROM seg, core""")
+def concentration_headline(spark, sf_dir):
+    from starproof.functions.text import concentration
+
+    core = pareto_80(spark, sf_dir).select(F.struct("*")).scalar()
+    return leading_segment(spark, sf_dir).withColumn("core", core).select(
+        concentration(
+            F.col("segment"), F.col("revenue_share_pct"), F.col("customers"),
+            F.col("core.customers_for_share"), F.col("core.customers_pct"),
+        ).alias("headline")
+    )
+
+
+_COUNTS = {
+    "summary": "1", "by_year": "count(DISTINCT year)", "monthly": "count(DISTINCT month)", "by_category": "count(DISTINCT category)",
+    "budget_monthly": "count(DISTINCT month)", "budget_by_region": "count(DISTINCT region)", "category_mix": "count(DISTINCT category)",
+    "by_salesperson": "count(DISTINCT salesperson)", "by_segment": "count(DISTINCT segment)",
+    "client_pareto": "count(DISTINCT customer_code)", "client_top": "least(count(DISTINCT company_name || segment), 15)",
+    "by_discount_band": f"count(DISTINCT {_BAND})",
+}
+
+
+@query("all_views", f"WITH {BASE} " + " UNION ALL ".join(f"SELECT '{v}' AS view, {n} AS rows FROM base" for v, n in _COUNTS.items())
+       .replace("SELECT 'summary' AS view, 1 AS rows FROM base", "SELECT 'summary' AS view, CAST(1 AS BIGINT) AS rows"))
+def all_views(spark, sf_dir):
+    """The twelve views together, from one pass over the facts."""
+    out = None
+    for name, view in views.build_views(star(spark, sf_dir), delivered=DELIVERED).items():
+        row = view.agg(F.lit(name).alias("view"), F.count(F.lit(1)).alias("rows"))
+        out = row if out is None else out.unionByName(row)
+    return out

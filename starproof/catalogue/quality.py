@@ -325,7 +325,7 @@ def revenue_lost(spark, sf_dir):
 
 def _expected(spark, sf_dir):
     """The manifest of these exports, computed without the cleaning code."""
-    s, lines = star(spark, sf_dir), _true_lines(spark, sf_dir)
+    s, lines = star(spark, sf_dir), materialise(_true_lines(spark, sf_dir), "true-lines")
     keys = lines.select("order_id", "line_id")
     figures = truth.business_truth(s["fact_order"], lines, s["dim_product"], DELIVERED)
     unreadable = keys.filter(F.col("order_id") % x.BAD_PRICE_EVERY == 0)

@@ -89,7 +89,8 @@ def check_value(label: Column, value: Column) -> Column:
     return F.when(label.contains("€"), money(value)).otherwise(integer(F.bround(value, 0)))
 
 
-# The sentences of the narrative, one per situation.
+# The customer headline and the sentences of the narrative, one per situation.
+CONCENTRATION = "%s : %s %% du CA pour %d clients   |   base diversifiée : %d clients (%s %%) pour 80 %% du CA"
 SENTENCES = {
     "revenue_yoy": "Le chiffre d'affaires atteint {}, {} de {} % sur un an.",
     "revenue": "Le chiffre d'affaires atteint {} sur la période.",
@@ -106,6 +107,13 @@ SENTENCES = {
 }
 
 
+def concentration(segment: Column, share_pct: Column, customers: Column, core: Column, core_pct: Column) -> Column:
+    """Headline of the customer sheet: leading segment, then how many customers make 80 %."""
+    return F.format_string(
+        CONCENTRATION, segment, _plain(share_pct, 0), customers.cast("bigint"), core.cast("bigint"), _plain(core_pct, 0)
+    )
+
+
 def _sentence(name: str, *values: Column) -> Column:
     return F.format_string(SENTENCES[name].replace("%", "%%").replace("{}", "%s"), *values)
 

@@ -139,7 +139,6 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, stamp: str | None = Non
     staging, final = output_paths(by_month, out_dir, stamp)
     write_set({**published_tables(finance, lines, by_month, report), **_detail(finance)}, staging)
     commit(spark, staging, final)
-    finance.release()
     by_month.unpersist()
     return final
 

@@ -223,35 +223,22 @@ def active_customers_period(base: DataFrame) -> DataFrame:
     return base.agg(F.countDistinct("customer_code").alias("active_customers_period"))
 
 
-class Views(dict):
-    """View name -> DataFrame, holding on to the cached roll-ups behind them."""
-
-    def __init__(self, views: dict[str, DataFrame], cached: Sequence[DataFrame]):
-        super().__init__(views)
-        self._cached = cached
-
-    def release(self) -> None:
-        for df in self._cached:
-            df.unpersist()
-
-
 def build_views(
     star: dict[str, DataFrame], filters: Filters = NO_FILTERS, delivered: Sequence[str] = specs.DELIVERED
-) -> Views:
-    """All twelve views from three persisted roll-ups instead of twelve fact scans.
-
-    * ``cube``       calendar x small business axes, bounded by those axes
-    * ``customers``  one row per customer and year
-    * ``reps``       one row per salesperson
+) -> dict[str, DataFrame]:
+    """All twelve views from one pass over the facts.
 
-    The roll-ups are cached (memory, then disk); losing an executor recomputes
-    its part. Call ``release()`` on the result when the views have been written.
+    The joins run once: delivered lines with every axis are written to shared
+    storage, reduced to what the views read. Two roll-ups follow from it, again
+    stored because several views read them: ``cube`` (calendar x small business
+    axes, bounded by those axes) and ``customers`` (one row per customer and year).
     """
-    cube = rollup_sum(delivered_lines(star, CUBE_AXES, filters, delivered), CUBE_AXES).persist()
-    customers = rollup_sum(delivered_lines(star, CUSTOMER_AXES, filters, delivered), CUSTOMER_AXES).persist()
-    reps = rollup_sum(delivered_lines(star, ["salesperson"], filters, delivered), ["salesperson"]).persist()
+    axes = (*CUBE_AXES, "customer_code", "company_name", "salesperson")
+    base = materialise(delivered_lines(star, axes, filters, delivered), "delivered-lines")
+    cube = materialise(rollup_sum(base, CUBE_AXES), "cube")
+    customers = materialise(rollup_sum(base, CUSTOMER_AXES), "customer-years")
     year = by_year(customers)
-    views = {
+    return {
         "summary": summary(year, budget_totals(star, filters)),
         "by_year": year,
         "monthly": monthly(cube),
@@ -259,13 +246,12 @@ def build_views(
         "budget_monthly": budget_monthly(cube, star, filters),
         "budget_by_region": budget_by_region(cube, star, filters),
         "category_mix": category_mix(cube),
-        "by_salesperson": by_salesperson(reps),
+        "by_salesperson": by_salesperson(base),
         "by_segment": by_segment(customers),
         "client_pareto": client_pareto(customers),
         "client_top": client_top(customers),
         "by_discount_band": by_discount_band(cube),
     }
-    return Views(views, (cube, customers, reps))
 
 
 def filter_options(star: dict[str, DataFrame], delivered: Sequence[str] = specs.DELIVERED) -> dict[str, DataFrame]:

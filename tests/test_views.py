@@ -17,8 +17,7 @@ def rows(df):
 @pytest.fixture(scope="module")
 def tiny_views(spark):
     built = views.build_views(stars.tiny(spark))
-    yield {k: rows(v) for k, v in built.items()}
-    built.release()
+    return {k: rows(v) for k, v in built.items()}
 
 
 def test_twelve_views(tiny_views):
@@ -58,7 +57,6 @@ def test_each_filter_halves_the_total(spark, filters):
     assert s["revenue"] == 20.0 and s["revenue_yoy_pct"] is None
     assert sum(r["revenue_share_pct"] for r in rows(built["by_category"])) == 100.0
     assert s["budget_revenue"] == {True: 1500.0, False: 1000.0 if filters.months else 500.0}[not (filters.months or filters.regions)]
-    built.release()
 
 
 def test_no_filter_and_empty_selection_are_the_same(spark):
@@ -67,7 +65,6 @@ def test_no_filter_and_empty_selection_are_the_same(spark):
         built = views.build_views(star, filters)
         s = rows(built["summary"])[0]
         assert s["revenue"] == 40.0 and s["revenue_yoy_pct"] == 0.0 and s["margin_rate_delta_pts"] == 60.0 - 50.0
-        built.release()
 
 
 def test_filter_without_match(spark):
@@ -75,7 +72,6 @@ def test_filter_without_match(spark):
     s = rows(built["summary"])[0]
     assert s["revenue"] == 0.0 and s["margin_rate_pct"] is None and s["active_customers"] == 0
     assert rows(built["monthly"]) == [] and rows(built["client_pareto"]) == []
-    built.release()
 
 
 def test_selection_rules():
