@@ -359,7 +359,7 @@ def _dirty_star(spark, sf_dir):
     audited = materialise(_audited(spark, sf_dir), "sales")  # read by a dozen sub-plans
     products, customers = _products(spark, sf_dir), _customers(spark, sf_dir)
     regions = base["dim_region"]
-    budget = base["fact_budget"].join(regions, "region_code").drop("region_code")
+    budget = materialise(base["fact_budget"].join(regions, "region_code").drop("region_code"), "budget")
     built = ingest.build_star(
         cleaning.dated_sales(audited), customers, products, _people(spark, sf_dir), budget, regions
     )

@@ -85,7 +85,7 @@ def budget_counters(budget: DataFrame, sheet_rows: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(is_subtotal(), F.col("n"))), F.lit(0)).alias("leaked_subtotals"),
         F.coalesce(F.sum("bad"), F.lit(0)).alias("missing_amounts"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_keys"),
-    ).select(
-        dropped["files"].alias("files_read"), "rows", "regions", "categories", "periods",
-        dropped["subtotals"].alias("subtotal_rows_dropped"), "leaked_subtotals", "missing_amounts", "duplicate_keys",
+    ).withColumn("_sheets", dropped).select(
+        F.col("_sheets.files").alias("files_read"), "rows", "regions", "categories", "periods",
+        F.col("_sheets.subtotals").alias("subtotal_rows_dropped"), "leaked_subtotals", "missing_amounts", "duplicate_keys",
     )

@@ -42,7 +42,8 @@ def test_entry_is_stable(spark):
 
 
 def test_scan_reads_only_what_the_view_needs(spark):
-    plan = plan_of(QUERIES["monthly"](spark, SF))
+    query = QUERIES["monthly"](spark, SF)._jdf.queryExecution()
+    plan = spark._jvm.PythonSQLUtils.explainString(query, "formatted")
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_extendedprice:double,l_discount:double>" in plan
     assert "EqualTo(o_orderstatus,F)" in plan
     assert "customer.parquet" not in plan and "supplier.parquet" not in plan
