@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +56,16 @@ def _isin(df: DataFrame, column: str, values: Sequence[str] | None) -> DataFrame
     return df.filter(F.col(column).isin(*values)) if values else df
 
 
+def _within(orders: DataFrame, months: Sequence[str] | None) -> DataFrame:
+    """The months as one date range: unlike a formatted month, it reaches the scan."""
+    if not months or not all(re.fullmatch(r"\d{4}-(0[1-9]|1[0-2])", x) for x in months):
+        return orders
+    year, month = map(int, max(months).split("-"))
+    end = dt.date(year + month // 12, month % 12 + 1, 1)
+    start = dt.date.fromisoformat(f"{min(months)}-01")
+    return orders.filter((F.col("order_date") >= F.lit(start)) & (F.col("order_date") < F.lit(end)))
+
+
 def delivered_orders(star: dict[str, DataFrame], delivered: Sequence[str] = specs.DELIVERED) -> DataFrame:
     return star["fact_order"].filter(F.col("status").isin(*delivered))
 
@@ -77,7 +89,7 @@ def delivered_lines(
     unknown = wanted - AXES
     if unknown:
         raise ValueError(f"unknown axes {sorted(unknown)}")
-    orders, lines = delivered_orders(star, delivered), star["fact_line"]
+    orders, lines = _within(delivered_orders(star, delivered), filters.months), star["fact_line"]
 
     header: list[Column] = [F.col("order_id")]
     if "month" in wanted:

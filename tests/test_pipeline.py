@@ -212,6 +212,26 @@ def test_missing_tokens_are_null(spark, tmp_path):
     assert [tuple(r) for r in got] == [(None, "1"), ("x", None)]
 
 
+def test_quotes_and_directory_landing(spark, tmp_path):
+    folder = tmp_path / "commerciaux.csv"
+    folder.mkdir()
+    (folder / "part-0.csv").write_text('code_commercial;nom;code_region;date_embauche\nS1;"Zoé ""Z""; chef";R01;2020-03-01\n', encoding="utf-8")
+    (folder / "part-1.csv").write_text("nom;date_embauche;code_region;code_commercial\nBob;2021-03-01;R02;S2\n", encoding="utf-8")
+    got = readers.scan(spark, str(tmp_path), specs.SALESPEOPLE).orderBy("salesperson_code").collect()
+    assert [(r.salesperson_code, r["name"]) for r in got] == [("S1", 'Zoé "Z"; chef'), ("S2", "Bob")]
+
+
+def test_first_copy_in_file_order_wins(spark, tmp_path):
+    row = ["05/01/2024", "O1", "1", "C1", "P1", "2", "7,00", "0.0", "S1", "Livrée"]
+    for month, prices in (("01", ("5,00", "6,00")), ("02", ("4,00",))):
+        body = [";".join(rawfolder.HEADERS)] + [";".join([*row[:6], p, *row[7:]]) for p in prices]
+        (tmp_path / f"export_ventes_2024-{month}.csv").write_text("\n".join(body) + "\n", encoding="utf-8")
+    from starproof.operators.cleaning import audit_sales
+
+    kept = audit_sales(readers.scan(spark, str(tmp_path), specs.SALES), list(readers.ORDER_COLUMNS)).collect()
+    assert [(float(r.unit_price), r._copies) for r in kept] == [(5.0, 3)]
+
+
 def test_parquet_landing(spark, tmp_path):
     raw = spark.createDataFrame([rawfolder.JANUARY[0]], rawfolder.HEADERS)
     raw.write.parquet(str(tmp_path / "export_ventes_2024.parquet"))

@@ -49,6 +49,13 @@ def test_scan_reads_only_what_the_view_needs(spark):
     assert "customer.parquet" not in plan and "supplier.parquet" not in plan
 
 
+def test_month_filter_reaches_the_scan(spark):
+    query = QUERIES["monthly_filtered"](spark, SF)._jdf.queryExecution()
+    plan = spark._jvm.PythonSQLUtils.explainString(query, "formatted")
+    assert "GreaterThanOrEqual(o_orderdate,1996-01-01T00:00), LessThan(o_orderdate,1997-01-01T00:00)" in plan
+    assert "In(r_name, [ASIA,EUROPE])" in plan
+
+
 @pytest.mark.parametrize("name", ["by_category", "by_salesperson", "by_segment", "by_discount_band", "client_top"])
 def test_share_views_scan_the_facts_once(spark, name):
     df = QUERIES[name](spark, SF)
