@@ -33,6 +33,14 @@ class Filters:
         chosen = {"month": self.months, "region": self.regions, "segment": self.segments, "salesperson": self.salespeople}
         return {axis for axis, values in chosen.items() if values}
 
+    def on(self, base: DataFrame) -> DataFrame:
+        """The same filters on a base that carries the axes as columns."""
+        for axis, values in (
+            ("month", self.months), ("region", self.regions), ("segment", self.segments), ("salesperson", self.salespeople),
+        ):
+            base = _isin(base, axis, values)
+        return base
+
     @property
     def budget_comparable(self) -> bool:
         """Budgets know months and regions only; other filters make variances meaningless."""

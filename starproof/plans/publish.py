@@ -13,6 +13,7 @@ from starproof import specs
 from starproof.operators.reshape import budget_to_wide
 from starproof.plans import checks, ingest, reporting, views
 from starproof.sources import files, readers
+from starproof.sources.store import materialise
 
 STAGING = "_staging"
 
@@ -133,13 +134,12 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, stamp: str | None = Non
     expected = readers.read_manifest(spark, raw_dir).select("attendus_apres_nettoyage.*")
     proof = checks.reconcile(loaded.star, loaded.reports, expected)
     report = spark.createDataFrame(checks.gate(proof), proof.schema)
-    lines = reporting.reporting_lines(loaded.star)
-    by_month = reporting.revenue_by_month(lines).persist()
+    lines = materialise(reporting.reporting_lines(loaded.star), "annex")
+    by_month = materialise(reporting.revenue_by_month(lines), "by-month")
     finance = views.build_views(loaded.star)
     staging, final = output_paths(by_month, out_dir, stamp)
     write_set({**published_tables(finance, lines, by_month, report), **_detail(finance)}, staging)
     commit(spark, staging, final)
-    by_month.unpersist()
     return final
 
 

@@ -223,18 +223,29 @@ def active_customers_period(base: DataFrame) -> DataFrame:
     return base.agg(F.countDistinct("customer_code").alias("active_customers_period"))
 
 
-def build_views(
+def stored_base(
     star: dict[str, DataFrame], filters: Filters = NO_FILTERS, delivered: Sequence[str] = specs.DELIVERED
+) -> DataFrame:
+    """Delivered lines with every axis, joined once and written narrow to shared storage."""
+    axes = (*CUBE_AXES, "customer_code", "company_name", "salesperson")
+    return materialise(delivered_lines(star, axes, filters, delivered), "delivered-lines")
+
+
+def build_views(
+    star: dict[str, DataFrame],
+    filters: Filters = NO_FILTERS,
+    delivered: Sequence[str] = specs.DELIVERED,
+    base: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """All twelve views from one pass over the facts.
 
-    The joins run once: delivered lines with every axis are written to shared
-    storage, reduced to what the views read. Two roll-ups follow from it, again
-    stored because several views read them: ``cube`` (calendar x small business
-    axes, bounded by those axes) and ``customers`` (one row per customer and year).
+    Without ``base`` the filters go into the joins and their scans. A session that
+    changes filters often passes an unfiltered ``stored_base`` instead: a refresh
+    then only scans that table. Two roll-ups follow, stored because several views
+    read them: ``cube`` (calendar x small business axes, bounded by those axes)
+    and ``customers`` (one row per customer and year).
     """
-    axes = (*CUBE_AXES, "customer_code", "company_name", "salesperson")
-    base = materialise(delivered_lines(star, axes, filters, delivered), "delivered-lines")
+    base = stored_base(star, filters, delivered) if base is None else filters.on(base)
     cube = materialise(rollup_sum(base, CUBE_AXES), "cube")
     customers = materialise(rollup_sum(base, CUSTOMER_AXES), "customer-years")
     year = by_year(customers)

@@ -59,6 +59,15 @@ def test_each_filter_halves_the_total(spark, filters):
     assert s["budget_revenue"] == {True: 1500.0, False: 1000.0 if filters.months else 500.0}[not (filters.months or filters.regions)]
 
 
+def test_filters_on_a_stored_base_give_the_same(spark):
+    star = stars.multi_axis(spark)
+    base = views.stored_base(star)
+    for filters in (Filters(), Filters(months=["2025-01"], segments=["Grands Comptes"]), Filters(regions=["Sud"], salespeople=["Alice"])):
+        a, b = views.build_views(star, filters), views.build_views(star, filters, base=base)
+        for name in ("summary", "by_category", "budget_by_region", "client_pareto", "by_salesperson"):
+            assert rows(a[name]) == rows(b[name])
+
+
 def test_no_filter_and_empty_selection_are_the_same(spark):
     star = stars.multi_axis(spark)
     for filters in (Filters(), Filters(months=[], regions=[])):
