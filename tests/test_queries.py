@@ -49,6 +49,12 @@ def test_scan_reads_only_what_the_view_needs(spark):
     assert "customer.parquet" not in plan and "supplier.parquet" not in plan
 
 
+@pytest.mark.parametrize("name", ["by_segment", "by_salesperson", "reporting_lines"])
+def test_unused_left_join_is_dropped(spark, name):
+    query = QUERIES[name](spark, SF)._jdf.queryExecution()
+    assert "nation.parquet" not in spark._jvm.PythonSQLUtils.explainString(query, "formatted")
+
+
 def test_month_filter_reaches_the_scan(spark):
     query = QUERIES["monthly_filtered"](spark, SF)._jdf.queryExecution()
     plan = spark._jvm.PythonSQLUtils.explainString(query, "formatted")
