@@ -32,7 +32,7 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 @query("op2_ngram_jaccard_join", rf"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
 grams AS (SELECT DISTINCT doc_id, unnest(CASE
-    WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))
+    WHEN len(ws) >= 5 THEN [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)]
     WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS gram FROM w),
 sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY 1),
 common AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k
