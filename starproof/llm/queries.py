@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starproof.llm import jaccard
+import starproof
+from starproof.llm import jaccard, quality, rlz, toxicity
+
+ROOT = str(Path(starproof.__file__).resolve().parent.parent)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +28,8 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers of a local session start in its working folder; let them find this package from anywhere.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -47,3 +54,50 @@ LEFT JOIN (SELECT u, count(*) AS n FROM links GROUP BY 1) l ON l.u = d.doc_id
 """)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@query("op6_substring_dedup", rf"""
+WITH w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+blocks AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS start, ws FROM w WHERE len(ws) >= 50),
+marked AS (SELECT doc_id, start, min(doc_id) OVER (PARTITION BY md5(array_to_string(ws[start:start + 49], ' '))) AS ref FROM blocks),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start, start + 50)) AS i FROM marked WHERE ref < doc_id),
+lists AS (SELECT doc_id, list(i) AS l FROM gone GROUP BY 1),
+kept AS (SELECT w.doc_id, len(ws) AS n, coalesce(len(l), 0) AS removed,
+    CASE WHEN l IS NULL THEN ws ELSE [ws[i] FOR i IN range(1, len(ws) + 1) IF NOT list_contains(l, i)] END AS kept
+    FROM w LEFT JOIN lists USING (doc_id))
+SELECT doc_id, n AS n_words, removed AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM kept
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz.substring_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+@query("op9_quality_cascade", rf"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS ws FROM documents),
+grams AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) >= 3),
+counted AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS c FROM grams),
+repeated AS (SELECT doc_id, count(DISTINCT j) AS n FROM (
+    SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM counted WHERE c > 1) GROUP BY 1),
+texts AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w),
+lines AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup FROM texts
+    WHERE regexp_matches(line, '[^ 	-]') GROUP BY 1),
+base AS (SELECT w.doc_id, len(ws) AS n_words, len(array_to_string(ws, '')) AS word_chars,
+    len(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(regexp_replace(text, '[^!?]', '', 'g')) AS shouts,
+    len([x FOR x IN ws IF regexp_matches(x, '[A-Za-z]|[^ -]')]) AS letter_words,
+    coalesce(lines.dup, 0) AS n_dup_lines, coalesce(lines.n, 0) AS n_lines, coalesce(repeated.n, 0) AS n_repeat_words
+    FROM w LEFT JOIN lines USING (doc_id) LEFT JOIN repeated USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT (base_failed OR n_symbols > n_words OR shouts > n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+         OR 2 * letter_words < n_words OR 2 * n_dup_lines > n_lines) AS kept
+FROM judged
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents")).drop("rejected_by")
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
