@@ -81,10 +81,10 @@ repeated AS (SELECT doc_id, count(DISTINCT j) AS n FROM (
     SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM counted WHERE c > 1) GROUP BY 1),
 texts AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w),
 lines AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup FROM texts
-    WHERE regexp_matches(line, '[^ 	-]') GROUP BY 1),
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1),
 base AS (SELECT w.doc_id, len(ws) AS n_words, len(array_to_string(ws, '')) AS word_chars,
     len(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(regexp_replace(text, '[^!?]', '', 'g')) AS shouts,
-    len([x FOR x IN ws IF regexp_matches(x, '[A-Za-z]|[^ -]')]) AS letter_words,
+    len([x FOR x IN ws IF regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]')]) AS letter_words,
     coalesce(lines.dup, 0) AS n_dup_lines, coalesce(lines.n, 0) AS n_lines, coalesce(repeated.n, 0) AS n_repeat_words
     FROM w LEFT JOIN lines USING (doc_id) LEFT JOIN repeated USING (doc_id)),
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
