@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import starproof
-from starproof.llm import jaccard, quality, rlz, toxicity
+from starproof.llm import bpe, jaccard, pii, quality, rlz, toxicity
 
 ROOT = str(Path(starproof.__file__).resolve().parent.parent)
 
@@ -56,6 +57,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
+@query("op4_pii_spans")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(table(spark, sf_dir, "documents")))
+
+
 @query("op6_substring_dedup", rf"""
 WITH w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
 blocks AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS start, ws FROM w WHERE len(ws) >= 50),
@@ -73,6 +79,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_bpe_tree")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
 @query("op9_quality_cascade", rf"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS ws FROM documents),
 grams AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) >= 3),
