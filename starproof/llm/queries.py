@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import starproof
-from starproof.llm import bpe, jaccard, pii, quality, rlz, toxicity
+from starproof.llm import ann, bpe, jaccard, mixing, offsets, pii, quality, rlz, scratch, toxicity, warc
 
 ROOT = str(Path(starproof.__file__).resolve().parent.parent)
 
@@ -37,6 +38,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+@query("op1_random_projection_forest")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query("op2_ngram_jaccard_join", rf"""
 WITH RECURSIVE w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
 grams AS (SELECT DISTINCT doc_id, unnest(CASE
@@ -57,11 +63,35 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
+@query("op3_warc_bundles", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+m AS (SELECT page_id, strlen(html) AS n, sha256(html) AS digest, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+    CASE WHEN n >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= 100 AND first <> page_id THEN first END AS refers_to FROM m
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch.folder(spark).rstrip('/')}/llm/warc-{uuid.uuid4().hex}"
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    page = lambda c: F.expr(f"try_cast(substring_index({c}, ':', -1) AS bigint)")
+    return warc.read_archives(spark, path, with_payload=False).select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to")
+    )
+
+
 @query("op4_pii_spans")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find(table(spark, sf_dir, "documents")))
 
 
+@query("op5_token_attribution")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = offsets.with_lines(table(spark, sf_dir, "documents"))
+    found = offsets.attributed(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return found.select("doc_id", F.col("section").cast("int").alias("line"), F.col("start").alias("char_start"),
+                        F.col("end").alias("char_end"), F.col("tokens").cast("bigint").alias("n_tokens"), "crossing")
+
+
 @query("op6_substring_dedup", rf"""
 WITH w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
 blocks AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS start, ws FROM w WHERE len(ws) >= 50),
@@ -84,6 +114,28 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+@query("op8_source_mix", rf"""
+WITH d AS (SELECT doc_id, source, len({WORDS}) AS size, md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '-')) AS h FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),
+w AS (SELECT *, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight,
+    3.0::DOUBLE * source_size AS cap FROM s),
+l AS (SELECT *, cap / weight AS ratio,
+    (sum(CAST(source_size AS DOUBLE)) OVER () - coalesce(sum(cap) OVER earlier, 0))
+    / (sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0)) AS level FROM w
+    WINDOW earlier AS (ORDER BY cap / weight, source NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT source, source_size, CASE WHEN fixed IS NULL THEN cap ELSE least(cap, fixed * weight) END AS target
+    FROM l, (SELECT arg_min(level, ratio) AS fixed FROM l WHERE ratio > level)),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM t),
+o AS (SELECT d.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS want,
+    sum(size) OVER (PARTITION BY d.source ORDER BY h, size) - size AS before
+    FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target,
+    size * (whole + CASE WHEN want > 0 AND before + size / 2.0 <= want THEN 1 ELSE 0 END) AS taken FROM o
+""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
 @query("op9_quality_cascade", rf"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS ws FROM documents),
 grams AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) >= 3),
