@@ -42,27 +42,32 @@ def kept_seeds(seeds: np.ndarray, span: int) -> np.ndarray:
 
 
 def _seeder(window: int, seed: int):
+    """One row per document: its distinct kept seeds, each with all its positions."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, words in in_slices(batch.column("text")):
                 h = words.hashes()
-                found, positions = [], []
+                found, positions, runs = [], [], []
                 for a, b in zip(words.first[:-1], words.first[1:]):
                     if b - a < window:
                         found.append(np.zeros(0, np.uint64))
-                        positions.append(np.zeros(0, np.int64))
                         continue
                     starts = np.arange(b - a - seed + 1)
                     s = mixed(range_hashes(h[a:b], starts, starts + seed, _SEEDS))
                     at = kept_seeds(s, window - seed + 1)
-                    found.append(s[at])
+                    at = at[np.argsort(s[at], kind="stable")]
+                    new = np.flatnonzero(np.concatenate([[True], np.diff(s[at]) != 0]))
+                    found.append(s[at[new]])
                     positions.append(at)
+                    runs.append(np.diff(np.append(new, len(at))))
                 first = np.concatenate([[0], np.cumsum([len(x) for x in found])])
+                nested = np.concatenate([[0], np.cumsum(np.concatenate([[], *runs]))]).astype(np.int64)
+                flat = np.concatenate([np.zeros(0, np.int64), *positions]).astype(np.int32)
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("text_key"), pa.array(words.counts, pa.int64()),
                      ragged(long_array(np.concatenate(found)), first),
-                     ragged(pa.array(np.concatenate(positions).astype(np.int32)), first)],
+                     ragged(ragged(pa.array(flat), nested), first)],
                     ["doc_id", "text_key", "n_words", "seeds", "positions"],
                 )
     return run
@@ -172,7 +177,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     parsed = stored(
         source.mapInArrow(
             _seeder(window, seed),
-            "doc_id bigint, text_key binary, n_words bigint, seeds array<bigint>, positions array<int>",
+            "doc_id bigint, text_key binary, n_words bigint, seeds array<bigint>, positions array<array<int>>",
         ), "seeds",
     ).filter("doc_id is not null")
     # Copies: only the first one is parsed and indexed.
@@ -181,11 +186,11 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
         F.min("doc_id").alias("doc_id"), F.first("seeds").alias("seeds"), F.first("positions").alias("positions")
     )
     seeds = leads.select("doc_id", "text_key", F.explode(F.arrays_zip("seeds", "positions")).alias("s")).select(
-        "doc_id", "text_key", F.col("s.seeds").alias("seed"), F.col("s.positions").alias("position")
+        "doc_id", "text_key", F.col("s.seeds").alias("seed"), F.col("s.positions").alias("positions")
     )
     shared = seeds.groupBy("seed").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("seed")
     spots = stored(
-        seeds.join(shared, "seed").groupBy("doc_id", "text_key").agg(F.collect_list("position").alias("positions")), "spots"
+        seeds.join(shared, "seed").groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("positions")).alias("positions")), "spots"
     )
     located = source.join(spots, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
     blocks = stored(
