@@ -207,7 +207,9 @@ def neighbours(
         "place", F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))).filter(F.col("place") <= k + 1)
     points = stored(ids.groupBy("vector").agg(F.min("vec_id").alias("point"), F.array_sort(F.collect_list("vec_id")).alias("ids")), "points")
     asked = stored(rows.filter("asks").select("vec_id", "vector").distinct().join(points.select("vector", "point"), "vector"), "asked")
-    sample = points.orderBy(F.xxhash64("vector"), "point").limit(sample_rows).select("vector").collect()
+    picked = points.select("point").orderBy(F.xxhash64("point"), "point").limit(sample_rows).distinct()
+    sample = points.select("point", "vector").join(F.broadcast(picked), "point").collect()
+    sample = sorted(sample, key=lambda r: (r.point, r.vector))[:sample_rows]
     x = np.array([r.vector for r in sample]).reshape(len(sample), dim)
     empty = "query_id long, rank int, vec_id long, score double"
     if not len(x):

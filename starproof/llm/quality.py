@@ -156,7 +156,8 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def ordered_rules(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """``RULES`` by rejected documents per second, measured on the ``sample_rows`` documents of least hashed doc_id."""
-    sample = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).select("text")
+    picked = docs.select("doc_id").filter("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).distinct()
+    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text")
     stats = sample.mapInArrow(_measured, "rule bigint, cost double, rejected bigint, seen bigint").groupBy("rule").agg(
         F.sum("cost").alias("cost"), F.sum("rejected").alias("rejected")).collect()
     rank = {r.rule: -r.rejected / max(r.cost, 1e-9) for r in stats}
