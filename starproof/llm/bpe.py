@@ -27,7 +27,7 @@ from tokenizers import Tokenizer
 from starproof.llm.words import distinct_chunks, found, slices, utf8
 
 #: Characters of a leaf, and tokens of a first window on either side of a join.
-LEAF_CHARS = 16_384
+LEAF_CHARS = 65_536
 FIRST_WINDOW = 8
 MOST_CACHED = 400_000
 
@@ -166,6 +166,28 @@ def merged(codec: Codec, text: str, pieces: list[Piece]) -> Piece:
     return pieces[0]
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers in two bytes each where all fit, else in four."""
+    small = not len(values) or (values.min() >= -(2**15) and values.max() < 2**15)
+    return np.ascontiguousarray(values, "<i2" if small else "<i4").tobytes()
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, "<i2" if len(data) == 2 * n else "<i4").astype(np.int64)
+
+
+def packed_piece(p: Piece) -> tuple[bytes, bytes]:
+    """Ids, and spans as the gap before and the length of each token: what a leaf sends to its join."""
+    before = np.concatenate([[p.lo], p.spans[:-1, 1]])[: len(p.ids)]
+    return packed(p.ids.astype(np.int64) - 2**15), packed(np.concatenate([p.spans[:, 0] - before, p.spans[:, 1] - p.spans[:, 0]]))
+
+
+def unpacked_piece(lo: int, hi: int, n: int, ids: bytes, spans: bytes) -> Piece:
+    gap, length = np.split(unpacked(spans, 2 * n), 2)
+    end = lo + np.cumsum(gap + length)
+    return Piece(lo, hi, (unpacked(ids, n) + 2**15).astype(np.uint32), np.stack([end - length, end], axis=1))
+
+
 # -- Spark ---------------------------------------------------------------------------------------
 
 
@@ -203,11 +225,11 @@ def _encode_leaves(path: str):
             for i in range(batch.num_rows):
                 text = batch.column("part")[i].as_py()
                 p = piece(codec, text, 0, len(text))
+                ids, spans = packed_piece(p)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).slice(i, 1) for c in ("text_key", "leaf", "lo", "part")]
-                    + [pa.array([p.ids.astype("<u4").tobytes()], pa.binary()),
-                       pa.array([p.spans.astype("<u4").tobytes()], pa.binary())],
-                    ["text_key", "leaf", "lo", "part", "ids", "spans"])
+                    + [pa.array([len(p.ids)], pa.int64()), pa.array([ids], pa.binary()), pa.array([spans], pa.binary())],
+                    ["text_key", "leaf", "lo", "part", "n", "ids", "spans"])
     return run
 
 
@@ -218,9 +240,7 @@ def _join_leaves(path: str):
             for i in range(batch.num_rows):
                 parts = sorted(batch.column("leaves")[i].as_py(), key=lambda x: x["leaf"])
                 text = "".join(x["part"] for x in parts)
-                pieces = [
-                    Piece(x["lo"], x["lo"] + len(x["part"]), np.frombuffer(x["ids"], "<u4"),
-                          np.frombuffer(x["spans"], "<u4").reshape(-1, 2).astype(np.int64) + x["lo"]) for x in parts]
+                pieces = [unpacked_piece(x["lo"], x["lo"] + len(x["part"]), x["n"], x["ids"], x["spans"]) for x in parts]
                 ids = merged(codec, text, pieces).ids
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("text_key").slice(i, 1), pa.array([ids.astype("<u4").tobytes()], pa.binary()),
@@ -244,9 +264,9 @@ def encode(docs: DataFrame, path: str, leaf_chars: int = LEAF_CHARS) -> DataFram
     parts = long.groupBy("text_key").agg(F.first("text").alias("text")).mapInArrow(
         _split(leaf_chars), "text_key binary, leaf int, lo bigint, part string")
     coded = parts.repartition("text_key", "leaf").mapInArrow(
-        _encode_leaves(path), "text_key binary, leaf int, lo bigint, part string, ids binary, spans binary")
+        _encode_leaves(path), "text_key binary, leaf int, lo bigint, part string, n bigint, ids binary, spans binary")
     whole = coded.groupBy("text_key").agg(
-        F.collect_list(F.struct("leaf", "lo", "part", "ids", "spans")).alias("leaves")
+        F.collect_list(F.struct("leaf", "lo", "part", "n", "ids", "spans")).alias("leaves")
     ).mapInArrow(_join_leaves(path), "text_key binary, ids binary, decoded string")
     return short.unionByName(long.select("doc_id", "text_key").join(whole, "text_key").drop("text_key"))
 

@@ -28,6 +28,14 @@ def test_tree_equals_the_library():
         assert got == codec.encode(text).ids
 
 
+def test_packed_pieces_come_back():
+    codec, rng = bpe.Codec(PATH), random.Random(6)
+    for text in ["", " ", "日本語" * 30, "x" * 70_000 + " y", *[random_text(rng, 50) for _ in range(50)]]:
+        p = bpe.piece(codec, text, 0, len(text))
+        q = bpe.unpacked_piece(0, len(text), len(p.ids), *bpe.packed_piece(p))
+        assert q.ids.tolist() == p.ids.tolist() and q.spans.tolist() == p.spans.tolist()
+
+
 def test_columns_equal_the_library():
     codec, rng = bpe.Codec(PATH), random.Random(5)
     texts = [random_text(rng, rng.choice([0, 5, 60])) for _ in range(300)] + [None, "", " ", "\n a"]
