@@ -5,9 +5,11 @@ import json
 import os
 
 import workbooks
+from starproof import specs
 
+# The raw headers as the exports spell them.
 HEADERS = ["Date Commande", "N° Commande", "N° Ligne", "Code Client", "Code Produit", "Quantité ", "PU Vente HT ", "Remise %", "Code Commercial", "Statut"]
-MONTHS = ("Janv", "Févr", "Mars", "Avr", "Mai", "Juin", "Juil", "Août", "Sept", "Oct", "Nov", "Déc")
+MONTHS = specs.BUDGET_LAYOUT.month_labels
 JANUARY = [
     ["05/01/2024", "O1", "1", "C1", "P1", "2", "1 000,50", "10.0", "S1", "Livrée"],
     ["05/01/2024", "O1", "1", "C1", "P1", "2", "1 000,50", "10.0", "S1", "Livrée"],

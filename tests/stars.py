@@ -1,8 +1,9 @@
-"""Small hand-computed stars."""
+"""Small invented stars; expectations are computed from their rows, not written down."""
 
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 SCHEMAS = {
     "dim_region": "region_code string, region_name string",
@@ -16,43 +17,58 @@ SCHEMAS = {
     "fact_budget": "period string, region_code string, category string, budget_revenue double, budget_margin double",
 }
 
+COSTS = {"cup": 1.25, "oven": 310.0, "apron": 7.5}
+CATEGORIES = {"cup": "Consommables", "oven": "Gros équipement", "apron": "Mobilier"}
+
 
 def make(spark, **rows):
     return {t: spark.createDataFrame(rows.get(t, []), schema) for t, schema in SCHEMAS.items()}
 
 
-def _decimal(x):
-    from decimal import Decimal
-
-    return Decimal(str(x))
+def product(code):
+    return (code, code, CATEGORIES[code], None, Decimal(str(COSTS[code])), None, None)
 
 
-def product(code, category, cost):
-    return (code, code, category, None, _decimal(cost), _decimal(cost * 2), None)
+def customer(code, segment, region):
+    return (code, f"Maison {code}", segment, None, region, None, None, date(2018, 6, 30))
 
 
-def customer(code, name, segment, region):
-    return (code, name, segment, None, region, None, None, date(2019, 1, 1))
+#: One delivered order of three lines in spring, one returned order.
+SHOP_LINES = [("l1", "spring", "cup", 240, 2.75, 0.0), ("l2", "spring", "oven", 3, 499.0, 0.04), ("l3", "spring", "apron", 11, 16.0, 0.0),
+              ("l1", "back", "oven", 1, 520.0, 0.0)]
 
 
-def tiny(spark, **changes):
+def shop(spark, **changes):
     rows = dict(
-        dim_region=[("R01", "Île-de-France")],
-        dim_salesperson=[("S1", "Alice", "R01", date(2020, 1, 1))],
-        dim_product=[product("P1", "Consommables", 5), product("P2", "Mobilier", 2)],
-        dim_customer=[customer("C1", "Chez Un", "PME", "R01")],
-        fact_order=[("O1", date(2024, 1, 15), "C1", "S1", "Livrée"), ("O2", date(2024, 1, 20), "C1", "S1", "Annulée")],
-        fact_line=[("1", "O1", "P1", 2, 10.0, 0.0), ("2", "O1", "P2", 1, 5.0, 0.0), ("1", "O2", "P1", 10, 100.0, 0.0)],
-        fact_budget=[("2024-01", "R01", "Consommables", 1000.0, 400.0)],
+        dim_region=[("R03", "Est")],
+        dim_salesperson=[("V7", "Odile", "R03", date(2017, 9, 4))],
+        dim_product=[product(p) for p in COSTS],
+        dim_customer=[customer("K1", "Grands Comptes", "R03")],
+        fact_order=[("spring", date(2023, 4, 18), "K1", "V7", "Livrée"), ("back", date(2023, 4, 25), "K1", "V7", "Retour")],
+        fact_line=SHOP_LINES,
+        fact_budget=[("2023-04", "R03", "Gros équipement", 1800.0, 650.0)],
     )
     return make(spark, **{**rows, **changes})
 
 
-def tiny_reports(spark):
+def revenue(line):
+    return line[3] * line[4] * (1 - line[5])
+
+
+def margin(line):
+    return revenue(line) - line[3] * COSTS[line[2]]
+
+
+SHOP_SOLD = [x for x in SHOP_LINES if x[1] == "spring"]
+SHOP_REVENUE = sum(map(revenue, SHOP_SOLD))
+SHOP_MARGIN = sum(map(margin, SHOP_SOLD))
+
+
+def shop_reports(spark):
     one = lambda schema, row: spark.createDataFrame([row], schema)
     return {
-        "sales": one("rows_after_dedup bigint, invalid_dates bigint, invalid_amounts bigint", (3, 1, 1)),
-        "products": one("categories_canonical bigint", (2,)),
+        "sales": one("rows_after_dedup bigint, invalid_dates bigint, invalid_amounts bigint", (len(SHOP_LINES), 2, 5)),
+        "products": one("categories_canonical bigint", (len(COSTS),)),
         "customers": one("invalid_segments bigint, distinct_segments bigint", (0, 1)),
         "budget": one(
             "rows bigint, regions bigint, categories bigint, periods bigint, leaked_subtotals bigint,"
@@ -60,29 +76,34 @@ def tiny_reports(spark):
     }
 
 
-def tiny_expected(spark, **changes):
-    row = dict(ca_reconcilie_attendu_eur=25.0, nb_lignes_apres_dedup=3, nb_dates_invalides_attendu=1,
-               nb_montants_invalides_attendu=1, nb_categories_apres_normalisation=2)
+def shop_expected(spark, **changes):
+    row = dict(ca_reconcilie_attendu_eur=SHOP_REVENUE, nb_lignes_apres_dedup=len(SHOP_LINES), nb_dates_invalides_attendu=2,
+               nb_montants_invalides_attendu=5, nb_categories_apres_normalisation=len(COSTS))
     row.update(changes)
     schema = ", ".join(f"{k} {'double' if k.startswith('ca') else 'bigint'}" for k in row)
     return spark.createDataFrame([tuple(row.values())], schema)
 
 
-def bridge(spark, orders, lines, people=(("S1", "Alice"),)):
+def journal(spark, orders, lines, people=(("V7", "Odile"),)):
+    """Facts and salespeople only."""
     return make(
         spark, fact_order=orders, fact_line=lines,
-        dim_salesperson=[(c, n, "R01", None) for c, n in people],
+        dim_salesperson=[(c, n, "R03", None) for c, n in people],
     )
 
 
-def multi_axis(spark):
+#: Every axis splits these facts in two parts of different size: 2022 in the north, 2023 in the west.
+NORTH, WEST = ("l1", "n", "cup", 70, 3.5, 0.1), ("l1", "w", "apron", 9, 21.0, 0.0)
+
+
+def two_regions(spark):
     return make(
         spark,
-        dim_region=[("R01", "Île-de-France"), ("R04", "Sud")],
-        dim_salesperson=[("S1", "Alice", "R01", None), ("S2", "Bob", "R04", None)],
-        dim_product=[product("P1", "Consommables", 5), product("P2", "Mobilier", 2)],
-        dim_customer=[customer("C1", "Un", "PME", "R01"), customer("C2", "Deux", "Grands Comptes", "R04")],
-        fact_order=[("O1", date(2024, 1, 10), "C1", "S1", "Livrée"), ("O2", date(2025, 1, 10), "C2", "S2", "Livrée")],
-        fact_line=[("1", "O1", "P1", 2, 10.0, 0.0), ("1", "O2", "P2", 4, 5.0, 0.0)],
-        fact_budget=[("2024-01", "R01", "Consommables", 1000.0, 400.0), ("2025-01", "R04", "Mobilier", 500.0, 200.0)],
+        dim_region=[("R02", "Nord"), ("R05", "Ouest")],
+        dim_salesperson=[("V7", "Odile", "R02", None), ("V8", "Marius", "R05", None)],
+        dim_product=[product("cup"), product("apron")],
+        dim_customer=[customer("K1", "Indépendants", "R02"), customer("K2", "PME", "R05")],
+        fact_order=[("n", date(2022, 11, 3), "K1", "V7", "Livrée"), ("w", date(2023, 11, 7), "K2", "V8", "Livrée")],
+        fact_line=[NORTH, WEST],
+        fact_budget=[("2022-11", "R02", "Consommables", 260.0, 130.0), ("2023-11", "R05", "Mobilier", 170.0, 95.0)],
     )

@@ -84,30 +84,33 @@ def test_sales_from_workbooks(spark, tmp_path):
     assert first(got.reports["sales"])["rows_kept"] == 4 and first(got.reports["sales"])["invalid_dates"] == 1
 
 
+SHOP = stars.SHOP_LINES
+
+
 @pytest.mark.parametrize("change, failing", [
-    (dict(fact_line=[("2", "O1", "P2", 1, 5.0, 0.0), ("1", "O2", "P1", 10, 100.0, 0.0)]), "Reconciled revenue (€)"),
-    (dict(fact_line=[("1", "O1", "P1", 2, 10.0, 0.0), ("2", "O1", "ZZ", 1, 5.0, 0.0)]), "FK lines -> products"),
-    (dict(fact_line=[("1", "O1", "P1", 2, 10.0, 0.0), ("2", "O1", "P2", 1, 5.0, 0.0), ("1", "O9", "P1", 1, 1.0, 0.0)]), "FK lines -> orders"),
+    (dict(fact_line=SHOP[1:]), "Reconciled revenue (€)"),
+    (dict(fact_line=[SHOP[0], SHOP[1], (*SHOP[2][:2], "unlisted", *SHOP[2][3:]), SHOP[3]]), "FK lines -> products"),
+    (dict(fact_line=[*SHOP, ("l9", "lost", "cup", 1, 1.0, 0.0)]), "FK lines -> orders"),
     (dict(dim_customer=[]), "FK orders -> customers"),
     (dict(dim_salesperson=[]), "FK orders -> salespeople"),
     (dict(dim_region=[]), "FK budget -> regions"),
 ])
 def test_star_mutations_fail_one_check(spark, change, failing):
-    star = stars.tiny(spark, **change)
-    report = checks.reconcile(star, stars.tiny_reports(spark), stars.tiny_expected(spark))
+    star = stars.shop(spark, **change)
+    report = checks.reconcile(star, stars.shop_reports(spark), stars.shop_expected(spark))
     assert [r.label for r in report.filter("NOT ok").collect()] == [failing]
     with pytest.raises(checks.IntegrityError, match="1 of 12"):
         checks.gate(report)
 
 
 @pytest.mark.parametrize("key, value, failing", [
-    ("nb_lignes_apres_dedup", 999, "Rows after de-duplication"), ("nb_dates_invalides_attendu", 0, "Invalid dates"),
-    ("nb_montants_invalides_attendu", 7, "Invalid amounts"), ("nb_categories_apres_normalisation", 6, "Canonical categories"),
-    ("ca_reconcilie_attendu_eur", 26.0, "Reconciled revenue (€)"), ("ca_reconcilie_attendu_eur", 0.0, "Reconciled revenue (€)"),
-    ("ca_reconcilie_attendu_eur", -25.0, "Reconciled revenue (€)"),
+    ("nb_lignes_apres_dedup", 41, "Rows after de-duplication"), ("nb_dates_invalides_attendu", 0, "Invalid dates"),
+    ("nb_montants_invalides_attendu", 3, "Invalid amounts"), ("nb_categories_apres_normalisation", 8, "Canonical categories"),
+    ("ca_reconcilie_attendu_eur", stars.SHOP_REVENUE * 1.01, "Reconciled revenue (€)"),
+    ("ca_reconcilie_attendu_eur", 0.0, "Reconciled revenue (€)"), ("ca_reconcilie_attendu_eur", -stars.SHOP_REVENUE, "Reconciled revenue (€)"),
 ])
 def test_manifest_mutations_fail(spark, key, value, failing):
-    report = checks.reconcile(stars.tiny(spark), stars.tiny_reports(spark), stars.tiny_expected(spark, **{key: value}))
+    report = checks.reconcile(stars.shop(spark), stars.shop_reports(spark), stars.shop_expected(spark, **{key: value}))
     assert [r.label for r in report.filter("NOT ok").collect()] == [failing]
 
 
@@ -116,15 +119,15 @@ def test_manifest_mutations_fail(spark, key, value, failing):
     ("budget", "leaked_subtotals", 1, "Complete budget grid"), ("budget", "duplicate_keys", 1, "Complete budget grid"),
 ])
 def test_report_mutations_fail(spark, source, column, value, failing):
-    reports = stars.tiny_reports(spark)
+    reports = stars.shop_reports(spark)
     reports[source] = reports[source].withColumn(column, F.lit(value).cast("bigint"))
-    report = checks.reconcile(stars.tiny(spark), reports, stars.tiny_expected(spark))
+    report = checks.reconcile(stars.shop(spark), reports, stars.shop_expected(spark))
     assert [r.label for r in report.filter("NOT ok").collect()] == [failing]
 
 
 def test_duplicate_keys_and_unknown_regions_are_reported(spark):
-    star = stars.tiny(spark, dim_customer=[stars.customer("C1", "a", "PME", "R01")] * 2)
-    strays = spark.createDataFrame([("2024-01", "Atlantide")], "period string, region_name string")
+    star = stars.shop(spark, dim_customer=[stars.customer("K1", "PME", "R03")] * 2)
+    strays = spark.createDataFrame([("2023-04", "Atlantide")], "period string, region_name string")
     bad = {r.label: r.obtained for r in checks.structural_checks(star, strays).filter("NOT ok").collect()}
     assert bad == {"PK dim_customer unique": 1.0, "Budget rows with an unknown region": 1.0}
 

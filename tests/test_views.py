@@ -15,69 +15,81 @@ def rows(df):
 
 
 @pytest.fixture(scope="module")
-def tiny_views(spark):
-    built = views.build_views(stars.tiny(spark))
+def shop_views(spark):
+    built = views.build_views(stars.shop(spark))
     return {k: rows(v) for k, v in built.items()}
 
 
-def test_twelve_views(tiny_views):
-    assert set(tiny_views) == {
+def test_twelve_views(shop_views):
+    assert set(shop_views) == {
         "summary", "by_year", "monthly", "by_category", "budget_monthly", "budget_by_region", "category_mix",
         "by_salesperson", "by_segment", "client_pareto", "client_top", "by_discount_band",
     }
 
 
-def test_hand_computed_values(tiny_views):
-    s = tiny_views["summary"][0]
-    assert (s["revenue"], s["margin"], s["margin_rate_pct"]) == (25.0, 13.0, 52.0)
-    assert (s["variance_revenue"], s["variance_margin"]) == (-975.0, 13.0 - 400)
-    assert s["revenue_yoy_pct"] is None and s["margin_rate_delta_pts"] is None and s["active_customers"] == 1
-    by_category = {r["category"]: r for r in tiny_views["by_category"]}
-    assert by_category["Consommables"] == {
-        "category": "Consommables", "revenue": 20.0, "margin": 10.0, "margin_rate_pct": 50.0, "revenue_share_pct": 80.0}
-    assert by_category["Mobilier"]["margin_rate_pct"] == 60.0 and by_category["Mobilier"]["revenue_share_pct"] == 20.0
-    assert tiny_views["client_pareto"] == [{"rank": 1, "revenue": 25.0, "cumulative_pct": 100.0}]
-    assert [(r["discount_band"], r["line_count"]) for r in tiny_views["by_discount_band"]] == [("0 %", 2)]
-    assert tiny_views["category_mix"] == [
-        {"category": "Consommables", "part_2024": 80.0}, {"category": "Mobilier", "part_2024": 20.0}]
-    assert tiny_views["budget_monthly"][0]["variance_revenue_pct"] == -97.5
-
-
-def test_revenue_equals_the_reconciled_figure(spark, tiny_views):
-    star = stars.tiny(spark)
-    assert reporting.delivered_revenue(star["fact_line"], star["fact_order"]).first()[0] == tiny_views["summary"][0]["revenue"]
+def near(x):
+    return pytest.approx(x, rel=1e-9)
 
 
-@pytest.mark.parametrize("filters", [
-    Filters(months=["2024-01"]), Filters(regions=["Sud"]), Filters(segments=["PME"]), Filters(salespeople=["Bob"]),
+def test_values_follow_from_the_lines(shop_views):
+    revenue, margin = stars.SHOP_REVENUE, stars.SHOP_MARGIN
+    s = shop_views["summary"][0]
+    assert (s["revenue"], s["margin"], s["margin_rate_pct"]) == (near(revenue), near(margin), near(100 * margin / revenue))
+    assert (s["variance_revenue"], s["variance_margin"]) == (near(revenue - 1800), near(margin - 650))
+    assert s["revenue_yoy_pct"] is None and s["margin_rate_delta_pts"] is None and s["active_customers"] == 1
+    by_category = {r["category"]: r for r in shop_views["by_category"]}
+    for line in stars.SHOP_SOLD:
+        r, m = stars.revenue(line), stars.margin(line)
+        got = by_category.pop(stars.CATEGORIES[line[2]])
+        assert got == {"category": got["category"], "revenue": near(r), "margin": near(m), "margin_rate_pct": near(100 * m / r),
+                       "revenue_share_pct": near(100 * r / revenue)}
+    assert not by_category
+    assert shop_views["client_pareto"] == [{"rank": 1, "revenue": near(revenue), "cumulative_pct": 100.0}]
+    assert sorted((r["discount_band"], r["line_count"]) for r in shop_views["by_discount_band"]) == [("0 %", 2), ("1-5 %", 1)]
+    assert {r["category"]: r["part_2023"] for r in shop_views["category_mix"]} == {
+        stars.CATEGORIES[x[2]]: near(100 * stars.revenue(x) / revenue) for x in stars.SHOP_SOLD}
+    assert sum(r["variance_revenue"] or 0 for r in shop_views["budget_monthly"]) == near(revenue - 1800)
+
+
+def test_revenue_equals_the_reconciled_figure(spark, shop_views):
+    star = stars.shop(spark)
+    assert reporting.delivered_revenue(star["fact_line"], star["fact_order"]).first()[0] == shop_views["summary"][0]["revenue"]
+
+
+@pytest.mark.parametrize("filters, line, budget", [
+    (Filters(months=["2022-11"]), stars.NORTH, 260.0), (Filters(regions=["Ouest"]), stars.WEST, 170.0),
+    (Filters(segments=["Indépendants"]), stars.NORTH, 430.0), (Filters(salespeople=["Marius"]), stars.WEST, 430.0),
 ])
-def test_each_filter_halves_the_total(spark, filters):
-    built = views.build_views(stars.multi_axis(spark), filters)
+def test_each_filter_leaves_one_part(spark, filters, line, budget):
+    built = views.build_views(stars.two_regions(spark), filters)
     s = rows(built["summary"])[0]
-    assert s["revenue"] == 20.0 and s["revenue_yoy_pct"] is None
-    assert sum(r["revenue_share_pct"] for r in rows(built["by_category"])) == 100.0
-    assert s["budget_revenue"] == {True: 1500.0, False: 1000.0 if filters.months else 500.0}[not (filters.months or filters.regions)]
+    assert s["revenue"] == near(stars.revenue(line)) and s["revenue_yoy_pct"] is None
+    assert sum(r["revenue_share_pct"] for r in rows(built["by_category"])) == near(100.0)
+    assert s["budget_revenue"] == budget
 
 
 def test_filters_on_a_stored_base_give_the_same(spark):
-    star = stars.multi_axis(spark)
+    star = stars.two_regions(spark)
     base = views.stored_base(star)
-    for filters in (Filters(), Filters(months=["2025-01"], segments=["Grands Comptes"]), Filters(regions=["Sud"], salespeople=["Alice"])):
+    for filters in (Filters(), Filters(months=["2023-11"], segments=["PME"]), Filters(regions=["Ouest"], salespeople=["Odile"])):
         a, b = views.build_views(star, filters), views.build_views(star, filters, base=base)
         for name in ("summary", "by_category", "budget_by_region", "client_pareto", "by_salesperson"):
             assert rows(a[name]) == rows(b[name])
 
 
 def test_no_filter_and_empty_selection_are_the_same(spark):
-    star = stars.multi_axis(spark)
+    star = stars.two_regions(spark)
+    before, after = stars.revenue(stars.NORTH), stars.revenue(stars.WEST)
+    delta = 100 * stars.margin(stars.WEST) / after - 100 * stars.margin(stars.NORTH) / before
     for filters in (Filters(), Filters(months=[], regions=[])):
         built = views.build_views(star, filters)
         s = rows(built["summary"])[0]
-        assert s["revenue"] == 40.0 and s["revenue_yoy_pct"] == 0.0 and s["margin_rate_delta_pts"] == 60.0 - 50.0
+        assert s["revenue"] == near(before + after) and s["revenue_yoy_pct"] == near(100 * (after - before) / before)
+        assert s["margin_rate_delta_pts"] == near(delta)
 
 
 def test_filter_without_match(spark):
-    built = views.build_views(stars.multi_axis(spark), Filters(months=["2099-12"]))
+    built = views.build_views(stars.two_regions(spark), Filters(months=["1987-02"]))
     s = rows(built["summary"])[0]
     assert s["revenue"] == 0.0 and s["margin_rate_pct"] is None and s["active_customers"] == 0
     assert rows(built["monthly"]) == [] and rows(built["client_pareto"]) == []
@@ -91,69 +103,75 @@ def test_selection_rules():
 
 
 def test_unknown_dimension_stays_visible(spark):
-    star = stars.tiny(spark, dim_customer=[], dim_product=[stars.product("P1", "Consommables", 5)])
+    star = stars.shop(spark, dim_customer=[], dim_product=[stars.product("cup")])
     got = facts.delivered_lines(star, ["segment", "category"]).collect()
-    assert sorted((r.category or "", r.segment, float(r.revenue), r.margin is None) for r in got) == [
-        ("", None, 5.0, True), ("Consommables", None, 20.0, False)]
+    want = [(stars.CATEGORIES["cup"] if x[2] == "cup" else "", None, near(stars.revenue(x)), x[2] != "cup") for x in stars.SHOP_SOLD]
+    key = lambda r: (r[0], float(r[2]) if isinstance(r[2], float) else r[2].expected)
+    assert sorted(((r.category or "", r.segment, float(r.revenue), r.margin is None) for r in got), key=key) == sorted(want, key=key)
 
 
 def test_order_multiplicity_and_null_discount(spark):
-    star = stars.tiny(spark, fact_line=[("1", "O1", "P1", 2, 10.0, None), ("2", "O1", "P2", 1, 5.0, 0.0)])
+    lines = [(*stars.SHOP_LINES[0][:5], None), stars.SHOP_LINES[2]]
+    star = stars.shop(spark, fact_line=lines)
     bands = {r["discount_band"]: r for r in rows(views.by_discount_band(facts.delivered_lines(star, ["discount_band"])))}
     assert bands["> 10 %"]["line_count"] == 1 and bands["> 10 %"]["revenue"] is None
 
 
 # --- reporting bridge -----------------------------------------------------------
 
-D = date(2024, 1, 5)
+D = date(2023, 8, 9)
+
+
+def sold(*lines, order="o", day=D, person="V7", status="Livrée"):
+    return [(order, day, "K1", person, status)], [(str(i), order, "cup", q, p, d) for i, (q, p, d) in enumerate(lines)]
 
 
 def test_discount_applies(spark):
-    star = stars.bridge(spark, [("O1", D, "C1", "S1", "Livrée")], [("1", "O1", "P1", 10, 100.0, 0.2)])
-    _, by_month, by_rep = reporting.reporting_views(star)
-    assert rows(by_month) == [{"month": "2024-01", "revenue": 800.0}] and rows(by_rep) == [{"salesperson": "Alice", "revenue": 800.0}]
+    _, by_month, by_rep = reporting.reporting_views(stars.journal(spark, *sold((6, 45.0, 0.15))))
+    amount = near(6 * 45.0 * 0.85)
+    assert rows(by_month) == [{"month": "2023-08", "revenue": amount}] and rows(by_rep) == [{"salesperson": "Odile", "revenue": amount}]
 
 
 def test_missing_price_keeps_the_line(spark):
-    star = stars.bridge(spark, [("O1", D, "C1", "S1", "Livrée")], [("1", "O1", "P1", 1, 100.0, 0.0), ("2", "O1", "P1", 1, None, 0.0)])
-    lines, by_month, _ = reporting.reporting_views(star)
+    lines, by_month, _ = reporting.reporting_views(stars.journal(spark, *sold((2, 31.5, 0.0), (4, None, 0.0))))
     assert lines.count() == 2 and lines.filter("amount IS NULL").count() == 1
-    assert rows(by_month)[0]["revenue"] == 100.0
+    assert rows(by_month)[0]["revenue"] == 63.0
     k = reporting.dashboard_kpis(lines).first()
-    assert (k.total_revenue, k.valid_line_count, k.active_months, k.last_mom_growth_pct) == (100.0, 1, 1, None)
+    assert (k.total_revenue, k.valid_line_count, k.active_months, k.last_mom_growth_pct) == (63.0, 1, 1, None)
 
 
 def test_missing_date_has_no_month(spark):
-    star = stars.bridge(spark, [("O1", None, "C1", "S1", "Livrée")], [("1", "O1", "P1", 1, 10.0, 0.0)])
-    lines, by_month, _ = reporting.reporting_views(star)
+    lines, by_month, _ = reporting.reporting_views(stars.journal(spark, *sold((3, 8.0, 0.0), day=None)))
     assert lines.first().month is None and by_month.count() == 0
     k = reporting.dashboard_kpis(lines).first()
-    assert (k.total_revenue, k.active_months, k.best_month, k.monthly_avg_revenue) == (10.0, 0, None, 0.0)
+    assert (k.total_revenue, k.active_months, k.best_month, k.monthly_avg_revenue) == (24.0, 0, None, 0.0)
 
 
 def test_unknown_salesperson_is_kept(spark):
-    star = stars.bridge(spark, [("O1", D, "C1", "S9", "Livrée")], [("1", "O1", "P1", 1, 99.0, 0.0)])
-    lines, _, by_rep = reporting.reporting_views(star)
-    assert float(lines.first().amount) == 99.0 and lines.first().salesperson is None and by_rep.count() == 0
+    lines, _, by_rep = reporting.reporting_views(stars.journal(spark, *sold((5, 12.0, 0.0), person="nobody")))
+    assert float(lines.first().amount) == 60.0 and lines.first().salesperson is None and by_rep.count() == 0
 
 
 def test_only_delivered_counts(spark):
-    orders = [("O1", D, "C1", "S1", "Livrée"), ("O2", D, "C1", "S1", "Retour"), ("O3", D, "C1", "S1", "Annulée")]
-    lines = [("1", "O1", "P1", 1, 10.0, 0.0), ("1", "O2", "P1", 1, 999.0, 0.0), ("1", "O3", "P1", 1, 999.0, 0.0)]
-    got, _, _ = reporting.reporting_views(stars.bridge(spark, orders, lines))
-    assert [float(r.amount) for r in got.collect()] == [10.0]
+    parts = [sold((1, price, 0.0), order=status, status=status) for status, price in (("Livrée", 14.0), ("Retour", 70.0), ("Annulée", 88.0))]
+    got, _, _ = reporting.reporting_views(stars.journal(spark, sum((o for o, _ in parts), []), sum((x for _, x in parts), [])))
+    assert [float(r.amount) for r in got.collect()] == [14.0]
 
 
 def test_kpis_and_series(spark):
-    orders = [(f"O{i}", date(2024, i, 5), "C1", "S1" if i < 3 else "S2", "Livrée") for i in range(1, 5)]
-    lines = [("1", f"O{i}", "P1", 1, p, 0.0) for i, p in ((1, 10.0), (2, 30.0), (3, 30.0), (4, 0.0))]
-    star = stars.bridge(spark, orders, lines, people=(("S1", "Alice"), ("S2", "Bob")))
+    prices = [24.0, 90.0, 0.0, 45.0, 45.0]
+    people = ("V7", "V7", "V8", "V8", "V8")
+    parts = [sold((1, p, 0.0), order=f"o{i}", day=date(2023, i, 5), person=v) for i, (p, v) in enumerate(zip(prices, people), start=1)]
+    star = stars.journal(spark, sum((o for o, _ in parts), []), sum((x for _, x in parts), []), people=(("V7", "Odile"), ("V8", "Marius")))
     got, by_month, _ = reporting.reporting_views(star)
     k = reporting.dashboard_kpis(got).first()
-    assert (k.best_month, k.worst_month, k.top_salesperson, k.top_salesperson_revenue, k.active_salespeople) == ("2024-02", "2024-04", "Alice", 40.0, 2)
-    assert (k.last_mom_growth_pct, k.average_basket, k.monthly_avg_revenue) == (-100.0, 17.5, 17.5)
-    assert [r["cumulative_revenue"] for r in rows(reporting.cumulative_revenue(by_month))] == [10.0, 40.0, 70.0, 70.0]
-    assert [(r["month"], r["variation_pct"]) for r in rows(reporting.month_over_month(by_month))] == [("2024-02", 200.0), ("2024-03", 0.0), ("2024-04", -100.0)]
+    assert (k.best_month, k.worst_month, k.top_salesperson, k.top_salesperson_revenue, k.active_salespeople) == (
+        "2023-02", "2023-03", "Odile", prices[0] + prices[1], 2)
+    assert (k.last_mom_growth_pct, k.average_basket, k.monthly_avg_revenue) == (0.0, near(sum(prices) / 5), near(sum(prices) / 5))
+    assert [r["cumulative_revenue"] for r in rows(reporting.cumulative_revenue(by_month))] == [sum(prices[: i + 1]) for i in range(5)]
+    change = [(f"2023-{i + 1:02d}", 100 * (b - a) / a if a else None) for i, (a, b) in enumerate(zip(prices, prices[1:]), start=1)]
+    got = [(r["month"], r["variation_pct"]) for r in rows(reporting.month_over_month(by_month))]
+    assert got in ([(m, near(v) if v is not None else None) for m, v in change], [(m, near(v)) for m, v in change if v is not None])
 
 
 # --- ranking ---------------------------------------------------------------------
@@ -175,7 +193,7 @@ def test_running_share_equals_one_global_window(spark, partitions):
 
 
 def test_results_do_not_depend_on_partitions(spark):
-    star = stars.multi_axis(spark)
+    star = stars.two_regions(spark)
     base = facts.delivered_lines(star, ["month", "segment", "customer_code"])
     one = rows(views.by_segment(base.coalesce(1)))
     assert one == rows(views.by_segment(base.repartition(7)))
