@@ -25,8 +25,7 @@ def _every(key: Column, n: int) -> Column:
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    # writing text is the costly part: a shuffle join spreads it even when the scan is one split
-    flat = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    flat = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     price = F.when(_every(F.col("l_orderkey"), BAD_PRICE_EVERY), "N/A").otherwise(raw_amount(F.col("l_extendedprice")))
     date = F.when(
         _every(F.col("l_orderkey"), BAD_DATE_EVERY), F.concat(F.lit("32/13/"), F.date_format("o_orderdate", "yyyy"))
@@ -106,7 +105,7 @@ NUMBER_SQL = r"'^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$'"
 
 def parse_amount_sql(x: str) -> str:
     clean = f"replace(replace(replace({x}, chr(160), ''), ' ', ''), ',', '.')"
-    return f"(CASE WHEN regexp_full_match({clean}, {NUMBER_SQL}) THEN TRY_CAST({clean} AS DECIMAL(18,4)) END)"
+    return f"(CASE WHEN regexp_full_match({clean}, {NUMBER_SQL}) THEN TRY_CAST({clean} AS DECIMAL(28,8)) END)"
 
 
 def parse_date_sql(x: str, iso: bool = True) -> str:

@@ -13,7 +13,7 @@ from starproof.operators.cleaning import prepare
 from starproof.operators.schema import union_by_name
 from starproof.plans import publish, views
 from starproof.sources import files, readers
-from starproof.sources.store import materialise, shared_dir
+from starproof.sources.store import materialise, run_dir
 from starproof.sources.warehouse import DELIVERED, star, table
 
 _LABELS = specs.BUDGET_LAYOUT.month_labels
@@ -100,6 +100,20 @@ def budget_counters(spark, sf_dir):
     return counters.budget_counters(long, rows)
 
 
+@query("budget_duplicate_keys", f"""WITH {BUDGET}, {_NAMED}, {_GRID_SQL}
+SELECT count(*) + count(*) FILTER (WHERE y % 2 = 0) AS rows, count(*) FILTER (WHERE y % 2 = 0) AS duplicate_keys,
+       {dbl('sum(round(budget_revenue) * CASE WHEN y % 2 = 0 THEN 2 ELSE 1 END)')} AS budget_revenue
+FROM (SELECT *, CAST(period[:4] AS INTEGER) AS y FROM grid)""")
+def budget_duplicate_keys(spark, sf_dir):
+    """Every even year lands in two files: both are kept, and each second row counts as a duplicate key."""
+    grid = _grid(spark, sf_dir)
+    again = grid.filter(parsing.year_in_file_name(F.col("file")) % 2 == 0).withColumn(
+        "file", F.replace("file", F.lit(".parquet"), F.lit("_v2.parquet")))
+    long, rows = reshape.reshape_budget(grid.unionByName(again))
+    total = long.agg(F.sum("budget_revenue").cast("double").alias("t")).scalar()
+    return counters.budget_counters(long, rows).select("rows", "duplicate_keys", total.alias("budget_revenue"))
+
+
 @query("forward_fill", """SELECT o_custkey AS customer_code, o_orderkey AS order_id,
        last_value(CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority END IGNORE NULLS)
          OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS priority FROM orders""")
@@ -141,7 +155,7 @@ def period_from_label(spark, sf_dir):
 def _scratch(spark, name: str) -> str:
     import uuid
 
-    return f"{shared_dir(spark).rstrip('/')}/starproof/{name}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def _parts(spark, directory: str, suffix: str) -> list[str]:
@@ -169,6 +183,28 @@ def sales_csv_scan(spark, sf_dir):
     )
 
 
+@query("sales_mixed_exports", f"""WITH {x.RAW_SALES}
+SELECT CASE l % 3 WHEN 0 THEN 'Livrée' WHEN 1 THEN 'Livrée à midi' ELSE 'Livrée' || chr(10) || 'le soir' END AS status,
+       count(*) AS lines, sum(quantity)::BIGINT AS quantity, count(DISTINCT order_id) AS orders
+FROM (SELECT *, order_id % 3 AS l FROM raw_sales) GROUP BY ALL""")
+def sales_mixed_exports(spark, sf_dir):
+    """One UTF-8 export, one single-byte export and one with line breaks in quoted cells, read as one source."""
+    raw = x.raw_sales(spark, sf_dir)
+    texts = raw.select(*[c for c in raw.columns if not c.startswith("_")])
+    share = F.col("N° Commande").cast("bigint") % 3
+    paths = []
+    for i, (charset, status) in enumerate((("UTF-8", "Livrée"), ("ISO-8859-1", "Livrée à midi"), ("UTF-8", "Livrée\nle soir"))):
+        target = _scratch(spark, f"export_ventes_{i}")
+        texts.filter(share == i).withColumn("Statut", F.lit(status)).write.csv(
+            target, sep=";", header=True, encoding=charset, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        paths += _parts(spark, target, ".csv")
+    scanned = prepare(readers.read_csv(spark, paths, ";", specs.SALES.encoding, specs.SALES), specs.SALES)
+    return scanned.groupBy("status").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.col("quantity").cast("bigint")).alias("quantity"),
+        F.countDistinct("order_id").alias("orders"),
+    )
+
+
 @query("customer_csv_latin", """SELECT c_custkey AS customer_code, c_name || ' Hôtel' AS company_name, c_mktsegment AS segment FROM customer""")
 def customer_csv_latin(spark, sf_dir):
     """A single-byte customer export: encoding found from the bytes, then decoded."""
@@ -176,8 +212,7 @@ def customer_csv_latin(spark, sf_dir):
     target = _scratch(spark, "export_clients_crm")
     raw.write.csv(target, sep=";", header=True, encoding="ISO-8859-1")
     paths = _parts(spark, target, ".csv")
-    encoding = readers.choose_encoding(spark, paths, specs.CUSTOMERS.encoding)
-    scanned = readers.read_csv(spark, paths, ";", encoding, specs.CUSTOMERS)
+    scanned = readers.read_csv(spark, paths, ";", specs.CUSTOMERS.encoding, specs.CUSTOMERS)
     return scanned.select(
         F.col("customer_code").cast("bigint").alias("customer_code"), "company_name",
         F.upper(parsing.trimmed(F.col("segment"))).alias("segment"),
@@ -214,11 +249,20 @@ def staged_publish(spark, sf_dir):
     return spark.read.parquet(f"{final}/by_category").select("category", "revenue")
 
 
-@query("source_fingerprints")
+@query("source_fingerprints", "SELECT sha256(n_name || chr(10)) AS sha256 FROM nation")
 def source_fingerprints(spark, sf_dir):
-    return files.fingerprints(spark, sf_dir)
+    """One text file per nation, written by this query; the digest is that of its bytes."""
+    target = _scratch(spark, "nations")
+    named = table(spark, sf_dir, "nation").select("n_nationkey", F.concat(F.col("n_name")).alias("value"))
+    named.repartition("n_nationkey").write.partitionBy("n_nationkey").text(target)
+    return files.fingerprints(spark, target).filter(F.col("file_name").startswith("part-")).select("sha256")
 
 
-@query("source_status")
+@query("source_status", "SELECT count(DISTINCT year(o_orderdate)) AS sales_files, true AS manifest_present, true AS ready FROM orders")
 def source_status(spark, sf_dir):
-    return files.source_status(spark, sf_dir)
+    """A landing folder with one export per year of orders, and a manifest."""
+    target = _scratch(spark, "landing")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("export_ventes_"))
+    orders.write.partitionBy("export_ventes_").parquet(target)
+    publish.write_manifest(spark.range(1).select(F.lit("{}").alias("value")), f"{target}/{specs.MANIFEST_NAME}")
+    return files.source_status(spark, target)

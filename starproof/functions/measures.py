@@ -21,12 +21,12 @@ def year_key(d: Column) -> Column:
 
 
 def line_revenue(quantity: Column, unit_price: Column, discount_rate: Column) -> Column:
-    """quantity x price x (1 - discount); NULL when any part is missing."""
-    return (quantity * unit_price * (1 - discount_rate)).cast(specs.LINE_MONEY)
+    """quantity x price x (1 - discount); NULL when any part is missing or the product has too many digits."""
+    return F.try_multiply(F.try_multiply(quantity, unit_price), 1 - discount_rate).try_cast(specs.LINE_MONEY)
 
 
 def line_cost(quantity: Column, unit_cost: Column) -> Column:
-    return (quantity * unit_cost).cast(specs.LINE_MONEY)
+    return F.try_multiply(quantity, unit_cost).try_cast(specs.LINE_MONEY)
 
 
 def as_double(c: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starproof import specs
+from starproof.functions import measures as m
 from starproof.operators.reshape import KEYS, is_subtotal
 
 
@@ -35,6 +36,13 @@ def sales_counters(audited: DataFrame, files_read: int | Column) -> DataFrame:
     ).select(files.alias("files_read"), "*")
 
 
+def overflowing_lines(lines: DataFrame) -> DataFrame:
+    """Lines whose parts are all readable but whose amount has too many digits, hence NULL."""
+    parts = [F.col(c) for c in ("quantity", "unit_price", "discount_rate")]
+    present = parts[0].isNotNull() & parts[1].isNotNull() & parts[2].isNotNull()
+    return lines.agg(F.count_if(present & m.line_revenue(*parts).isNull()).alias("overflowing_lines"))
+
+
 def product_counters(products: DataFrame) -> DataFrame:
     return products.agg(
         _rows().alias("rows"),

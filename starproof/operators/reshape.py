@@ -37,6 +37,34 @@ def grid_to_rows(grid: DataFrame, layout: specs.BudgetLayout = specs.BUDGET_LAYO
     )
 
 
+def budget_problem(grid: DataFrame, layout: specs.BudgetLayout = specs.BUDGET_LAYOUT) -> DataFrame:
+    """One row: what the first incomplete file lacks (a sheet's header row, or columns of it), else NULL.
+
+    A single grouped pass over the grid; only header rows are looked into.
+    """
+    labels = F.array(*[F.lit(x) for x in (layout.region_header, layout.category_header, *layout.month_labels)])
+    lacking = F.array_join(F.array_except(labels, F.transform("cells", lambda c: trimmed(c))), ", ")
+    sheets = [s for s, _ in layout.sheet_metrics]
+
+    def header_of(sheet: str):
+        return F.when((F.col("sheet") == sheet) & (F.col("row") == layout.header_row), lacking)
+
+    per_file = grid.groupBy("file").agg(*[F.max(header_of(s)).alias(f"_{i}") for i, s in enumerate(sheets)])
+    said = F.concat_ws("; ", *[
+        F.when(F.col(f"_{i}").isNull(), F.lit(f"no sheet {s} with a header in row {layout.header_row}"))
+        .when(F.col(f"_{i}") != "", F.concat(F.lit(f"sheet {s} lacks "), F.col(f"_{i}"))) for i, s in enumerate(sheets)
+    ])
+    return per_file.select(F.when(said != "", F.concat("file", F.lit(": "), said)).alias("problem")).agg(
+        F.min("problem").alias("problem"))
+
+
+def require_budget(grid: DataFrame, layout: specs.BudgetLayout = specs.BUDGET_LAYOUT) -> DataFrame:
+    """``grid``, failing when it is read if a file lacks a sheet, its header row or a column."""
+    problem = budget_problem(grid, layout).scalar()
+    return grid.filter(F.when(problem.isNotNull(), F.raise_error(
+        F.concat(F.lit("incomplete budget file "), problem)).cast("boolean")).otherwise(True))
+
+
 def fill_down(df: DataFrame, column: str, group: list[str], order: str, block_rows: int = 65536) -> DataFrame:
     """Carry the last non-null value downwards, inside each group, in row order.
 
@@ -86,18 +114,21 @@ def stack_metrics(long: DataFrame, keys: list[str], metric: str, value: str, met
 def reshape_budget(grid: DataFrame, layout: specs.BudgetLayout = specs.BUDGET_LAYOUT) -> tuple[DataFrame, DataFrame]:
     """Landed budget grid -> (long budget table, sheet rows before subtotals leave).
 
-    Both metrics go through one unpivot and one pivot instead of one pass each.
+    Both metrics go through one unpivot and one pivot instead of one pass each. Sheets are merged per file and, for
+    a key that a sheet holds more than once, occurrence by occurrence, so repeated rows stay and are counted.
+    A file without one of the sheets, its header row or a column is an error when the result is read.
     """
-    rows = fill_down(grid_to_rows(grid, layout), "region_name", ["file", "sheet"], "row")
+    rows = fill_down(grid_to_rows(require_budget(grid, layout), layout), "region_name", ["file", "sheet"], "row")
     metric_of_sheet = F.create_map(*[F.lit(x) for pair in layout.sheet_metrics for x in pair])
     metrics = [m for _, m in layout.sheet_metrics]
-    long = months_to_rows(
-        drop_subtotals(rows, layout), ["file", "sheet", "region_name", "category"], "amount", layout.month_labels
-    ).withColumn(
+    place = ["file", "sheet", "region_name", "category"]
+    detail = drop_subtotals(rows, layout).withColumn(
+        "occurrence", F.row_number().over(Window.partitionBy(*place).orderBy("row")))
+    long = months_to_rows(detail, [*place, "occurrence"], "amount", layout.month_labels).withColumn(
         "period",
         parsing.period_of_label(parsing.year_in_file_name(F.col("file")), F.col("month_label"), layout.month_labels),
     ).withColumn("metric", F.try_element_at(metric_of_sheet, F.col("sheet"))).filter("metric IS NOT NULL")
-    wide = stack_metrics(long, list(KEYS), "metric", "amount", metrics)
+    wide = stack_metrics(long, ["file", "occurrence", *KEYS], "metric", "amount", metrics).drop("file", "occurrence")
     return coerce(wide, specs.BUDGET), rows
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 import datetime as dt
 import sys
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from starproof import specs
 from starproof.operators.reshape import budget_to_wide
 from starproof.plans import checks, ingest, reporting, views
 from starproof.sources import files, readers
-from starproof.sources.store import materialise
+from starproof.sources.store import materialise, release
 
 STAGING = "_staging"
 
@@ -45,7 +46,7 @@ def output_paths(by_month: DataFrame, out_dir: str, stamp: str) -> tuple[str, st
     folder = row.folder or str(dt.date.today().year)
     name = f"{row.stem}_{stamp}"
     root = out_dir.rstrip("/")
-    return f"{root}/{STAGING}/{folder}/{name}", f"{root}/{folder}/{name}"
+    return f"{root}/{STAGING}/{folder}/{name}-{uuid.uuid4().hex}", f"{root}/{folder}/{name}"
 
 
 def write_set(tables: Mapping[str, DataFrame], staging: str) -> None:
@@ -150,11 +151,13 @@ def _detail(finance: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def main(argv: list[str]) -> int:
-    """Exit codes: 0 published or nothing to do, 2 manifest missing or a check failed."""
+    """Exit codes: 0 published, or a source is absent; 2 manifest missing or a check failed."""
     raw_dir, out_dir = argv
     spark = SparkSession.builder.appName("starproof").getOrCreate()
-    if not files.exists(spark, raw_dir) or not files.list_files(spark, raw_dir, specs.SALES.file_glob):
-        print(f"no source in {raw_dir}, nothing to do")
+    absent = [s.name for s in specs.SOURCES.values()
+              if not files.exists(spark, raw_dir) or not files.list_files(spark, raw_dir, s.file_glob)]
+    if absent:
+        print(f"nothing to do in {raw_dir}: no files of {', '.join(absent)}")
         return 0
     try:
         print(f"published {run(spark, raw_dir, out_dir)}")
@@ -162,6 +165,8 @@ def main(argv: list[str]) -> int:
     except (checks.IntegrityError, FileNotFoundError) as problem:
         print(f"not published: {problem}")
         return 2
+    finally:
+        release(spark)
 
 
 if __name__ == "__main__":

@@ -1,15 +1,15 @@
-"""File-level access: listing, header lines, fingerprints, readiness.
+"""File-level access: listing, fingerprints, readiness.
 
-Listing and header peeking go through Hadoop's FileSystem, so every URI scheme
-the session knows works here, and only metadata or one line per file reaches
-the driver. File contents are only ever read by tasks.
+Listing goes through Hadoop's FileSystem, so every URI scheme the session knows
+works here, and only metadata reaches the driver. File contents are only ever
+read by tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
 import hashlib
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from starproof import specs
 
 HASH_BLOCK = 1 << 20
-SINGLE_READ_LIMIT = 1 << 30
 
 
 def _path(spark: SparkSession, uri: str):
@@ -63,22 +62,6 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
-def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, bytes]:
-    """Raw first line of each file (a few KB per file, read in parallel)."""
-
-    def peek(uri: str) -> tuple[str, bytes]:
-        stream = filesystem(spark, uri).open(_path(spark, uri))
-        try:
-            head = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(
-                spark._jvm.org.apache.commons.io.input.BoundedInputStream(stream, 1 << 16)))
-        finally:
-            stream.close()
-        return uri, head.split(b"\n", 1)[0].rstrip(b"\r")
-
-    with ThreadPoolExecutor(16) as pool:
-        return dict(pool.map(peek, paths))
-
-
 def _listing(spark: SparkSession, directory: str) -> DataFrame:
     return spark.read.format("binaryFile").load(directory)
 
@@ -91,33 +74,30 @@ def file_inventory(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def source_status(spark: SparkSession, directory: str) -> DataFrame:
-    """Number of sales files, whether the manifest is there, and both together."""
-    sales_prefix = specs.SALES.file_glob.rstrip("*")
+    """Number of sales files, whether the manifest is there, and both together; a missing folder is not ready."""
+    if not exists(spark, directory):
+        return spark.range(1).select(
+            F.lit(0).cast("bigint").alias("sales_files"), F.lit(False).alias("manifest_present"), F.lit(False).alias("ready"))
     manifest = exists(spark, f"{directory.rstrip('/')}/{specs.MANIFEST_NAME}")
-    return file_inventory(spark, directory).agg(
-        F.count_if(F.col("file_name").startswith(sales_prefix)).alias("sales_files"),
-    ).withColumn("manifest_present", F.lit(manifest)).withColumn(
-        "ready", (F.col("sales_files") > 0) & F.col("manifest_present")
-    )
+    sales = len(list_files(spark, directory, specs.SALES.file_glob))
+    return spark.range(1).select(
+        F.lit(sales).cast("bigint").alias("sales_files"), F.lit(manifest).alias("manifest_present"),
+        F.lit(sales > 0 and manifest).alias("ready"))
 
 
-def fingerprints(spark: SparkSession, directory: str, single_read_limit: int = SINGLE_READ_LIMIT) -> DataFrame:
-    """SHA-256 of every file, one task per file; files over 1 GiB are hashed in blocks.
+def fingerprints(spark: SparkSession, directory: str) -> DataFrame:
+    """SHA-256 of every file, streamed in blocks by one task per file, whatever its size or name.
 
-    Scans skip names starting with ``_`` or ``.``: those control files are listed apart.
+    Scans skip names starting with ``_`` or ``.``: those control files are listed apart. Tasks open files
+    through Arrow's filesystems, so the directory must be on one that they know (local, hdfs, s3, gs, abfs).
     """
-    small = (
-        _listing(spark, directory)
-        .filter(F.col("length") <= single_read_limit)
-        .select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.sha2("content", 256).alias("sha256"))
-    )
-    large = file_inventory(spark, directory).filter(F.col("length") > single_read_limit)
+    seen = file_inventory(spark, directory).select("path")
     hidden = [
         (p,) for p in list_files(spark, directory) if p.rsplit("/", 1)[-1][0] in "_." and not is_directory(spark, p)
     ]
     if hidden:
-        large = large.select("path").unionByName(spark.createDataFrame(hidden, "path string"))
-    return small.unionByName(large.select("path").mapInArrow(_hash_in_blocks, "file_name string, sha256 string"))
+        seen = seen.unionByName(spark.createDataFrame(hidden, "path string"))
+    return seen.mapInArrow(_hash_in_blocks, "file_name string, sha256 string")
 
 
 def _hash_in_blocks(batches) -> Iterator:
@@ -127,9 +107,12 @@ def _hash_in_blocks(batches) -> Iterator:
     for batch in batches:
         rows = []
         for uri in batch.column("path").to_pylist():
-            system, path = fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri[:7] != "file://" else uri)
+            if uri.startswith("file:"):
+                system, path = fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+            else:
+                system, path = fs.FileSystem.from_uri(quote(uri, safe=":/@"))
             digest = hashlib.sha256()
-            with system.open_input_stream(path) as stream:
+            with system.open_input_stream(path, compression=None) as stream:
                 while block := stream.read(HASH_BLOCK):
                     digest.update(block)
             rows.append({"file_name": uri.rsplit("/", 1)[-1], "sha256": digest.hexdigest()})

@@ -2,26 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, str] = {}
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, else the warehouse folder, which is shared as well."""
+    return (
+        spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
 
-    Only a local session may do without the setting; it gets a temporary folder.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    return _local_dirs.setdefault(app, tempfile.mkdtemp(prefix="starproof-"))
+
+def run_dir(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{shared_dir(spark).rstrip('/')}/starproof/{spark.sparkContext.applicationId}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -31,6 +27,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     rather than from the whole lineage.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/starproof/{name}-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, at the end of a run."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

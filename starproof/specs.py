@@ -11,7 +11,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 4)
+# Wide enough for any price as exported: 20 digits before the comma, 8 behind it.
+MONEY = T.DecimalType(28, 8)
 RATE = T.DecimalType(12, 8)
 LINE_MONEY = T.DecimalType(28, 6)
 
@@ -190,10 +191,6 @@ MISSING_TOKENS = (
 ENCODING_CHAIN = ("utf-8-sig", "utf-8", "cp1252", "latin-1")
 RECONCILIATION_TOLERANCE = 0.001
 
-# ---------------------------------------------------------------------------
-
-SOURCES = {s.name: s for s in (SALES, CUSTOMERS, PRODUCTS, SALESPEOPLE, BUDGET)}
-
 STAR_COLUMNS: dict[str, tuple[str, ...]] = {
     "dim_region": ("region_code", "region_name"),
     "dim_salesperson": ("salesperson_code", "name", "region_code", "hire_date"),
@@ -222,3 +219,7 @@ MANIFEST_SCHEMA = (
     "nb_dates_invalides_attendu:bigint,nb_montants_invalides_attendu:bigint,"
     "nb_categories_apres_normalisation:bigint>"
 )
+
+# ---------------------------------------------------------------------------
+
+SOURCES = {s.name: s for s in (SALES, CUSTOMERS, PRODUCTS, SALESPEOPLE, BUDGET)}

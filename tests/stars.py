@@ -9,7 +9,7 @@ SCHEMAS = {
     "dim_region": "region_code string, region_name string",
     "dim_salesperson": "salesperson_code string, name string, region_code string, hire_date date",
     "dim_product": "product_code string, label string, category string, subcategory string,"
-                   " unit_cost decimal(18,4), list_price decimal(18,4), supplier string",
+                   " unit_cost decimal(28,8), list_price decimal(28,8), supplier string",
     "dim_customer": "customer_code string, company_name string, segment string, venue_type string,"
                     " region_code string, city string, salesperson_code string, first_order_date date",
     "fact_order": "order_id string, order_date date, customer_code string, salesperson_code string, status string",

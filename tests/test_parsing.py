@@ -101,7 +101,7 @@ def test_coerce_types_and_empty_frames(spark):
     row = schema.coerce(raw, specs.PRODUCTS).first()
     assert (row.product_code, float(row.unit_cost), row.list_price) == ("P1", 11.73, None)
     empty = schema.coerce(raw.limit(0), specs.PRODUCTS)
-    assert empty.count() == 0 and dict(empty.dtypes)["unit_cost"] == "decimal(18,4)"
+    assert empty.count() == 0 and dict(empty.dtypes)["unit_cost"] == "decimal(28,8)"
 
 
 @pytest.mark.parametrize("rate, band", [(0.0, "0 %"), (0.05, "1-5 %"), (0.07, "6-10 %"), (0.10, "6-10 %"), (0.2, "> 10 %"), (None, "> 10 %")])

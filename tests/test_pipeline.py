@@ -241,14 +241,58 @@ def test_parquet_landing(spark, tmp_path):
     assert readers.scan(spark, str(tmp_path), specs.SALES).first().order_id == "O1"
 
 
-def test_fingerprints_small_and_blockwise(spark, tmp_path):
+def test_fingerprints_of_any_name(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"x" * 10)
-    (tmp_path / "b.bin").write_bytes(b"y" * 3_000_000)
-    (tmp_path / "_c.json").write_bytes(b"{}")
-    want = {n: hashlib.sha256((tmp_path / n).read_bytes()).hexdigest() for n in ("a.bin", "b.bin", "_c.json")}
-    for limit in (1 << 30, 100):
-        got = {r.file_name: r.sha256 for r in files.fingerprints(spark, str(tmp_path), limit).collect()}
-        assert got == want
+    (tmp_path / "b é %20+#.csv.gz").write_bytes(b"y" * 3_000_000)
+    (tmp_path / "_c d.json").write_bytes(b"{}")
+    want = {n: hashlib.sha256((tmp_path / n).read_bytes()).hexdigest() for n in os.listdir(tmp_path)}
+    assert {r.file_name: r.sha256 for r in files.fingerprints(spark, str(tmp_path)).collect()} == want
+
+
+def test_each_file_has_its_own_encoding(spark, tmp_path):
+    row = ["05/01/2024", "O1", "1", "C1", "P1", "2", "7,00", "0.0", "S1", "Livrée"]
+    for name, encoding, order in (("a b", "utf-8", "A"), ("é", "cp1252", "B"), ("c", "utf-8-sig", "C")):
+        lines = [";".join(rawfolder.HEADERS), ";".join([row[0], order, *row[2:]])]
+        (tmp_path / f"export_ventes_{name}.csv").write_bytes("\r\n".join(lines).encode(encoding))
+    got = readers.scan(spark, str(tmp_path), specs.SALES).orderBy("order_id").collect()
+    assert [(r.order_id, r.status) for r in got] == [("A", "Livrée"), ("B", "Livrée"), ("C", "Livrée")]
+
+
+def test_every_file_must_hold_the_required_columns(spark, tmp_path):
+    good = [";".join(rawfolder.HEADERS), "05/01/2024;O1;1;C1;P1;2;7,00;0.0;S1;Livrée"]
+    (tmp_path / "export_ventes_1.csv").write_text("\n".join(good), encoding="utf-8")
+    (tmp_path / "export_ventes_2.csv").write_text("\n".join(x.rsplit(";", 1)[0] for x in good), encoding="utf-8")
+    with pytest.raises(ValueError, match="status"):
+        readers.scan(spark, str(tmp_path), specs.SALES)
+
+
+def test_a_header_of_any_length_and_quoted_line_breaks(spark, tmp_path):
+    extra = [f"colonne_{i}" * 3 for i in range(6000)]
+    head = ["code_client", "raison_sociale", "segment", *extra, "code_region", "date_premiere_commande"]
+    assert len(";".join(head)) > 200_000
+    body = ["C1", '"Hôtel\ndu ""Nord"""', "PME", *["x"] * len(extra), "R01", "01/02/2019"]
+    (tmp_path / "export_clients_crm.csv").write_bytes((";".join(head) + "\n" + ";".join(body) + "\n").encode("cp1252"))
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "true")
+    rows = readers.scan(spark, str(tmp_path), specs.CUSTOMERS).select("customer_code", "company_name", "region_code", "first_order_date").collect()
+    assert [tuple(r) for r in rows] == [("C1", 'Hôtel\ndu "Nord"', "R01", "01/02/2019")]
+
+
+def test_amounts_keep_their_digits(spark):
+    from starproof.functions.parsing import french_amount
+
+    texts = ["0,00345", "123 456 789 012 345,67", "1e3", "12345678901234567890123"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(french_amount(F.col("t")).alias("v")).collect()
+    assert [None if r.v is None else format(r.v.normalize(), "f") for r in got] == ["0.00345", "123456789012345.67", "1000", None]
+
+
+def test_absurd_lines_are_null_and_counted(spark):
+    lines = spark.sql("SELECT 9000000000000000000 AS quantity, cast('99999999999999999999' AS decimal(28,8)) AS unit_price, cast(0 AS decimal(12,8)) AS discount_rate "
+                      "UNION ALL SELECT 2, 3, 0 UNION ALL SELECT NULL, 3, 0")
+    assert counters.overflowing_lines(lines).first().overflowing_lines == 1
+
+
+def test_a_missing_folder_is_not_ready(spark, tmp_path):
+    assert first(files.source_status(spark, str(tmp_path / "none"))) == dict(sales_files=0, manifest_present=False, ready=False)
 
 
 def test_source_status(spark, tmp_path):
@@ -284,10 +328,39 @@ def test_fill_down_across_blocks(spark, block):
     assert {(r.sheet, r.row): r.v for r in got.collect()} == want
 
 
+GRID = "file string, sheet string, row bigint, cells array<string>"
+HEAD = ["Région", "Catégorie", *rawfolder.MONTHS]
+
+
+def budget_file(name, amount, sheets=("CA", "Marge"), head=HEAD, rows=1):
+    body = [("file:/x/" + name, s, 4 + i, ["Sud", "Mobilier", *[str(amount)] * 12]) for s in sheets for i in range(rows)]
+    return [("file:/x/" + name, s, 3, head) for s in sheets] + body
+
+
 def test_budget_file_without_year_fails(spark):
-    grid = spark.createDataFrame([("file:/x/budget_x.xlsx", "CA", 3, ["Région", "Catégorie", "Janv"]), ("file:/x/budget_x.xlsx", "CA", 4, ["Sud", "M", "1"])], "file string, sheet string, row bigint, cells array<string>")
     with pytest.raises(Exception, match="no year"):
-        reshape.reshape_budget(grid)[0].collect()
+        reshape.reshape_budget(spark.createDataFrame(budget_file("budget_x.xlsx", 1), GRID))[0].collect()
+
+
+def test_repeated_budget_rows_stay_and_are_counted(spark):
+    rows = budget_file("budget_2031.xlsx", 100) + budget_file("budget_2031_v2.xlsx", 900, rows=2)
+    long, sheet_rows = reshape.reshape_budget(spark.createDataFrame(rows, GRID))
+    got = first(counters.budget_counters(long, sheet_rows))
+    assert (got["rows"], got["duplicate_keys"], got["files_read"]) == (36, 24, 2)
+    assert long.agg(F.sum("budget_revenue")).first()[0] == 12 * (100 + 900 + 900)
+
+
+@pytest.mark.parametrize("rows, said", [
+    (budget_file("budget_2031.xlsx", 1, sheets=("CA",)), "no sheet Marge"),
+    (budget_file("budget_2031.xlsx", 1, sheets=("CA", "Marges")), "no sheet Marge"),
+    (budget_file("budget_2031.xlsx", 1, head=HEAD[:-1]), "sheet CA lacks Déc"),
+    (budget_file("budget_2031.xlsx", 1, head=["", *HEAD[1:]]), "sheet CA lacks Région"),
+    ([r for r in budget_file("budget_2031.xlsx", 1) if r[1:3] != ("Marge", 3)], "no sheet Marge with a header"),
+])
+def test_incomplete_budget_files_are_an_error(spark, rows, said):
+    good = budget_file("budget_2030.xlsx", 1)
+    with pytest.raises(Exception, match=said):
+        reshape.reshape_budget(spark.createDataFrame(good + rows, GRID))[0].collect()
 
 
 def test_missing_budget_cells_are_counted(spark):

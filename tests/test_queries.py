@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 # The corpus operators have tests of their own, and may be absent.
 QUERIES = {n: q.run for n, q in catalogue.QUERIES.items()}
 SQL = {n: q.sql for n, q in catalogue.QUERIES.items() if q.sql}
-ROWS_ONLY = {"reconciliation_text", "source_fingerprints", "source_status"}
+ROWS_ONLY = {"reconciliation_text"}
 
 
 @pytest.fixture(scope="module")
