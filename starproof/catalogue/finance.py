@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starproof.catalogue.registry import BASE, BUDGET, RATE, SHARE, dbl, query, ratio
+from starproof.catalogue.registry import QUERIES, BASE, BUDGET, RATE, SHARE, dbl, query, ratio
 from starproof.functions import measures as m
 from starproof.operators import facts, ranking
 from starproof.plans import reporting, views
@@ -327,3 +327,42 @@ def all_views(spark, sf_dir):
         row = view.agg(F.lit(name).alias("view"), F.count(F.lit(1)).alias("rows"))
         out = row if out is None else out.unionByName(row)
     return out
+
+
+_RESULT = ("revenue", "margin", "margin_rate_pct")
+_PLAN = ("actual_revenue", "budget_revenue", "variance_revenue", "variance_revenue_pct",
+         "actual_margin", "budget_margin", "variance_margin", "variance_margin_pct")
+#: Keys and measures of each view with a fixed layout; category_mix has a column per year and a query of its own.
+_LAYOUT = {
+    "summary": ((), (*_RESULT, "budget_revenue", "budget_margin", "variance_revenue", "variance_revenue_pct", "variance_margin",
+                     "variance_margin_pct", "revenue_yoy_pct", "margin_rate_delta_pts", "active_customers")),
+    "by_year": (("year",), (*_RESULT, "active_customers")), "monthly": (("month",), _RESULT),
+    "by_category": (("category",), (*_RESULT, "revenue_share_pct")),
+    "budget_monthly": (("month",), _PLAN), "budget_by_region": (("region",), _PLAN),
+    "by_salesperson": (("salesperson",), (*_RESULT, "revenue_share_pct")),
+    "by_segment": (("segment",), (*_RESULT, "customers", "revenue_share_pct")),
+    "client_pareto": (("rank",), ("revenue", "cumulative_pct")),
+    "client_top": (("company_name", "segment"), ("revenue", "revenue_share_pct", "margin_rate_pct")),
+    "by_discount_band": (("discount_band",), ("line_count", "revenue", "margin_rate_pct", "revenue_share_pct")),
+}
+
+
+def _values_sql(view: str) -> str:
+    keys, measures = _LAYOUT[view]
+    key = " || '|' || ".join(f"CAST({k} AS VARCHAR)" for k in keys) or "''"
+    names, values = ", ".join(f"'{x}'" for x in measures), ", ".join(dbl(x) for x in measures)
+    return f"SELECT '{view}' AS view, {key} AS key, unnest([{names}]) AS measure, unnest([{values}]) AS value FROM ({QUERIES[view].sql})"
+
+
+@query("all_views_values", " UNION ALL ".join(_values_sql(v) for v in _LAYOUT))
+def all_views_values(spark, sf_dir):
+    """Every value of the views that one pass over the facts gives, as (view, key, measure, value)."""
+    out = None
+    built = views.build_views(star(spark, sf_dir), delivered=DELIVERED)
+    for view, (keys, measures) in _LAYOUT.items():
+        long = F.explode(F.array(*[F.struct(F.lit(x).alias("measure"), F.col(x).cast("double").alias("value")) for x in measures]))
+        part = built[view].select(
+            F.lit(view).alias("view"), F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("key"), long.alias("v")
+        ).select("view", "key", "v.measure", "v.value")
+        out = part if out is None else out.unionByName(part)
+    return out

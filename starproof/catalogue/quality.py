@@ -11,7 +11,7 @@ from starproof.functions import measures as m
 from starproof.functions import parsing
 from starproof.operators import cleaning, counters, facts
 from starproof.operators.keys import duplicate_key_count, orphan_count
-from starproof.operators.schema import coerce, drop_or_keep_invalid, normalise_headers
+from starproof.operators.schema import coerce, star_table, drop_or_keep_invalid, normalise_headers
 from starproof.plans import checks, ingest, reporting, truth, views
 from starproof.sources.store import materialise
 from starproof.sources.warehouse import DELIVERED, SEGMENTS, star, table
@@ -353,16 +353,31 @@ def expectations(spark, sf_dir):
     return _expected(spark, sf_dir)
 
 
+def _dirty_facts(spark, sf_dir):
+    """The two fact tables and the catalogue of the spoiled exports; the audited lines are written once."""
+    audited = materialise(_audited(spark, sf_dir), "sales")  # read by a dozen sub-plans
+    dated = cleaning.dated_sales(audited)
+    return audited, {
+        "dim_product": _products(spark, sf_dir), "fact_order": star_table(dated, "fact_order").distinct(),
+        "fact_line": star_table(dated, "fact_line"),
+    }
+
+
 def _dirty_star(spark, sf_dir):
-    """Star and reports built from the spoiled exports (regions and budget from the tables)."""
+    """Star and reports built from the spoiled exports (regions and budget from the tables).
+
+    Writes what several checks read: the audited lines, the order headers and the small sources.
+    """
     base = star(spark, sf_dir)
     audited = materialise(_audited(spark, sf_dir), "sales")  # read by a dozen sub-plans
-    products, customers = _products(spark, sf_dir), _customers(spark, sf_dir)
+    products = materialise(_products(spark, sf_dir), "products")
+    customers = materialise(_customers(spark, sf_dir), "customers")
     regions = base["dim_region"]
     budget = materialise(base["fact_budget"].join(regions, "region_code").drop("region_code"), "budget")
     built = ingest.build_star(
         cleaning.dated_sales(audited), customers, products, _people(spark, sf_dir), budget, regions
     )
+    built["fact_order"] = materialise(built["fact_order"], "orders")
     grid_rows = budget.select(F.lit("budget").alias("file"), "category")
     reports = {
         "sales": counters.sales_counters(audited, 1), "products": counters.product_counters(products),
@@ -448,5 +463,5 @@ SELECT strftime(order_date, '%Y-%m') AS month, {dbl('sum(quantity * unit_price *
 FROM sales WHERE status = 'Livrée' AND order_date IS NOT NULL GROUP BY 1 ORDER BY 1""")
 def dirty_monthly(spark, sf_dir):
     """From spoiled text to the monthly view, through the whole pipeline."""
-    built, _ = _dirty_star(spark, sf_dir)
+    _, built = _dirty_facts(spark, sf_dir)
     return views.monthly(facts.delivered_lines(built, ["month"])).select("month", "revenue")

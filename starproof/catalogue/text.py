@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from starproof import specs
 from starproof.catalogue.finance import SUMMARY, summary_of
 from starproof.catalogue.quality import _RECON, _report
-from starproof.catalogue.registry import BASE, BUDGET, RATE, query, ratio
+from starproof.catalogue.registry import BASE, BUDGET, QUERIES, RATE, query, ratio
 from starproof.functions import text as t
 from starproof.plans import checks, publish, views
 from starproof.operators import facts
@@ -153,22 +156,36 @@ def reconciliation_table(spark, sf_dir):
     return checks.report_table(_report(spark, sf_dir)).drop("detail")
 
 
-@query("reconciliation_text")
+_TWO = "format('{{:,.2f}}', {x})"
+
+
+@query("reconciliation_text", f"""{_RECON}
+SELECT string_agg('[' || rpad(CASE WHEN ok THEN 'OK' ELSE 'ALERT' END, 5, ' ') || '] ' || rpad(label, 36, ' ')
+       || ' obtained=' || {_TWO.format(x='obtained')} || ' expected=' || {_TWO.format(x='expected')}
+       || CASE WHEN label LIKE 'FK %' THEN '  (orphan foreign keys)'
+               WHEN label LIKE '%segments' THEN '  (' || (SELECT count(DISTINCT segment) FROM customers) || ' distinct segments)'
+               WHEN label LIKE '%grid' THEN '  (' || (SELECT count(*) FROM budget WHERE budget_revenue IS NULL OR budget_margin IS NULL) || ' missing amounts)'
+               WHEN label LIKE '%revenue%' THEN (SELECT '  (gap ' || format('{{:.4f}}', abs(o.unrounded - round(e.revenue, 2))) || ' € = '
+                 || format('{{:.5f}}', 100 * abs(o.unrounded - round(e.revenue, 2)) / abs(round(e.revenue, 2))) || ' %, tolerance 0.100 %)' FROM obtained o, expected e)
+               ELSE '' END, chr(10) ORDER BY check_no)
+       || chr(10) || CASE WHEN bool_and(ok) THEN '=> INTEGRITY OK' ELSE '=> INTEGRITY ALERT' END AS report FROM final""")
 def reconciliation_text(spark, sf_dir):
     return checks.report_lines(_report(spark, sf_dir))
 
 
-@query("manifest_truth", """SELECT (SELECT count(*) FROM orders) AS orders, (SELECT count(*) FROM lineitem) AS lines,
-       (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F') AS delivered_lines""")
+@query("manifest_truth", QUERIES["business_truth"].sql)
 def manifest_truth(spark, sf_dir):
-    """The manifest as written JSON, read back through its nested schema."""
+    """The manifest written to the landing folder and read back through its declared schema."""
     from starproof.catalogue.quality import _expected
     from starproof.plans.truth import business_truth
+    from starproof.sources import readers
+    from starproof.sources.store import run_dir
 
     s = star(spark, sf_dir)
     figures = business_truth(s["fact_order"], s["fact_line"], s["dim_product"], DELIVERED)
     anomalies = s["fact_line"].agg(F.count_if(F.col("order_id") % 250 == 0).alias("unreadable_prices"))
-    origin = spark.range(1).select(F.lit("derived").alias("origin"))
+    origin = spark.range(1).select(F.lit("derived").alias("version_generateur"))
     manifest = publish.manifest_json(figures, anomalies, _expected(spark, sf_dir), origin)
-    node = F.from_json("value", "verite_financiere struct<orders:bigint,lines:bigint,delivered_lines:bigint>")
-    return manifest.select(node["verite_financiere"].alias("v")).select("v.*")
+    folder = f"{run_dir(spark)}/manifest-{uuid.uuid4().hex}"
+    publish.write_manifest(manifest, f"{folder}/{specs.MANIFEST_NAME}")
+    return readers.manifest_truth(readers.read_manifest(spark, folder))

@@ -84,7 +84,11 @@ def export_budget_wide(budget: DataFrame, path: str) -> None:
 
 
 def manifest_json(truth: DataFrame, anomalies: DataFrame, expected: DataFrame, generation: DataFrame) -> DataFrame:
-    """One row of nested JSON: generation, true figures, injected anomalies, expectations."""
+    """One row of nested JSON: generation, true figures, injected anomalies, expectations.
+
+    The true figures are those of ``truth.business_truth``, written under the manifest's own names.
+    """
+    truth = truth.select(*[F.col(ours).alias(name) for name, ours in specs.TRUTH_FIELDS.items()])
 
     def one(df: DataFrame):
         return df.select(F.struct("*")).scalar()

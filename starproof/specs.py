@@ -220,6 +220,12 @@ MANIFEST_SCHEMA = (
     "nb_categories_apres_normalisation:bigint>"
 )
 
+# The manifest's names of the true figures, and ours: one mapping for the writer and its readers.
+TRUTH_FIELDS = {
+    "ca_total_livre_eur": "delivered_revenue", "marge_total_livree_eur": "delivered_margin", "taux_marge_global_pct": "margin_rate_pct",
+    "nb_commandes": "orders", "nb_lignes_total": "lines", "nb_lignes_livrees": "delivered_lines", "nb_categories_canoniques": "categories",
+}
+
 # ---------------------------------------------------------------------------
 
 SOURCES = {s.name: s for s in (SALES, CUSTOMERS, PRODUCTS, SALESPEOPLE, BUDGET)}

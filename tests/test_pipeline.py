@@ -183,10 +183,14 @@ def test_period_without_month(spark):
 
 def test_manifest_round_trip(spark, tmp_path):
     one = lambda **kw: spark.range(1).select(*[F.lit(v).alias(k) for k, v in kw.items()])
-    manifest = publish.manifest_json(one(ca_total_livre_eur=10.5), one(n=1), one(nb_lignes_apres_dedup=3), one(seed=7))
+    star = stars.shop(spark)
+    figures = truth.business_truth(star["fact_order"], star["fact_line"], star["dim_product"])
+    manifest = publish.manifest_json(figures, one(n=1), one(nb_lignes_apres_dedup=3), one(seed=7))
     publish.write_manifest(manifest, str(tmp_path / "m" / specs.MANIFEST_NAME))
-    back = readers.read_manifest(spark, str(tmp_path / "m")).first()
-    assert back.verite_financiere.ca_total_livre_eur == 10.5 and back.attendus_apres_nettoyage.nb_lignes_apres_dedup == 3
+    back = readers.read_manifest(spark, str(tmp_path / "m"))
+    assert first(readers.manifest_truth(back)) == first(figures)
+    assert None not in first(back)["verite_financiere"].asDict().values()
+    assert back.first().attendus_apres_nettoyage.nb_lignes_apres_dedup == 3
     with pytest.raises(FileNotFoundError):
         readers.read_manifest(spark, str(tmp_path))
 
