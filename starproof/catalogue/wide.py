@@ -266,3 +266,69 @@ def source_status(spark, sf_dir):
     orders.write.partitionBy("export_ventes_").parquet(target)
     publish.write_manifest(spark.range(1).select(F.lit("{}").alias("value")), f"{target}/{specs.MANIFEST_NAME}")
     return files.source_status(spark, target)
+
+
+# --- from files on storage to the check table -------------------------------------
+
+
+def _landing(spark, sf_dir) -> str:
+    """A raw folder of all five sources and the manifest, in the formats that exports land in."""
+    from starproof.catalogue.quality import _expected
+    from starproof.plans.truth import business_truth
+
+    folder = _scratch(spark, "raw")
+    csv = {"sep": ";", "header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    sales = x.raw_sales(spark, sf_dir)
+    # Copies of a line lie in one file, in the order in which the first one is the true one.
+    ordered = sales.repartition("N° Commande").sortWithinPartitions("N° Commande", "N° Ligne", *x.ROW_ORDER)
+    ordered.drop(*x.ROW_ORDER).write.csv(f"{folder}/export_ventes_all.csv", **csv)
+    x.raw_customers(spark, sf_dir).write.csv(f"{folder}/export_clients_crm.csv", encoding="ISO-8859-1", **csv)
+    x.raw_products(spark, sf_dir).write.parquet(f"{folder}/catalogue_produits.parquet")
+    x.raw_salespeople(spark, sf_dir).write.csv(f"{folder}/commerciaux.csv", **csv)
+    names = table(spark, sf_dir, "region").orderBy("r_regionkey").limit(len(specs.REGIONS)).collect()
+    french = F.create_map(*[F.lit(v) for r, v in zip(names, specs.REGIONS.values()) for v in (r.r_name, v)])
+    sheets = _grid(spark, sf_dir).withColumn("cells", F.transform("cells", lambda c: F.coalesce(F.try_element_at(french, c), c)))
+    sheets.withColumn("budget_", parsing.year_in_file_name(F.col("file"))).drop("file").write.partitionBy("budget_").parquet(f"{folder}/years")
+    for part in files.list_files(spark, f"{folder}/years", "budget_*"):
+        files.rename(spark, part, f"{folder}/{part.rsplit('/', 1)[-1]}")
+    s = star(spark, sf_dir)
+    none = spark.range(1).select(F.lit("derived").alias("version_generateur"))
+    figures = business_truth(s["fact_order"], s["fact_line"], s["dim_product"], DELIVERED)
+    publish.write_manifest(publish.manifest_json(figures, none, _expected(spark, sf_dir), none), f"{folder}/{specs.MANIFEST_NAME}")
+    return folder
+
+
+def _ingested_sql() -> str:
+    from starproof.catalogue.quality import _EXPECTED_SQL, _RECONCILED
+
+    counts = (
+        ("Rows after de-duplication", "(SELECT count(*) FROM sales)", "n"),
+        ("Invalid dates", "(SELECT count(*) FROM sales WHERE order_date IS NULL)", "dates"),
+        ("Invalid amounts", "(SELECT count(*) FROM sales WHERE unit_price IS NULL)", "amounts"),
+        ("Canonical categories", "(SELECT count(DISTINCT category) FROM products)", "categories"),
+        ("Reconciled revenue (€)", f"(SELECT round({_RECONCILED}, 2) FROM sales)", "round(revenue, 2)"),
+        ("Canonical customer segments", "(SELECT count(*) FROM customers)", "0"),  # none of these is a segment of the exports
+        ("Complete budget grid", "(SELECT count(*) FROM grid)",
+         "(SELECT count(DISTINCT region_name) * count(DISTINCT category) * count(DISTINCT period) FROM grid)"),
+        ("FK lines -> products", "(SELECT count(*) FROM sales WHERE order_date IS NOT NULL AND product_code NOT IN (SELECT p_partkey FROM part))", "0"),
+        ("FK lines -> orders", "(SELECT count(*) FROM sales s WHERE order_date IS NOT NULL AND order_id NOT IN (SELECT order_id FROM sales WHERE order_date IS NOT NULL))", "0"),
+        ("FK orders -> customers", "(SELECT count(DISTINCT order_id) FROM sales WHERE order_date IS NOT NULL AND customer_code NOT IN (SELECT c_custkey FROM customer))", "0"),
+        ("FK orders -> salespeople", "(SELECT count(DISTINCT order_id) FROM sales WHERE order_date IS NOT NULL AND customer_code % 10 NOT IN (SELECT code FROM people))", "0"),
+        ("FK budget -> regions", "(SELECT count(*) FROM grid WHERE region_name NOT IN (SELECT r_name FROM region))", "0"),
+    )
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS check_no, '{label}' AS label, CAST({got} AS DOUBLE) AS obtained, CAST({want} AS DOUBLE) AS expected FROM expected"
+        for i, (label, got, want) in enumerate(counts, start=1))
+    return (f"WITH {x.RAW_SALES}, {x.RAW_PRODUCTS}, {x.RAW_CUSTOMERS}, {x.RAW_SALESPEOPLE}, {BUDGET}, {_NAMED}, {_GRID_SQL}, {_EXPECTED_SQL}, c AS ({rows}) "
+            "SELECT *, abs(obtained - expected) <= 0.001 * abs(expected) * CAST(check_no = 5 AS INTEGER) AS ok FROM c")
+
+
+@query("ingested_report", _ingested_sql())
+def ingested_report(spark, sf_dir):
+    """Raw folder -> ingestion -> the twelve checks, all through files; the folder is written by this query."""
+    from starproof.plans import checks, ingest
+
+    folder = _landing(spark, sf_dir)
+    loaded = ingest.run_ingestion(spark, folder)
+    expected = readers.read_manifest(spark, folder).select("attendus_apres_nettoyage.*")
+    return checks.reconcile(loaded.star, loaded.reports, expected).drop("detail")
