@@ -235,7 +235,8 @@ def near_duplicates(
     classes = stored(
         signed.filter("fp is not null").groupBy("fp").agg(
             F.count("*").alias("copies"), F.min("row_key").alias("rep"), F.first("n_grams").alias("n_grams"),
-            F.first("bands").alias("bands"),
+            F.first("bands").alias("bands"), F.min("doc_id").alias("least_id"),
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("head"),
         ), "classes",
     )
     members = classes.select("fp", "n_grams", F.explode("bands").alias("bucket"))
@@ -277,20 +278,20 @@ def near_duplicates(
 
     links = checked.groupBy("fp").agg(F.sum("links").alias("links"))
     roots = components(checked.select(F.col("fp").alias("u"), F.col("root").alias("v")))
-    by_set = classes.select("fp", "copies").join(links, "fp", "left").join(
+    by_set = stored(classes.select("fp", "copies", "least_id", "head").join(links, "fp", "left").join(
         roots.select(F.col("node").alias("fp"), "root"), "fp", "left"
     ).select(
-        "fp", F.coalesce("root", "fp").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
-    )
-    by_set = stored(by_set, "by_set")
-    rows_ = signed.select("doc_id", "row_key", "fp", "n_grams").join(by_set, "fp", "left")
-    rows_ = rows_.withColumn("root", F.coalesce("root", F.concat(F.lit("row").cast("binary"), "row_key")))
-    heads = rows_.groupBy("root").agg(
-        F.min("doc_id").alias("class_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("head")
-    ).select("root", "class_id", F.col("head.row_key").alias("head"))
-    return rows_.join(heads, "root").select(
-        "doc_id", "row_key", "n_grams", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        (F.col("row_key") == F.col("head")).alias("keeper"),
+        "fp", "least_id", "head", F.coalesce("root", "fp").alias("root"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+    ), "by_set")
+    # Stored, so that the join below has a plain shuffle on both sides and a large group can be split.
+    heads = stored(by_set.groupBy("root").agg(
+        F.min("least_id").alias("class_id"), F.min("head").alias("head")
+    ).select("root", "class_id", F.col("head.row_key").alias("head")), "heads")
+    known = by_set.select("fp", "root", "n_links").join(heads, "root").drop("root")
+    return signed.select("doc_id", "row_key", "fp", "n_grams").join(known, "fp", "left").select(
+        "doc_id", "row_key", "n_grams", F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce(F.col("row_key") == F.col("head"), F.lit(True)).alias("keeper"),
     )
 
 
