@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 import datetime as dt
 import sys
 import uuid
@@ -40,19 +41,16 @@ def period_bounds(by_month: DataFrame) -> DataFrame:
     )
 
 
-def output_paths(by_month: DataFrame, out_dir: str, stamp: str) -> tuple[str, str]:
-    """(staging path, final path) of a run, named after the data's own period."""
+def final_path(by_month: DataFrame, out_dir: str, stamp: str) -> str:
+    """Where a run is published, named after the data's own period."""
     row = period_bounds(by_month).first()
-    folder = row.folder or str(dt.date.today().year)
-    name = f"{row.stem}_{stamp}"
-    root = out_dir.rstrip("/")
-    return f"{root}/{STAGING}/{folder}/{name}-{uuid.uuid4().hex}", f"{root}/{folder}/{name}"
+    return f"{out_dir.rstrip('/')}/{row.folder or str(dt.date.today().year)}/{row.stem}_{stamp}"
 
 
 def write_set(tables: Mapping[str, DataFrame], staging: str) -> None:
-    """One Parquet directory per table; each carries its own _SUCCESS marker."""
-    for name, df in tables.items():
-        df.write.mode("errorifexists").parquet(f"{staging}/{name}")
+    """One Parquet directory per table; each carries its own _SUCCESS marker. Small tables share the cluster."""
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda t: t[1].write.mode("errorifexists").parquet(f"{staging}/{t[0]}"), tables.items()))
 
 
 def commit(spark: SparkSession, staging: str, final: str) -> None:
@@ -139,11 +137,14 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, stamp: str | None = Non
     expected = readers.read_manifest(spark, raw_dir).select("attendus_apres_nettoyage.*")
     proof = checks.reconcile(loaded.star, loaded.reports, expected)
     report = spark.createDataFrame(checks.gate(proof), proof.schema)
-    lines = materialise(reporting.reporting_lines(loaded.star), "annex")
+    staging = f"{out_dir.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
+    write_set({"annex_lines": reporting.reporting_lines(loaded.star)}, staging)  # once; the rest reads it from there
+    lines = spark.read.parquet(f"{staging}/annex_lines")
     by_month = materialise(reporting.revenue_by_month(lines), "by-month")
     finance = views.build_views(loaded.star)
-    staging, final = output_paths(by_month, out_dir, stamp)
-    write_set({**published_tables(finance, lines, by_month, report), **_detail(finance)}, staging)
+    tables = {**published_tables(finance, lines, by_month, report), **_detail(finance)}
+    write_set({name: df for name, df in tables.items() if name != "annex_lines"}, staging)
+    final = final_path(by_month, out_dir, stamp)
     commit(spark, staging, final)
     return final
 
