@@ -29,7 +29,7 @@ from starproof.llm.words import distinct_chunks, found, slices, utf8
 #: Characters of a leaf, and tokens of a first window on either side of a join.
 LEAF_CHARS = 65_536
 FIRST_WINDOW = 8
-MOST_CACHED = 400_000
+MOST_CACHED = 200_000
 
 
 @functools.cache

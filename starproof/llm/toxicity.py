@@ -31,6 +31,8 @@ from starproof.llm.words import distinct_chunks, in_slices, long_array
 MOST_LABELLED = 20_000
 MOST_ENTRIES = 2_000
 HELD_OUT_FOLDS = 5
+#: Entries that a task holds in memory at once; beyond, counts are sent on and caches emptied.
+MOST_HELD = 150_000
 STEM_LENGTHS = (4, 5, 6)
 LEAST_DOCUMENTS = 8
 LEAST_LOG_ODDS = 2.5
@@ -181,7 +183,7 @@ def sums_of(words, model: Model, cache: dict) -> np.ndarray:
     for c in chunks:
         found = cache.get(c)
         if found is None:
-            if len(cache) > 500_000:
+            if len(cache) > MOST_HELD:
                 cache.clear()
             found = cache[c] = model.lexical(c)
         known.append(found)
@@ -239,8 +241,18 @@ def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = (Counter(), Counter())
+
+    def flushed() -> pa.RecordBatch:
+        entries = list(counts[0].keys() | counts[1].keys())
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(entries, pa.string()), pa.array([counts[1][e] for e in entries], pa.int64()),
+             pa.array([counts[0][e] for e in entries], pa.int64())], ["entry", "pos", "neg"])
+        counts[0].clear()
+        counts[1].clear()
+        return out
+
     for batch in batches:
-        counts = {0: Counter(), 1: Counter()}
         labels = batch.column("toxic").to_pylist()
         for lo, _, words in in_slices(batch.column("text")):
             chunks, codes = distinct_chunks(words)
@@ -249,10 +261,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = {forms[c] for c in np.unique(codes[a:b])} - {""}
                 stems = {f"{w[:n]}*" for w in own for n in STEM_LENGTHS if len(w) > n}
                 counts[labels[lo + i]].update(own | stems)
-        entries = [e for e in counts[1]] + [e for e in counts[0] if e not in counts[1]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(entries, pa.string()), pa.array([counts[1][e] for e in entries], pa.int64()),
-             pa.array([counts[0][e] for e in entries], pa.int64())], ["entry", "pos", "neg"])
+            if len(counts[0]) + len(counts[1]) > MOST_HELD:
+                yield flushed()
+    yield flushed()
 
 
 def fold() -> Column:
