@@ -1,3 +1,4 @@
+import oracle
 import public_tokenizers
 import pytest
 from llm_rows import words
@@ -21,6 +22,14 @@ def test_every_query_runs_and_is_whole(spark, name):
         assert got > 0
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_its_sql_twin(spark, name):
+    df = queries.QUERIES[name](spark, SF)
+    cursor = oracle.connect(SF).execute(queries.ORACLES[name])
+    columns = [d[0] for d in cursor.description]
+    assert oracle.rows(df.columns, [tuple(r) for r in df.collect()]) == oracle.rows(columns, cursor.fetchall())
+
+
 def test_entry_registers_them():
     assert {f"op{i}" for i in range(1, 11)} <= {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
     assert "pipeline" in entry.queries() and "pipeline" not in entry.oracle_sql()
