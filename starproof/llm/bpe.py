@@ -14,6 +14,7 @@ distinct one is encoded once by the library and the ids are gathered by array op
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import unicodedata
 from collections.abc import Iterator
@@ -29,7 +30,9 @@ from starproof.llm.words import distinct_chunks, found, slices, utf8
 #: Characters of a leaf, and tokens of a first window on either side of a join.
 LEAF_CHARS = 65_536
 FIRST_WINDOW = 8
-MOST_CACHED = 200_000
+MOST_CACHED = 500_000
+SLICE_BYTES = 4 << 20
+CHUNKS_PER_TEXT = 2_000
 
 
 @functools.cache
@@ -41,12 +44,19 @@ def tokenizer(path: str) -> Tokenizer:
     return t
 
 
+def _folded(chunk: str) -> str:
+    """A chunk as the vocabulary's normaliser leaves it, where that is plain: one key for many spellings."""
+    return chunk.strip().lower() if chunk.isascii() and "<|" not in chunk else chunk
+
+
 class Codec:
-    """One vocabulary in one worker."""
+    """One vocabulary in one worker, with the ids and the decoding of the chunks seen last."""
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
-        self.cache: dict[str, np.ndarray] = {}
+        self.cache: dict[str, tuple[bytes, str]] = {}
+        # Without a decoder the library puts one space between tokens, so texts can be decoded chunk by chunk.
+        self.by_chunk = self.tokenizer.decoder is None
 
     def encode(self, text: str):
         return self.tokenizer.encode(text, add_special_tokens=False)
@@ -54,30 +64,54 @@ class Codec:
     def decode(self, ids: np.ndarray) -> str:
         return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
 
-    def encode_chunks(self, chunks: list[str]) -> list[np.ndarray]:
-        if len(self.cache) > MOST_CACHED:
-            self.cache.clear()
-        new = [c for c in chunks if c not in self.cache]
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.cache[c] = np.array(e.ids, np.uint32)
-        return [self.cache[c] for c in chunks]
-
-    def encode_column(self, column: pa.Array) -> Iterator[np.ndarray]:
-        """The ids of every text of a column, in order."""
+    def known(self, chunks: list[str]) -> list[tuple[bytes, str]]:
+        """(ids, decoded text) of each chunk. White space separates, so new chunks are encoded many to a text."""
+        cache = self.cache
+        if len(cache) > MOST_CACHED:  # the older half goes
+            for k in list(itertools.islice(cache, len(cache) // 2)):
+                del cache[k]
+        keys = [_folded(c) for c in chunks]
+        new = [k for k in dict.fromkeys(keys) if k not in cache]
+        for lo in range(0, len(new), CHUNKS_PER_TEXT):
+            part = new[lo : lo + CHUNKS_PER_TEXT]
+            ends = np.cumsum([len(c) + 1 for c in part])
+            e = self.encode("\n".join(part))
+            ids, tokens = np.array(e.ids, "<u4"), e.tokens
+            first = np.fromiter((x for x, _ in e.offsets), np.int64, len(ids))
+            at = np.concatenate([[0], np.searchsorted(first, ends)]).tolist()
+            for c, i, j in zip(part, at, at[1:]):
+                cache[c] = ids[i:j].tobytes(), " ".join(tokens[i:j])
+        return [cache[k] for k in keys]
+
+    def coded(self, column: pa.Array) -> Iterator[tuple[np.ndarray, str]]:
+        """(ids, decoded text) of every text of a column, in order."""
         data, offsets = utf8(column)
-        for lo, hi in slices(offsets):
+        for lo, hi in slices(offsets, SLICE_BYTES):
             at = offsets[lo : hi + 1]
             words = found(data[at[0] : at[-1]], at - at[0])
             chunks, codes = distinct_chunks(words)
-            parts = self.encode_chunks(chunks)
-            size = np.array([len(p) for p in parts], np.int64)
-            flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+            known = self.known(chunks)
+            size = np.fromiter((len(k[0]) for k in known), np.int64, len(known)) // 4
+            flat = np.frombuffer(b"".join([k[0] for k in known]), "<u4")
             start = np.cumsum(size) - size
             n = size[codes]
             total = np.concatenate([[0], np.cumsum(n)])
             ids = flat[np.repeat(start[codes] - total[:-1], n) + np.arange(total[-1])]
+            texts = [k[1] for k in known]
+            full = codes[n > 0].tolist() if self.by_chunk else []
+            first = np.concatenate([[0], np.cumsum(n > 0)])
             for a, b in zip(words.first[:-1], words.first[1:]):
-                yield ids[total[a] : total[b]]
+                own = ids[total[a] : total[b]]
+                if self.by_chunk:
+                    yield own, " ".join([texts[c] for c in full[first[a] : first[b]]])
+                else:
+                    yield own, self.decode(own)
+
+
+@functools.cache
+def codec_of(path: str) -> Codec:
+    """The worker's own codec, which outlives a task."""
+    return Codec(path)
 
 
 # -- tree --------------------------------------------------------------------------------------
@@ -193,14 +227,14 @@ def unpacked_piece(lo: int, hi: int, n: int, ids: bytes, spans: bytes) -> Piece:
 
 def _short(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = codec_of(path)
         for batch in batches:
-            size = 500
+            size = 2_000
             for lo in range(0, batch.num_rows, size):
                 part = batch.slice(lo, size)
-                out = [(ids, codec.decode(ids)) for ids in codec.encode_column(part.column("text"))]
+                out = list(codec.coded(part.column("text")))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([i.astype("<u4").tobytes() for i, _ in out], pa.binary()),
+                    [part.column("doc_id"), pa.array([i.tobytes() for i, _ in out], pa.binary()),
                      pa.array([t for _, t in out], pa.string())], ["doc_id", "ids", "decoded"])
     return run
 
@@ -220,7 +254,7 @@ def _split(leaf_chars: int):
 
 def _encode_leaves(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = codec_of(path)
         for batch in batches:
             for i in range(batch.num_rows):
                 text = batch.column("part")[i].as_py()
@@ -235,7 +269,7 @@ def _encode_leaves(path: str):
 
 def _join_leaves(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = codec_of(path)
         for batch in batches:
             for i in range(batch.num_rows):
                 parts = sorted(batch.column("leaves")[i].as_py(), key=lambda x: x["leaf"])

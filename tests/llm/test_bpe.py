@@ -39,8 +39,9 @@ def test_packed_pieces_come_back():
 def test_columns_equal_the_library():
     codec, rng = bpe.Codec(PATH), random.Random(5)
     texts = [random_text(rng, rng.choice([0, 5, 60])) for _ in range(300)] + [None, "", " ", "\n a"]
-    got = [x.tolist() for x in codec.encode_column(pa.array(texts))]
-    assert got == [codec.encode(t or "").ids for t in texts]
+    got = [(ids.tolist(), text) for ids, text in codec.coded(pa.array(texts))]
+    want = [codec.encode(t or "").ids for t in texts]
+    assert got == [(ids, codec.tokenizer.decode(ids, skip_special_tokens=False)) for ids in want]
 
 
 @pytest.mark.parametrize("leaf", [64, bpe.LEAF_CHARS])
