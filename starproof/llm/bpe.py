@@ -30,8 +30,8 @@ from starproof.llm.words import distinct_chunks, found, slices, utf8
 #: Characters of a leaf, and tokens of a first window on either side of a join.
 LEAF_CHARS = 65_536
 FIRST_WINDOW = 8
-MOST_CACHED = 500_000
-SLICE_BYTES = 4 << 20
+MOST_CACHED = 200_000
+SLICE_BYTES = 2 << 20
 CHUNKS_PER_TEXT = 2_000
 
 
@@ -229,7 +229,7 @@ def _short(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(path)
         for batch in batches:
-            size = 2_000
+            size = 1_000
             for lo in range(0, batch.num_rows, size):
                 part = batch.slice(lo, size)
                 out = list(codec.coded(part.column("text")))
