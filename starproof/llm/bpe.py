@@ -33,6 +33,8 @@ FIRST_WINDOW = 8
 MOST_CACHED = 200_000
 SLICE_BYTES = 2 << 20
 CHUNKS_PER_TEXT = 2_000
+#: What separates words. Python's strip() would also take U+001C to U+001F, which are tokens of their own.
+WHITE = " \t\n\v\f\r"
 
 
 @functools.cache
@@ -46,7 +48,7 @@ def tokenizer(path: str) -> Tokenizer:
 
 def _folded(chunk: str) -> str:
     """A chunk as the vocabulary's normaliser leaves it, where that is plain: one key for many spellings."""
-    return chunk.strip().lower() if chunk.isascii() and "<|" not in chunk else chunk
+    return chunk.strip(WHITE).lower() if chunk.isascii() and "<|" not in chunk else chunk
 
 
 class Codec:

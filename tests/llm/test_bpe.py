@@ -12,6 +12,8 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 PARTS = ["a", "b", "the", "Z", "é", "é", "ß", "'", "'s", "'ll", "1", "23", "!!", "#", "…", " ", " ", "\n", "<|endoftext|>", "<|",
          "日本", "한", "하", "İ", "Σ", "🙂", "‍", "_", ".", " "]
 
+PARTS += [*map(chr, range(32)), "\x85"]
+
 
 def random_text(rng, n):
     parts = rng.sample(PARTS, rng.choice([2, 4, 8, len(PARTS)]))
@@ -44,6 +46,14 @@ def test_columns_equal_the_library():
     assert got == [(ids, codec.tokenizer.decode(ids, skip_special_tokens=False)) for ids in want]
 
 
+def test_control_characters_at_the_edges_of_words():
+    codec = bpe.Codec(PATH)
+    texts = [t for c in [*map(chr, range(32)), "\x7f", "\x85", "\xa0", "\u2028"] for t in (c, f"{c}abc", f"abc{c}", f"Abc{c} abc", f"a {c}\n{c}b", c * 3)]
+    got = [(ids.tolist(), text) for ids, text in codec.coded(pa.array(texts))]
+    want = [codec.encode(t).ids for t in texts]
+    assert got == [(ids, codec.tokenizer.decode(ids, skip_special_tokens=False)) for ids in want]
+
+
 @pytest.mark.parametrize("leaf", [64, bpe.LEAF_CHARS])
 def test_documents(spark, edge_rows, leaf):
     rows = [r for r in edge_rows if len(r[1] or "") < 60_000]
