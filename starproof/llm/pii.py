@@ -1,7 +1,7 @@
 """Personal data by patterns, checksums and context, in built-in column expressions only.
 
-A regular expression proposes spans of a kind, a validator confirms them, and words before a span
-adjust its score. Patterns are written so that matching takes linear time: possessive repeats, and
+A regular expression proposes spans of a kind, a validator confirms them, and words within
+``CONTEXT_CHARS`` characters before or behind a span adjust its score. Patterns are written so that matching takes linear time: possessive repeats, and
 a look-behind where a match can only start at the head of a run. Texts are cut by a pattern into
 what lies between the matches, so offsets are running sums of lengths, counted in code points.
 """
@@ -109,9 +109,26 @@ def running(lengths: Column) -> Column:
     return F.flatten(F.zip_with(blocks, before, lambda x, o: F.transform(F.slice(x, F.lit(1), F.size(x) - 1), lambda v: v + o)))
 
 
-def _score(kind: Kind, before: Column) -> Column:
-    near = F.lower(F.right(before, F.lit(CONTEXT_CHARS)))
-    return F.lit(kind.score) + F.when(near.rlike(rf"(?<![a-zà-ÿ])(?:{kind.context})"), CONTEXT_BONUS).otherwise(0.0)
+def _around(pieces: Column, matches: Column, i: Column) -> tuple[Column, Column]:
+    """The ``CONTEXT_CHARS`` characters of the text before and behind match ``i``, across other matches.
+
+    A match has two characters at least, so that many pieces suffice and no text is walked once per match.
+    """
+    n, most = F.lit(CONTEXT_CHARS), CONTEXT_CHARS // 2
+    first, count = F.greatest(i - most, F.lit(0)) + 1, F.least(i, F.lit(most))
+    earlier = F.zip_with(F.slice(pieces, first, count), F.slice(matches, first, count),
+                         lambda p, m: F.concat(F.right(p, n), F.right(m, n)))
+    later = F.zip_with(F.slice(matches, i + 2, F.lit(most)), F.slice(pieces, i + 3, F.lit(most)),
+                       lambda m, p: F.concat(F.left(m, n), F.left(p, n)))
+    before, after = pieces[i], pieces[i + 1]
+    return (F.right(F.when(F.length(before) >= n, before).otherwise(F.concat(F.array_join(earlier, ""), before)), n),
+            F.left(F.when(F.length(after) >= n, after).otherwise(F.concat(after, F.array_join(later, ""))), n))
+
+
+def _score(kind: Kind, before: Column, after: Column) -> Column:
+    words = rf"(?<![a-zà-ÿ])(?:{kind.context})"
+    near = F.lower(before).rlike(words) | F.lower(after).rlike(words)
+    return F.lit(kind.score) + F.when(near, CONTEXT_BONUS).otherwise(0.0)
 
 
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,score:double>>"
@@ -128,7 +145,7 @@ def _spans(df: DataFrame, kind: Kind, rank: int) -> DataFrame:
     def span(i: Column) -> Column:
         match, before = F.col(m)[i], F.col(p)[i]
         start = F.col(s)[i] + F.length(before)
-        score = F.when(kind.valid(match), _score(kind, before)).otherwise(0.0)
+        score = F.when(kind.valid(match), _score(kind, *_around(F.col(p), F.col(m), i))).otherwise(0.0)
         return F.struct(
             start.alias("start"), F.lit(rank).alias("rank"), (start + F.length(match)).alias("end"),
             F.lit(kind.name).alias("kind"), score.alias("score"))
@@ -171,7 +188,7 @@ def digests(found: DataFrame) -> DataFrame:
 def _replacement(kind: Kind) -> Callable[[Column], Column]:
     def part(i: Column) -> Column:
         match, before = F.col("_m")[i], F.col("_p")[i]
-        sure = kind.valid(match) & (_score(kind, before) >= ACCEPT)
+        sure = kind.valid(match) & (_score(kind, *_around(F.col("_p"), F.col("_m"), i)) >= ACCEPT)
         return F.concat(before, F.when(sure, F.lit(kind.tag)).otherwise(match))
 
     return part

@@ -55,6 +55,16 @@ def test_checksums_and_context_confirm(spark):
     ) == ["iban:5:32", "", "local_phone:5:17", "", "short_card:5:18", "", "ssn:4:15", ""]
 
 
+def test_context_reaches_across_other_matches(spark):
+    far = "x" * 41
+    assert spans_of(
+        spark, "Phone: 555-123-4567 or 555-987-6543", "ssn 078-05-1120, 078-05-1121", "visa 4222222222222 4222222222222",
+        "phone 555-123-4567 sum 555-987-6543", "555-123-4567 is my phone", f"phone {far} 555-123-4567", f"555-123-4567 {far} phone",
+        "visa 12 13 4222222222222 14", "fax" + " 555-123-4567" * 5,
+    ) == ["local_phone:7:19,local_phone:23:35", "ssn:4:15,ssn:17:28", "short_card:5:18,short_card:19:32", "local_phone:6:18,local_phone:23:35", "local_phone:0:12", "", "", "short_card:11:24",
+          "local_phone:4:16,local_phone:17:29,local_phone:30:42"]
+
+
 def test_counts_and_order_of_one_start(spark):
     row = pii.digests(pii.find(make_docs(spark, [(1, "1.2.3.4@x.y a@b.c +4111111111111111")]))).first()
     assert (row.n_email, row.n_ip, row.n_card, row.n_phone) == (2, 1, 1, 0)
