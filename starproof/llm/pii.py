@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 ACCEPT = 0.7
 CONTEXT_CHARS = 40
 CONTEXT_BONUS = 0.3
+ROUNDS = 3
 _BLOCK = 256
 
 
@@ -97,16 +98,16 @@ def _matches(kind: Kind, text: Column) -> Column:
     return F.when(kind.may(text), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))).otherwise(none)
 
 
-def running(lengths: Column) -> Column:
-    """Sums of all earlier elements; in blocks, so that long arrays are not copied once per element."""
+def running(lengths: Column, add: Callable[[Column, Column], Column] = lambda a, b: a + b) -> Column:
+    """Sums of all earlier elements, or what ``add`` makes of them from 0; in blocks, so that long arrays are not copied once per element."""
     def sums(a: Column) -> Column:
-        return F.aggregate(a, F.array(F.lit(0).cast("bigint")), lambda acc, v: F.concat(acc, F.array(F.element_at(acc, -1) + v)))
+        return F.aggregate(a, F.array(F.lit(0).cast("bigint")), lambda acc, v: F.concat(acc, F.array(add(F.element_at(acc, -1), v))))
 
     blocks = F.transform(
         F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / _BLOCK).cast("int")),
         lambda b: sums(F.slice(lengths, b * _BLOCK + 1, F.lit(_BLOCK))))
     before = F.slice(sums(F.transform(blocks, lambda x: F.element_at(x, -1))), F.lit(1), F.size(blocks))
-    return F.flatten(F.zip_with(blocks, before, lambda x, o: F.transform(F.slice(x, F.lit(1), F.size(x) - 1), lambda v: v + o)))
+    return F.flatten(F.zip_with(blocks, before, lambda x, o: F.transform(F.slice(x, F.lit(1), F.size(x) - 1), lambda v: add(v, o))))
 
 
 def _around(pieces: Column, matches: Column, i: Column) -> tuple[Column, Column]:
@@ -134,8 +135,8 @@ def _score(kind: Kind, before: Column, after: Column) -> Column:
 SPAN = "array<struct<start:bigint,rank:int,end:bigint,kind:string,score:double>>"
 
 
-def _spans(df: DataFrame, kind: Kind, rank: int) -> DataFrame:
-    """Adds the confirmed spans of one kind as column ``kind.name``."""
+def _spans(df: DataFrame, kind: Kind, rank: int, context: bool = True) -> DataFrame:
+    """Adds the confirmed spans of one kind as column ``kind.name``; without ``context`` under the kind's plain score."""
     m, p, s = f"_m_{kind.name}", f"_p_{kind.name}", f"_s_{kind.name}"
     df = df.withColumn(m, _matches(kind, F.col("text")))
     df = df.withColumn(p, F.when(F.size(m) > 0, F.split("text", kind.pattern, -1)))
@@ -145,7 +146,8 @@ def _spans(df: DataFrame, kind: Kind, rank: int) -> DataFrame:
     def span(i: Column) -> Column:
         match, before = F.col(m)[i], F.col(p)[i]
         start = F.col(s)[i] + F.length(before)
-        score = F.when(kind.valid(match), _score(kind, *_around(F.col(p), F.col(m), i))).otherwise(0.0)
+        likely = _score(kind, *_around(F.col(p), F.col(m), i)) if context else F.lit(kind.score)
+        score = F.when(kind.valid(match), likely).otherwise(0.0)
         return F.struct(
             start.alias("start"), F.lit(rank).alias("rank"), (start + F.length(match)).alias("end"),
             F.lit(kind.name).alias("kind"), score.alias("score"))
@@ -185,29 +187,47 @@ def digests(found: DataFrame) -> DataFrame:
     )
 
 
-def _replacement(kind: Kind) -> Callable[[Column], Column]:
-    def part(i: Column) -> Column:
-        match, before = F.col("_m")[i], F.col("_p")[i]
-        sure = kind.valid(match) & (_score(kind, *_around(F.col("_p"), F.col("_m"), i)) >= ACCEPT)
-        return F.concat(before, F.when(sure, F.lit(kind.tag)).otherwise(match))
+def _cut_out(df: DataFrame, kinds: tuple[Kind, ...] = (*BASE, *ADDED)) -> DataFrame:
+    """Every confirmed span of ``text`` replaced, overlapping ones as their union under the tag of the first; adds ``_cut``.
 
-    return part
+    Spans are found on the text as it is, also the added ones that overlap a base span, and it is cut once. What is kept is put
+    together from blocks of ``_BLOCK`` code points, so that no text is walked once per span.
+    """
+    for rank, kind in enumerate(kinds):
+        df = _spans(df, kind, rank, context=kind.score < ACCEPT)
+    df = df.withColumn("_all", F.array_sort(F.concat(*[k.name for k in kinds]))).drop(*[k.name for k in kinds])
+    some = F.size("_all") > 0
+    df = df.withColumn("_reach", F.when(some, running(F.transform("_all", lambda x: x["end"]), F.greatest)))
+    df = df.withColumn("_b", F.when(some, F.regexp_extract_all("text", F.lit(rf"(?s).{{1,{_BLOCK}}}+"), F.lit(0))))
+
+    def kept(lo: Column, hi: Column) -> Column:
+        a, z = F.floor(lo / _BLOCK).cast("int"), F.floor((hi - 1) / _BLOCK).cast("int")
+        piece = F.substr(F.array_join(F.slice("_b", a + 1, z - a + 1), ""), (lo - a * _BLOCK + 1).cast("int"), (hi - lo).cast("int"))
+        return F.when(hi > lo, piece).otherwise("")
+
+    # A span that starts where all earlier ones have ended opens a union; what lies between is kept.
+    heads = F.filter(F.zip_with("_all", "_reach", lambda x, r: F.struct(r.alias("lo"), x["start"].alias("hi"), x["rank"].alias("rank"))),
+                     lambda c: c["hi"] >= c["lo"])
+    tags = F.array(*[F.lit(k.tag) for k in kinds])
+    parts = F.transform(heads, lambda c: F.concat(kept(c["lo"], c["hi"]), F.element_at(tags, c["rank"] + 1)))
+    last = F.array_max(F.transform("_all", lambda x: x["end"]))
+    whole = F.concat(F.array_join(parts, ""), kept(last, F.length("text").cast("bigint")))
+    return df.withColumn("text", F.when(some, whole).otherwise(F.col("text"))).withColumn("_cut", some).drop("_all", "_reach", "_b")
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with every confirmed span replaced by the tag of its kind, kind after kind; all columns kept.
+    """``docs`` with every confirmed span replaced by the tag of its kind; all columns kept.
 
-    ``n_chars``, where there is one, is brought in line with changed texts. Null texts stay null.
+    Changed texts are looked through again, up to ``ROUNDS`` times in all: a number that was too long together with a
+    masked one may be confirmed alone. Only kinds that need no context are, since tags are context words themselves. ``n_chars``, where there is one, is brought in line with changed texts. Null
+    texts stay null.
     """
     names = docs.columns
-    df = docs.toDF(*[f"c{i}" for i in range(len(names))]).withColumn("text", F.col(f"c{names.index('text')}"))
-    for kind in (*BASE, *ADDED):
-        df = df.withColumn("_m", F.when(F.col("text").isNotNull(), _matches(kind, F.col("text"))))
-        df = df.withColumn("_p", F.when(F.size("_m") > 0, F.split("text", kind.pattern, -1)))
-
-        parts = F.transform(F.sequence(F.lit(0), F.size("_m") - 1), _replacement(kind))
-        whole = F.concat(F.array_join(parts, ""), F.element_at("_p", -1))
-        df = df.withColumn("text", F.when(F.size("_m") > 0, whole).otherwise(F.col("text"))).drop("_m", "_p")
+    df = _cut_out(docs.toDF(*[f"c{i}" for i in range(len(names))]).withColumn("text", F.col(f"c{names.index('text')}")))
+    sure = tuple(k for k in (*BASE, *ADDED) if k.score >= ACCEPT)
+    for _ in range(ROUNDS - 1):
+        df = _cut_out(df.withColumn("_whole", F.col("text")).withColumn("text", F.when(F.col("_cut"), F.col("text"))), sure)
+        df = df.withColumn("text", F.coalesce("text", "_whole")).drop("_whole")
     new = {"text": F.col("text")}
     if "n_chars" in names:
         old, at = F.col(f"c{names.index('text')}"), F.col(f"c{names.index('n_chars')}")
