@@ -258,6 +258,19 @@ def source_fingerprints(spark, sf_dir):
     return files.fingerprints(spark, target).filter(F.col("file_name").startswith("part-")).select("sha256")
 
 
+@query("landing_fingerprints", """WITH l AS (SELECT strftime(l_shipdate, '%Y-%m') AS month, concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d')) AS value FROM lineitem)
+SELECT sha256(string_agg(value || chr(10), '' ORDER BY value)) AS sha256 FROM l GROUP BY month""")
+def landing_fingerprints(spark, sf_dir):
+    """One text file of lines per month, in a fixed order, written by this query; the digest is that of its bytes."""
+    target = _scratch(spark, "months")
+    day = F.date_format("l_shipdate", "yyyy-MM-dd")
+    lines = table(spark, sf_dir, "lineitem").select(F.substring(day, 1, 7).alias("month"), F.concat_ws(
+        "|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", day).alias("value"))
+    lines.repartition("month").sortWithinPartitions("month", "value").write.partitionBy("month").text(target)
+    return files.fingerprints(spark, target).filter(F.col("file_name").startswith("part-")).select("sha256")
+
+
 @query("source_status", "SELECT count(DISTINCT year(o_orderdate)) AS sales_files, true AS manifest_present, true AS ready FROM orders")
 def source_status(spark, sf_dir):
     """A landing folder with one export per year of orders, and a manifest."""

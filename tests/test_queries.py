@@ -113,3 +113,14 @@ def test_hot_key_spread(spark):
     ))
     got = {r.segment: r.revenue for r in views.by_segment(facts.delivered_lines(star, ["segment", "customer_code"])).collect()}
     assert got == {"Indépendants": 20000.0, "PME": 40000.0}
+
+
+def test_fingerprinted_bytes_grow_with_the_data(spark, monkeypatch):
+    from starproof.catalogue import wide
+
+    sizes, hashed = [], wide.files.fingerprints
+    monkeypatch.setattr(wide.files, "fingerprints", lambda s, folder: (
+        sizes.append(wide.files.file_inventory(s, folder).agg({"length": "sum"}).first()[0]), hashed(s, folder))[1])
+    for sf in ("sf0.001", "sf0.01"):
+        QUERIES["landing_fingerprints"](spark, f"/root/testdata/{sf}")
+    assert sizes[1] > 5 * sizes[0]
