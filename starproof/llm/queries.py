@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import starproof
-from starproof.llm import ann, bpe, jaccard, mixing, offsets, pii, quality, rlz, scratch, toxicity, warc
+from starproof.llm import ann, bpe, filters, jaccard, mixing, offsets, pii, quality, rlz, scratch, toxicity, warc
 
 ROOT = str(Path(starproof.__file__).resolve().parent.parent)
 
@@ -164,3 +164,34 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op11_filter_audit", rf"""
+WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {WORDS} AS ws,
+    doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS late FROM documents),
+flags AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY 1),
+d AS (SELECT part, len(ws) < 50 AS a, 100 * len(list_distinct(ws)) < 65 * len(ws) AS b,
+    100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+    coalesce(late, false) AS e, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+    FROM w LEFT JOIN flags USING (doc_id)),
+masks AS (SELECT part, {{'A': a, 'B': b, 'C': c, 'D': d, 'E': e}} AS f, a::INT + b::INT + c::INT + d::INT + e::INT AS n_fails,
+    count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM d GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT o, unnest(range(1, 6)) AS step FROM orders),
+ran AS (SELECT m.*, o, step, o[step] AS letter, g.hit,
+    len([x FOR x IN string_split(o[1:step - 1], '') IF x <> '' AND hits[x]]) = 0 AS reached
+    FROM masks m, steps, LATERAL (SELECT MAP {{'A': f.A, 'B': f.B, 'C': f.C, 'D': f.D, 'E': f.E}} AS hits) h,
+    LATERAL (SELECT hits[o[step]] AS hit) g),
+counted AS (SELECT part, o AS filter_order, step, letter,
+    coalesce(sum(n) FILTER (reached AND NOT hit), 0) AS kept, coalesce(sum(n) FILTER (reached AND hit), 0) AS removed,
+    coalesce(sum(n) FILTER (NOT reached AND hit), 0) AS redundant, coalesce(sum(n) FILTER (hit AND n_fails = 1), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (reached AND hit), 0) AS good_lost, coalesce(sum(toxic) FILTER (reached AND hit), 0) AS toxic_lost
+    FROM ran GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+    CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+    CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM counted
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
