@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import starproof
-from starproof.llm import ann, bpe, filters, jaccard, mixing, offsets, pii, quality, rlz, scratch, toxicity, warc
+from starproof.llm import ann, bpe, filters, jaccard, mixing, offsets, pii, quality, repair, rlz, scratch, toxicity, warc
 
 ROOT = str(Path(starproof.__file__).resolve().parent.parent)
 
@@ -195,3 +195,65 @@ SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS ke
 """)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _edit(initial: str, cost: str, after: str, line: str = "") -> str:
+    """An edit in front of the best edits of state ``after``, as a struct (cost, audit, repaired lines)."""
+    lines = f"list_prepend({line}, {after}.r)" if line else f"{after}.r"
+    return f"{{'c': {after}.c + {cost}, 'a': '{initial}' || {after}.a, 'r': {lines}}}"
+
+
+_TAKES = (("user", 2), ("user", 2), ("assistant", 3), ("user", 2))  # by grammar state: the role it takes, where that leads
+_KEEPS = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+
+
+def _consumed(s: int) -> str:
+    role, t = _TAKES[s]
+    keep = [f"CASE WHEN NOT must_go AND initial = '{k}' THEN {_edit('K', 'extra', f'f{n}', 'line')} END" for k, n in _KEEPS[s].items()]
+    return ", ".join([_edit("D", "2", f"f{s}"), f"CASE WHEN NOT must_go THEN {_edit('R', '1 + extra', f'f{t}', f"""'{role}:' || text""")} END", *keep])
+
+
+def _inserted(s: int) -> str:
+    role, t = _TAKES[s]
+    again, u = _TAKES[t]
+    twice = f"{{'c': g{u}.c + 10, 'a': 'II' || g{u}.a, 'r': list_concat(['{role}:', '{again}:'], g{u}.r)}}"
+    return f"list_min([g{s}, {_edit('I', '5', f'g{t}', f"""'{role}:'""")}, {twice}])"
+
+
+@query("op12_conversation_repair", rf"""
+WITH RECURSIVE keyed AS (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+kinds AS (SELECT k, xor(list_reduce([CAST(unicode(c) AS BIGINT) FOR c IN string_split(k, '')], lambda h, c:
+        list_reduce(range(8), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(h, c)),
+    4294967295::BIGINT), 4294967295) % 20 AS kind FROM (SELECT DISTINCT k FROM keyed)),
+rows AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) FROM keyed JOIN kinds USING (k) WHERE kind <> 0),
+told AS (SELECT *, row_number() OVER () AS id FROM rows),
+placed AS (SELECT *, role[1] AS initial, role || ':' || text AS line,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, id) AS i,
+    NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, id) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS cut FROM told),
+faults AS (SELECT *, blank OR again AS must_go, CASE WHEN cut AND NOT blank AND NOT again THEN 5 ELSE 0 END AS extra,
+    initial || lead(initial) OVER (PARTITION BY conv_id ORDER BY i) NOT IN ('su', 'ua', 'au') AS bad FROM placed),
+stats AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (extra > 0) AS truncated, count(*) FILTER (bad) AS illegal,
+    count(*) AS n FROM faults GROUP BY 1),
+states AS (
+    SELECT conv_id, n + 1 AS i, {{'c': 0::BIGINT, 'a': '', 'r': []::VARCHAR[]}} AS f0, {{'c': 10::BIGINT, 'a': 'II', 'r': ['user:', 'assistant:']}} AS f1,
+        {{'c': 5::BIGINT, 'a': 'I', 'r': ['assistant:']}} AS f2, {{'c': 0::BIGINT, 'a': '', 'r': []::VARCHAR[]}} AS f3 FROM stats
+    UNION ALL
+    SELECT conv_id, i, {", ".join(f"{_inserted(s)} AS f{s}" for s in range(4))} FROM (
+        SELECT s.conv_id, d.i, {", ".join(f"list_min([{_consumed(s)}]) AS g{s}" for s in range(4))}
+        FROM states s JOIN faults d ON d.conv_id IS NOT DISTINCT FROM s.conv_id AND d.i = s.i - 1))
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(f0.c, 0) AS cost, coalesce(f0.a, '') AS audit,
+    sha256(coalesce(array_to_string(f0.r, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN stats t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN (SELECT * FROM states WHERE i = 1) s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(table(spark, sf_dir, "conversations"))

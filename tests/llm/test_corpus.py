@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_every_query_runs_and_is_whole(spark, name):
     df = queries.QUERIES[name](spark, SF)
-    tables = {"op1": ("embeddings", None), "op3": ("pages", 1), "op5": ("documents", None), "op11": ("documents", None)}
+    tables = {"op1": ("embeddings", None), "op3": ("pages", 1), "op5": ("documents", None), "op11": ("documents", None), "op12": ("conversations", None)}
     source, rows = tables.get(name.split("_")[0], ("documents", 1))
     got = df.count()
     if rows:
