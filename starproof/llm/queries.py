@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import starproof
-from starproof.llm import ann, bpe, filters, jaccard, mixing, offsets, pii, quality, repair, rlz, scratch, toxicity, warc
+from starproof.llm import ann, bpe, filters, jaccard, mixing, offsets, pii, quality, repair, rlz, scratch, secret_scan, toxicity, warc
 
 ROOT = str(Path(starproof.__file__).resolve().parent.parent)
 
@@ -257,3 +257,8 @@ LEFT JOIN (SELECT * FROM states WHERE i = 1) s ON s.conv_id IS NOT DISTINCT FROM
 """)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_secret_scan")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.find(table(spark, sf_dir, "documents")))
