@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from starproof.llm.components import components
 from starproof.llm.scratch import stored
-from starproof.llm.words import Words, in_slices, long_array, mixed
+from starproof.llm.words import Words, followed, in_slices, long_array, mixed
 
 NGRAM = 5
 THRESHOLD = "0.8"
@@ -50,15 +50,13 @@ def ngram_hashes(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     counts = words.counts
     made = np.where(counts >= n, counts - n + 1, np.minimum(counts, 1))
     first = np.concatenate([[0], np.cumsum(made)])
-    rng = np.random.default_rng(n)
-    factors = rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     start = np.repeat(words.first[:-1] - first[:-1], made) + np.arange(first[-1])
     length = np.repeat(np.minimum(counts, n), made)
     padded = np.concatenate([h, np.zeros(n, np.uint64)])
-    out = length.astype(np.uint64)
+    out = mixed(length.astype(np.uint64))
     for j in range(n):
-        out += np.where(length > j, padded[start + j] * factors[j], np.uint64(0))
-    return mixed(out), first
+        out = np.where(length > j, followed(out, padded[start + j]), out)
+    return out, first
 
 
 def sets_of(words: Words, n: int) -> list[np.ndarray]:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starproof.llm.words import Words, in_slices, mixed
+from starproof.llm.words import Words, in_slices, range_hashes, window_hashes
 
 #: Documents measured for the order of the rules.
 SAMPLE_ROWS = 2_000
@@ -39,7 +39,7 @@ class Features:
 
     def __init__(self, words: Words):
         self.words = words
-        self._hashes = None
+        self._hashes = self._cut = None
 
     def n_words(self, rows):
         return self.words.counts[rows]
@@ -68,25 +68,37 @@ class Features:
         has = total[w.ends] > total[w.starts]
         return _per_text(has, w.first)[rows]
 
-    def _lines(self, row) -> np.ndarray:
-        """Hashes of the lines of one text that hold a word, in order."""
-        w = self.words
-        a, b = int(w.offsets[row]), int(w.offsets[row + 1])
-        breaks = np.flatnonzero(w.data[a:b] == _NEWLINE) + a
-        starts, ends = np.concatenate([[a], breaks + 1]), np.concatenate([breaks, [b]])
-        first = np.searchsorted(w.starts, starts)
-        full = (first < len(w.starts)) & (w.starts[np.minimum(first, len(w.starts) - 1)] < ends) if len(w.starts) else starts < 0
-        starts, ends = starts[full] - a, ends[full] - a
-        part = Words(w.data[a:b], np.array([0, b - a]), starts, ends, np.array([0, len(starts)]))
-        return part.hashes()
+    def _lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and ends of the lines of all texts that hold a word, and the text of each."""
+        if self._cut is None:
+            w = self.words
+            breaks = np.flatnonzero(w.data == _NEWLINE)
+            starts = np.unique(np.concatenate([w.offsets[:-1], breaks + 1]))
+            ends = np.append(starts[1:], len(w.data))
+            words_before = np.searchsorted(w.starts, np.append(starts, len(w.data)))
+            full = np.diff(words_before) > 0
+            starts, ends = starts[full], ends[full]
+            ends = ends - (w.data[ends - 1] == _NEWLINE)
+            self._cut = starts, ends, np.searchsorted(w.offsets, starts, "right") - 1
+        return self._cut
 
     def n_dup_lines(self, rows):
-        """Lines equal to an earlier line of the same text."""
-        lines = [self._lines(r) for r in rows]
-        return np.array([len(x) - len(np.unique(x)) for x in lines], np.int64)
+        """Lines equal to an earlier line of the same text; equal hashes are checked on the lines themselves."""
+        starts, ends, text = self._lines()
+        wanted = np.isin(text, rows)
+        starts, ends, text = starts[wanted], ends[wanted], text[wanted]
+        hashes = range_hashes(self.words.data, starts, ends)
+        order = np.lexsort((hashes, text))
+        same = (np.diff(hashes[order]) == 0) & (np.diff(text[order]) == 0)
+        out = np.zeros(len(self.words.counts), np.int64)
+        for t in np.unique(text[order[1:][same]]):
+            a, b = np.searchsorted(text, [t, t + 1])
+            lines = [self.words.data[x:y].tobytes() for x, y in zip(starts[a:b], ends[a:b])]
+            out[t] = len(lines) - len(set(lines))
+        return out[rows]
 
     def n_lines(self, rows):
-        return np.array([len(self._lines(r)) for r in rows], np.int64)
+        return np.bincount(self._lines()[2], minlength=len(self.words.counts))[rows]
 
     def n_repeat_words(self, rows):
         """Words inside some 3-word window that occurs at least twice in the text."""
@@ -97,7 +109,7 @@ class Features:
             h = self._hashes[self.words.first[r] : self.words.first[r + 1]]
             if len(h) < 4:
                 continue
-            grams = mixed(h[:-2] * np.uint64(0x9E3779B97F4A7C15) + h[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + h[2:] * np.uint64(0x165667B19E3779F9))
+            grams = window_hashes(h, 3)
             order = np.argsort(grams, kind="stable")
             g = grams[order]
             same = np.concatenate([[False], g[1:] == g[:-1], [False]])

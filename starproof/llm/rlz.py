@@ -1,11 +1,11 @@
 """Substring de-duplication by relative Lempel-Ziv factors.
 
 Every document is parsed against all documents with a smaller doc_id. The reference is indexed in
-blocks of ``WINDOW`` consecutive words, each under a 128-bit fingerprint with the smallest doc_id
-that it starts in. A factor is a greedy, maximal run of positions of one document whose
-blocks are indexed under the same reference document; it is at least one block, hence ``WINDOW``
-words, long. Where the reference changes or a block is missing the factor ends; blocks that straddle
-such a boundary are looked up as any other, so no common run of ``WINDOW`` words is lost there.
+blocks of ``WINDOW`` consecutive words, each under a 128-bit fingerprint with the place where it first
+occurs: the smallest doc_id and the position in it. A factor starts where a block is indexed, and is extended greedily, word by
+word, as long as the next block is indexed one word further on in the same reference; so it is a copy of the reference's
+words from that place on, at least one block long. Where the place jumps or a block is missing the factor ends; blocks
+that straddle such a boundary are looked up as any other, so no common run of ``WINDOW`` words is lost there.
 
 Indexing every block of every document would multiply the corpus, so blocks are indexed only where
 they can recur: of each run of ``WINDOW - SEED + 1`` seeds (sequences of ``SEED`` words) the one with
@@ -24,16 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starproof.llm.scratch import stored
-from starproof.llm.words import Powers, Words, in_slices, long_array, mixed, ragged, range_hashes
+from starproof.llm.words import in_slices, long_array, mixed, ragged, window_hashes
 
 WINDOW = 50
 SEED = 20
-
-_rng = np.random.default_rng(99)
-_SEEDS = Powers(int(_rng.integers(1, 2**62)) * 2 + 1)
-_FIRST = Powers(int(_rng.integers(1, 2**62)) * 2 + 1)
-_SECOND = Powers(int(_rng.integers(1, 2**62)) * 2 + 1)
-
+FACTOR = ("start", "length", "ref_doc", "ref_start")
 
 def kept_seeds(seeds: np.ndarray, span: int) -> np.ndarray:
     """Positions that hold the least hash of some ``span`` consecutive ones (the leftmost of equals)."""
@@ -52,8 +47,7 @@ def _seeder(window: int, seed: int):
                     if b - a < window:
                         found.append(np.zeros(0, np.uint64))
                         continue
-                    starts = np.arange(b - a - seed + 1)
-                    s = mixed(range_hashes(h[a:b], starts, starts + seed, _SEEDS))
+                    s = window_hashes(h[a:b], seed)
                     at = kept_seeds(s, window - seed + 1)
                     at = at[np.argsort(s[at], kind="stable")]
                     new = np.flatnonzero(np.concatenate([[True], np.diff(s[at]) != 0]))
@@ -81,10 +75,9 @@ def _near(positions: np.ndarray, blocks: int, window: int, seed: int) -> np.ndar
     return np.flatnonzero(np.cumsum(reach[:-1]) > 0)
 
 
-def _blocks(words: Words, a: int, b: int, h: np.ndarray, starts: np.ndarray, window: int):
-    own = h[a:b]
-    return (mixed(range_hashes(own, starts, starts + window, _FIRST)),
-            mixed(range_hashes(own, starts, starts + window, _SECOND)))
+def _blocks(h: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two fingerprints of the blocks from ``starts`` on, by hashes of words that have nothing in common."""
+    return window_hashes(h, window)[starts], window_hashes(mixed(~h), window)[starts]
 
 
 def _indexer(window: int, seed: int):
@@ -99,7 +92,7 @@ def _indexer(window: int, seed: int):
                     starts = _near(np.array(near[i], np.int64), b - a - window + 1, window, seed)
                     if not len(starts):
                         continue
-                    h1, h2 = _blocks(words, a, b, h, starts, window)
+                    h1, h2 = _blocks(h[a:b], starts, window)
                     order = np.lexsort((starts, h2, h1))
                     h1, h2, starts = h1[order], h2[order], starts[order]
                     new = np.flatnonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]))
@@ -112,30 +105,31 @@ def _indexer(window: int, seed: int):
     return run
 
 
-def factors_of(starts: np.ndarray, refs: np.ndarray, window: int) -> list[tuple[int, int, int]]:
-    """Greedy factors (start, length, reference) from the indexed positions of one document."""
+def factors_of(starts: np.ndarray, refs: np.ndarray, places: np.ndarray, window: int) -> list[tuple[int, int, int, int]]:
+    """Greedy factors (start, length, reference, place in it) from the indexed positions of one document."""
     order = np.argsort(starts, kind="stable")
-    starts, refs = starts[order], refs[order]
+    starts, refs, places = starts[order], refs[order], places[order]
     if not len(starts):
         return []
-    cut = np.flatnonzero((np.diff(starts) != 1) | (np.diff(refs) != 0)) + 1
+    cut = np.flatnonzero((np.diff(starts) != 1) | (np.diff(refs) != 0) | (np.diff(places) != 1)) + 1
     out = []
     for run in np.split(np.arange(len(starts)), cut):
-        out.append((int(starts[run[0]]), int(starts[run[-1]] - starts[run[0]] + window), int(refs[run[0]])))
+        a, z = run[0], run[-1]
+        out.append((int(starts[a]), int(starts[z] - starts[a] + window), int(refs[a]), int(places[a])))
     return out
 
 
 def _cutter(window: int):
     schema = pa.schema([
         ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.large_string()),
-        ("factors", pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("ref_doc", pa.int64())]))),
+        ("factors", pa.list_(pa.struct([(n, pa.int64() if n == "ref_doc" else pa.int32()) for n in FACTOR]))),
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, words in in_slices(batch.column("text")):
                 part = batch.slice(lo, hi - lo)
-                dup, refs = part.column("dup"), part.column("refs")
+                lists = [part.column(c).to_pylist() for c in ("dup", "refs", "places")]
                 first_doc = part.column("first_doc").to_pylist()
                 ids = part.column("doc_id").to_pylist()
                 raw = words.data.tobytes()
@@ -143,11 +137,11 @@ def _cutter(window: int):
                 for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
                     n = int(b - a)
                     if ids[i] is not None and first_doc[i] is not None and first_doc[i] < ids[i] and n >= window:
-                        found = [(0, n, first_doc[i])]  # the whole text is one factor of its first copy
+                        found = [(0, n, first_doc[i], 0)]  # the whole text is one factor of its first copy
                     else:
-                        found = factors_of(np.array(dup[i].as_py() or [], np.int64), np.array(refs[i].as_py() or [], np.int64), window)
+                        found = factors_of(*[np.array(x[i] or [], np.int64) for x in lists], window)
                     gone = np.zeros(n + 1, np.int64)
-                    for start, length, _ in found:
+                    for start, length, _, _ in found:
                         gone[start] += 1
                         gone[start + length] -= 1
                     keep = np.flatnonzero(np.cumsum(gone[:-1]) == 0)
@@ -155,7 +149,7 @@ def _cutter(window: int):
                     text = b" ".join([raw[x:y] for x, y in zip(s.tolist(), e.tolist())])
                     out.append({
                         "doc_id": ids[i], "n_words": n, "n_removed": n - len(keep), "kept_text": text.decode(),
-                        "factors": [{"start": x, "length": y, "ref_doc": z} for x, y, z in found],
+                        "factors": [dict(zip(FACTOR, f)) for f in found],
                     })
                 yield pa.RecordBatch.from_pylist(out, schema)
     return run
@@ -166,7 +160,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
 
     Words are runs other than the six ASCII white-space characters, unchanged. A word goes if it lies in
     ``window`` consecutive words that also start in a document with a smaller doc_id, judged on the
-    input. ``kept_text`` joins the other words by one space; ``factors`` lists (start, length, ref_doc).
+    input. ``kept_text`` joins the other words by one space; ``factors`` lists (start, length, ref_doc, ref_start): those words of
+    the document are the words of the reference document from ``ref_start`` on.
 
     Null texts count as empty; texts shorter than a window keep every word. Rows of equal doc_id never
     remove words of each other, also when their texts differ. A null doc_id is neither smaller nor
@@ -198,16 +193,18 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
             _indexer(window, seed), "doc_id bigint, text_key binary, h1 bigint, h2 bigint, starts array<int>"
         ), "blocks",
     )
-    index = blocks.groupBy("h1", "h2").agg(F.min("doc_id").alias("ref"), F.max("doc_id").alias("hi")).filter("ref < hi")
+    index = blocks.groupBy("h1", "h2").agg(
+        F.min(F.struct("doc_id", F.col("starts")[0].alias("place"))).alias("ref"), F.max("doc_id").alias("hi")
+    ).select("h1", "h2", F.col("ref.doc_id").alias("ref"), F.col("ref.place").alias("place"), "hi").filter("ref < hi")
     repeats = blocks.join(index, ["h1", "h2"]).filter("doc_id > ref").select(
-        "doc_id", "text_key", "ref", F.explode("starts").alias("start")
-    ).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "ref")).alias("r"))
-    repeats = repeats.select("doc_id", "text_key", F.col("r.start").alias("dup"), F.col("r.ref").alias("refs"))
+        "doc_id", "text_key", "ref", "place", F.explode("starts").alias("start")
+    ).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "ref", "place")).alias("r"))
+    repeats = repeats.select("doc_id", "text_key", F.col("r.start").alias("dup"), F.col("r.ref").alias("refs"), F.col("r.place").alias("places"))
     marks = parsed.select("doc_id", "text_key").distinct().join(first, "text_key").join(
         repeats, ["doc_id", "text_key"], "left"
     ).filter("first_doc < doc_id or dup is not null")
     return source.join(stored(marks, "marks"), ["doc_id", "text_key"], "left").mapInArrow(
         _cutter(window),
         "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, "
-        "factors array<struct<start: int, length: int, ref_doc: bigint>>",
+        "factors array<struct<start: int, length: int, ref_doc: bigint, ref_start: int>>",
     )

@@ -19,34 +19,8 @@ SLICE_BYTES = 1 << 20
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
-_rng = np.random.default_rng(20240229)
-_BYTE_VALUE = _rng.integers(1, 2**63, 256, dtype=np.uint64)
-_BASE = int(_rng.integers(1, 2**62)) * 2 + 1
-_M64 = (1 << 64) - 1
-
-
-class Powers:
-    """Powers of an odd base and of its inverse modulo 2**64, extended on demand."""
-
-    def __init__(self, base: int):
-        self.base = base
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(self.up):
-            size = 1 << (n - 1).bit_length()
-            self.up = self._table(self.base, size)
-            self.down = self._table(pow(self.base, -1, 1 << 64), size)
-        return self.up[:n], self.down[:n]
-
-    @staticmethod
-    def _table(base: int, size: int) -> np.ndarray:
-        steps = np.full(size, base, np.uint64)
-        steps[0] = 1
-        return np.multiply.accumulate(steps)
-
-
-_BYTE_POWERS = Powers(_BASE)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_SEED = np.uint64(0x243F6A8885A308D3)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -59,12 +33,47 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
-    """Position-independent polynomial hash of ``values[start:end]`` for every range, modulo 2**64."""
-    up, down = powers.upto(len(values) + 1)
-    prefix = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=prefix[1:])
-    return (prefix[ends] - prefix[starts]) * down[starts]
+def followed(h: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """Hashes of sequences made of two parts. The left part is mixed before the right one meets it: no polynomial in
+    the parts, whose sequences of some texts (such as those of Thue and Morse) collide whatever its base is."""
+    return mixed(mixed(h + _STEP) ^ by)
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte ranges ``data[start:end]``: eight bytes at a time, for all ranges together."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray((len(data) + 1,), "<u8", buffer=padded, strides=(1,))  # the eight bytes from any place on
+    length = ends - starts
+    h = mixed(_SEED + length.astype(np.uint64))
+    left = np.flatnonzero(length > 0)
+    at = starts[left]
+    rest = length[left]
+    while len(left):
+        piece = eight[at]
+        short = np.minimum(rest, 8).astype(np.uint64)
+        piece &= ~np.uint64(0) >> (np.uint64(64) - short * np.uint64(8))
+        h[left] = followed(h[left], piece)
+        more = rest > 8
+        left, at, rest = left[more], at[more] + 8, rest[more] - 8
+    return h
+
+
+def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all ``width`` consecutive elements of ``h``, put together from windows of powers of two."""
+    n = len(h) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out, done, power, size = None, 0, h, 1
+    while True:
+        if width & size:
+            part = power[done : done + n]
+            out = part if out is None else followed(out, part)
+            done += size
+        size *= 2
+        if size > width:
+            return mixed(out ^ np.uint64(width))
+        power = followed(power[: len(power) - size // 2], power[size // 2 :])
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -89,13 +98,7 @@ class Words:
         return np.diff(self.first)
 
     def hashes(self) -> np.ndarray:
-        h = range_hashes(_BYTE_VALUE[self.data], self.starts, self.ends, _BYTE_POWERS)
-        return mixed(h + (self.ends - self.starts).astype(np.uint64))
-
-    def ranges_hashed(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Hashes of arbitrary byte ranges, such as lines."""
-        h = range_hashes(_BYTE_VALUE[self.data], starts, ends, _BYTE_POWERS)
-        return mixed(h + (ends - starts).astype(np.uint64))
+        return range_hashes(self.data, self.starts, self.ends)
 
 
 def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:

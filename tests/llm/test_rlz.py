@@ -27,14 +27,16 @@ def test_kept_words_equal_brute_force(spark, edge_rows, window, seed):
     assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got), key=str) == brute(edge_rows, window)
 
 
-def test_factors_name_their_reference_and_cover_what_goes(spark, edge_rows):
+def test_factors_are_copies_of_their_reference_and_cover_what_goes(spark, edge_rows):
+    rows = edge_rows + [(2000, "p " + "u " * 80 + "q"), (2001, "p " + "u " * 49 + "q"), (2002, "u " * 70)]
     texts = {}
-    for doc_id, text in edge_rows:
+    for doc_id, text in rows:
         texts.setdefault(doc_id, []).append(words(text))
-    for r in rlz.substring_dedup(make_docs(spark, edge_rows)).collect():
-        covered = set()
+    for r in rlz.substring_dedup(make_docs(spark, rows)).collect():
+        covered, own = set(), [t for t in texts[r.doc_id] if len(t) == r.n_words]
         for f in r.factors:
             assert f.length >= rlz.WINDOW and f.ref_doc < r.doc_id
+            assert any(t[f.start : f.start + f.length] == ref[f.ref_start : f.ref_start + f.length] for t in own for ref in texts[f.ref_doc])
             covered |= set(range(f.start, f.start + f.length))
         assert len(covered) == r.n_removed
 
