@@ -115,7 +115,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op8_source_mix", rf"""
-WITH d AS (SELECT doc_id, source, len({WORDS}) AS size, md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '-')) AS h FROM documents),
+WITH d AS (SELECT doc_id, source, len({WORDS}) AS size, 
+    md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '-') || ':' || md5(coalesce(text, ''))) AS h FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY 1),
 w AS (SELECT *, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight,
     3.0::DOUBLE * source_size AS cap FROM s),
@@ -127,7 +128,7 @@ t AS (SELECT source, source_size, CASE WHEN fixed IS NULL THEN cap ELSE least(ca
     FROM l, (SELECT arg_min(level, ratio) AS fixed FROM l WHERE ratio > level)),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM t),
 o AS (SELECT d.*, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS want,
-    sum(size) OVER (PARTITION BY d.source ORDER BY h, size) - size AS before
+    sum(size) OVER (PARTITION BY d.source ORDER BY h ROWS UNBOUNDED PRECEDING) - size AS before
     FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, source_size, target,
     size * (whole + CASE WHEN want > 0 AND before + size / 2.0 <= want THEN 1 ELSE 0 END) AS taken FROM o
