@@ -3,8 +3,9 @@
 The forest is fitted on a bounded sample: a node splits its rows at the median of their projections
 on a random direction. All vectors are then routed to one leaf of every tree. A query walks all trees
 through one shared priority queue, best margin first, until the leaves it has seen hold its share of the
-rows. Queries and vectors meet by leaf, where exact distances are computed in blocks; the nearest of
-all leaves are reranked. Equal vectors are one point of the index, so no leaf holds a group of copies.
+rows. Queries and vectors meet by leaf; a pair that meets in leaves of several trees is a candidate in the first of
+these trees only, so that its exact distance is computed once. The nearest of all leaves are reranked. Equal vectors
+are one point of the index, so no leaf holds a group of copies; leaves meet their queries in chunks of both.
 """
 
 from __future__ import annotations
@@ -25,8 +26,13 @@ TREES = 8
 LEAF_ROWS = 128
 SAMPLE_ROWS = 16_384
 CALIBRATION_QUERIES = 256
-TARGET_RECALL = 0.97
+TARGET_RECALL = 0.93
 CHUNK_ROWS = 8_192
+CHUNK_QUERIES = 2_048
+
+#: A point's name: the smallest vec_id that has its vector, and a hash of the vector, since one vec_id may have several.
+POINT = ("point", "mark")
+ASKER = ("query", "query_mark")
 
 
 @dataclass
@@ -55,6 +61,10 @@ class Forest:
     dim: int
     share: float = 1.0  # of the rows, with repeats over trees, that a query should see
 
+    @property
+    def most_leaves(self) -> int:
+        return max(len(t.children) + 1 for t in self.trees)
+
     def visited(self, q: np.ndarray, share: float | None = None) -> list[tuple[int, int]]:
         """(tree, leaf) in the order of the shared queue, until the share is reached."""
         share = self.share if share is None else share
@@ -141,10 +151,13 @@ def _router(shared):
             if not batch.num_rows:
                 continue
             x = np.array(batch.column("vector").flatten()).reshape(batch.num_rows, -1)
-            for t, tree in enumerate(forest.trees):
+            leaves = np.column_stack([tree.leaves(x) for tree in forest.trees]).astype(np.int32)
+            first = np.arange(len(x) + 1, dtype=np.int32) * len(forest.trees)
+            listed = pa.ListArray.from_arrays(pa.array(first), pa.array(leaves.ravel()))
+            for t in range(len(forest.trees)):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(x), t, np.int32)), pa.array(tree.leaves(x).astype(np.int32)),
-                     batch.column("point"), batch.column("vector")], ["tree", "leaf", "point", "vector"])
+                    [pa.array(np.full(len(x), t, np.int32)), pa.array(leaves[:, t]), *[batch.column(c) for c in (*POINT, "vector")], listed],
+                    ["tree", "leaf", *POINT, "vector", "leaves"])
     return run
 
 
@@ -156,29 +169,36 @@ def _walker(shared):
                 q = np.array(batch.column("vector")[i].as_py())
                 seen = forest.visited(q)
                 n = len(seen)
+                codes = [t * forest.most_leaves + leaf for t, leaf in seen]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([t for t, _ in seen], pa.int32()), pa.array([leaf for _, leaf in seen], pa.int32()),
-                     pa.repeat(batch.column("point")[i], n), pa.repeat(batch.column("vector")[i], n)],
-                    ["tree", "leaf", "query", "vector"])
+                     *[pa.repeat(batch.column(c)[i], n) for c in (*POINT, "vector")],
+                     pa.repeat(pa.scalar(codes, pa.list_(pa.int32())), n)], ["tree", "leaf", *ASKER, "vector", "seen"])
     return run
 
 
-def _nearest(k: int):
-    """Exact distances of the queries of a leaf to one chunk of its rows; the k nearest of each."""
-    def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
+def _nearest(k: int, trees: int, most_leaves: int):
+    """Exact distances of some queries of a leaf to some of its rows, for pairs that no earlier tree has brought together; the
+    k nearest of each query."""
+    names = [*ASKER, *POINT, "score"]
+
+    def run(key: tuple, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({c: np.zeros(0, np.float64 if c == "score" else np.int64) for c in names})]
         if len(queries) and len(rows):
+            tree = key[0]
+            rows = rows.sort_values([*POINT])
             x = np.stack(rows["vector"].to_numpy()).astype(np.float64)
-            points = rows["point"].to_numpy(np.int64)
-            order = np.argsort(points)
-            x, points = x[order], points[order]
-            for lo in range(0, len(queries), 64):
-                part = queries.iloc[lo : lo + 64]
-                for point, q in zip(part["query"], part["vector"]):
-                    d = np.sqrt(((x - np.asarray(q, np.float64)) ** 2).sum(axis=1))
-                    near = np.argsort(d, kind="stable")[:k]
-                    out.append(pd.DataFrame({"query": np.int64(point), "point": points[near], "score": d[near]}))
-        return pd.concat(out) if out else pd.DataFrame({"query": np.zeros(0, np.int64), "point": np.zeros(0, np.int64), "score": np.zeros(0)})
+            earlier = np.stack(rows["leaves"].to_numpy())[:, :tree] + np.arange(tree) * most_leaves
+            points = [rows[c].to_numpy(np.int64) for c in POINT]
+            for own in zip(*[queries[c] for c in (*ASKER, "vector", "seen")]):
+                met = np.zeros(trees * most_leaves, bool)
+                met[own[3]] = True
+                new = np.flatnonzero(~met[earlier].any(axis=1))
+                d = np.sqrt(((x[new] - np.asarray(own[2], np.float64)) ** 2).sum(axis=1))
+                near = np.argsort(d, kind="stable")[:k]
+                values = [np.full(len(near), v, np.int64) for v in own[:2]] + [p[new][near] for p in points] + [d[near]]
+                out.append(pd.DataFrame(dict(zip(names, values))))
+        return pd.concat(out)
     return run
 
 
@@ -191,8 +211,8 @@ def neighbours(
     Columns query_id, rank (from 1), vec_id, score: Euclidean distance in double precision, ties to the smaller
     vec_id; a row is no candidate of itself. Vectors that are null, empty, zero, or hold a null or non-finite component
     take no part, nor do vectors of another length than most have (ties to the shorter). Rows with a null vec_id take no
-    part. Repeated rows of one vec_id are one candidate, and with different vectors several. Fewer than ``k``
-    candidates give fewer rows; an empty table gives none. Other columns are ignored.
+    part. Repeated rows of one vec_id are one candidate, and with different vectors several, each with its own score; a
+    query with several vectors asks with each, and a candidate counts at the nearest. Fewer than ``k`` candidates give fewer rows; an empty table gives none. Other columns are ignored.
 
     The forest is fitted on at most ``sample_rows`` distinct vectors, the least by a hash; every row is indexed.
     """
@@ -205,35 +225,41 @@ def neighbours(
     # Equal vectors: one point, named by its smallest id, with the ids that a query can want of it.
     ids = rows.select("vector", "vec_id").distinct().withColumn(
         "place", F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))).filter(F.col("place") <= k + 1)
-    points = stored(ids.groupBy("vector").agg(F.min("vec_id").alias("point"), F.array_sort(F.collect_list("vec_id")).alias("ids")), "points")
-    asked = stored(rows.filter("asks").select("vec_id", "vector").distinct().join(points.select("vector", "point"), "vector"), "asked")
-    picked = points.select("point").orderBy(F.xxhash64("point"), "point").limit(sample_rows).distinct()
-    sample = points.select("point", "vector").join(F.broadcast(picked), "point").collect()
-    sample = sorted(sample, key=lambda r: (r.point, r.vector))[:sample_rows]
+    points = stored(ids.groupBy("vector").agg(F.min("vec_id").alias("point"), F.array_sort(F.collect_list("vec_id")).alias("ids")).withColumn(
+        "mark", F.xxhash64("vector")), "points")
+    asked = stored(rows.filter("asks").select("vec_id", "vector").distinct().join(points.select("vector", *POINT), "vector"), "asked")
+    picked = points.select(*POINT).orderBy(F.xxhash64(*POINT), *POINT).limit(sample_rows)
+    sample = points.select(*POINT, "vector").join(F.broadcast(picked), [*POINT]).collect()  # sample_rows at most: names are unique
+    sample = sorted(sample, key=lambda r: (r.point, r.vector))
     x = np.array([r.vector for r in sample]).reshape(len(sample), dim)
     empty = "query_id long, rank int, vec_id long, score double"
     if not len(x):
         return spark.createDataFrame([], empty)
     forest = fit(x, trees, leaf_rows, k, recall)
     shared = spark.sparkContext.broadcast(forest)  # at most trees * sample_rows / leaf_rows * 4 directions
-    index = stored(points.select("point", "vector").mapInArrow(
-        _router(shared), "tree int, leaf int, point bigint, vector array<double>"), "leaves")
-    # Chunks bound what one task holds of a leaf, whatever its size.
-    chunks = index.groupBy("tree", "leaf").count().select(
-        "tree", "leaf", F.ceil(F.col("count") / CHUNK_ROWS).cast("int").alias("chunks"))
-    held = index.join(chunks, ["tree", "leaf"]).withColumn("chunk", F.pmod(F.xxhash64("point"), "chunks").cast("int"))
-    walks = asked.select("point", "vector").dropDuplicates(["point"]).mapInArrow(
-        _walker(shared), "tree int, leaf int, query bigint, vector array<double>")
-    walks = walks.join(chunks, ["tree", "leaf"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    keys = ["tree", "leaf", "chunk"]
-    found = walks.select(*keys, "query", "vector").groupBy(*keys).cogroup(
-        held.select(*keys, "point", "vector").groupBy(*keys)
-    ).applyInPandas(_nearest(k + 1), "query bigint, point bigint, score double")
-    # A query needs k other rows: at most k + 1 points, its own among them.
-    order = Window.partitionBy("query").orderBy("score", "point")
-    best = found.dropDuplicates(["query", "point"]).withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k + 1)
-    wide = asked.select(F.col("vec_id").alias("query_id"), F.col("point").alias("query")).join(best, "query").join(
-        points.select("point", "ids"), "point").withColumn("vec_id", F.explode("ids")).filter("vec_id <> query_id")
+    index = stored(points.select(*POINT, "vector").mapInArrow(
+        _router(shared), "tree int, leaf int, point bigint, mark bigint, vector array<double>, leaves array<int>"), "leaves")
+    walks = stored(asked.select(*POINT, "vector").dropDuplicates([*POINT]).mapInArrow(
+        _walker(shared), "tree int, leaf int, query bigint, query_mark bigint, vector array<double>, seen array<int>"), "walks")
+    # Chunks bound what one task holds of a leaf and of its queries, however many there are.
+    spot = ["tree", "leaf"]
+    chunks = index.groupBy(*spot).count().select(*spot, F.ceil(F.col("count") / CHUNK_ROWS).cast("int").alias("chunks")).join(
+        walks.groupBy(*spot).count().select(*spot, F.ceil(F.col("count") / CHUNK_QUERIES).cast("int").alias("parts")), spot)
+    chunks = stored(chunks, "chunks")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    held = index.join(chunks, spot).withColumn("chunk", F.pmod(F.xxhash64(*POINT), "chunks").cast("int")).withColumn("part", every("parts"))
+    asking = walks.join(chunks, spot).withColumn("chunk", every("chunks")).withColumn("part", F.pmod(F.xxhash64(*ASKER), "parts").cast("int"))
+    # A query needs k other rows: at most k points besides those of its own vectors.
+    most = k + (asked.groupBy("vec_id").count().agg(F.max("count")).first()[0] or 1)
+    keys = [*spot, "chunk", "part"]
+    found = asking.select(*keys, *ASKER, "vector", "seen").groupBy(*keys).cogroup(
+        held.select(*keys, *POINT, "vector", "leaves").groupBy(*keys)
+    ).applyInPandas(_nearest(most, trees, forest.most_leaves), "query bigint, query_mark bigint, point bigint, mark bigint, score double")
+    order = Window.partitionBy(*ASKER).orderBy("score", *POINT)
+    best = found.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= most)
+    names = dict(zip(POINT, ASKER))
+    wide = asked.select(F.col("vec_id").alias("query_id"), *[F.col(c).alias(n) for c, n in names.items()]).join(best, [*ASKER]).join(
+        points.select(*POINT, "ids"), [*POINT]).withColumn("vec_id", F.explode("ids")).filter("vec_id <> query_id")
+    nearest = wide.groupBy("query_id", "vec_id", *POINT).agg(F.min("score").alias("score"))
     final = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return wide.select("query_id", "vec_id", "score").withColumn("rank", F.row_number().over(final)).filter(
-        F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return nearest.withColumn("rank", F.row_number().over(final)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

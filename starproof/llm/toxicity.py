@@ -23,9 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from starproof.llm.jaccard import ngram_hashes
 from starproof.llm.scratch import stored
-from starproof.llm.words import distinct_chunks, in_slices, long_array
+from starproof.llm.words import distinct_chunks, in_slices
 
 #: Bounds of what is learned: labelled documents read, and lexicon entries kept.
 MOST_LABELLED = 20_000
@@ -229,17 +228,6 @@ def fitted(sums: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return w
 
 
-def _lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the least 5-gram hash, by which copies in the sample are dropped."""
-    for batch in batches:
-        for lo, hi, words in in_slices(batch.column("text")):
-            grams, first = ngram_hashes(words, 5)
-            lead = [int(grams[a:b].min()) if b > a else 0 for a, b in zip(first[:-1], first[1:])]
-            part = batch.slice(lo, hi - lo)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("toxic"), part.column("text"), long_array(np.array(lead, np.uint64))], ["toxic", "text", "lead"])
-
-
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = (Counter(), Counter())
 
@@ -277,8 +265,9 @@ def learned(docs: DataFrame, labels: DataFrame) -> Model:
     picked = labels.filter(F.col("toxic").isNotNull() & (fold() != 0)).groupBy("doc_id").agg(
         F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).cast("int").alias("toxic")
     ).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELLED)
-    sample = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(picked), "doc_id").select("toxic", "text")
-    sample = stored(sample.mapInArrow(_lead, "toxic int, text string, lead bigint").dropDuplicates(["lead", "toxic"]), "labelled")
+    rows = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(picked), "doc_id")
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min_by("text", F.md5("text")).alias("text"))
+    sample = stored(rows.select("toxic", "text").distinct(), "labelled")
     totals = dict(sample.groupBy("toxic").count().collect())
     pos, neg = totals.get(1, 0), totals.get(0, 0)
     model = Model()
@@ -315,7 +304,7 @@ def learned(docs: DataFrame, labels: DataFrame) -> Model:
 
     rows = sample.select("toxic", "text").mapInArrow(
         measure, "toxic int, " + ", ".join(f"s{k} double" for k in range(N_SUMS))).collect()
-    if rows:  # at most MOST_LABELLED rows of six numbers
+    if rows:  # at most MOST_LABELLED rows of six numbers, one per doc_id
         data = np.array([tuple(r) for r in rows], float)
         data = data[np.lexsort(data.T)]  # a fixed order, for equal sums in every run
         model.weights = fitted(data[:, 1:], data[:, 0])
@@ -351,7 +340,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Only text decides a score. Labels (doc_id, toxic) of documents outside the held-out fold are used for
     learning, at most ``MOST_LABELLED`` of them, chosen by a hash of doc_id; of several labels of one doc_id the
-    largest counts, null ones do not. Without labels of both kinds the general vocabulary and the prior weights
+    largest counts, null ones do not. A labelled doc_id with several texts gives one (the least by md5), and of equal texts with an
+    equal label one is learned from. Without labels of both kinds the general vocabulary and the prior weights
     hold. Null and empty texts have no match and get the score of the intercept; a null doc_id is not held out.
     Repeated rows are scored alike; other columns are ignored; an empty table gives an empty result.
     """

@@ -53,6 +53,24 @@ def test_copies_ties_and_unusable_vectors(spark):
     assert got == brute(good, {0, 10, 20, 30, 50, 60, 70})
 
 
+def test_one_id_with_several_vectors(spark):
+    rows = [(i, [float(i), 0.0]) for i in range(1, 30)] + [(5, [500.0, 0.0]), (5, [501.0, 0.0])]
+    got = by_query(ann.neighbours(frame(spark, rows + [(200, [499.0, 0.0]), (300, [4.5, 0.0]), (300, [700.0, 0.0])]), F.col("vec_id") % 100 == 0, k=4, leaf_rows=1, recall=1.0).collect())
+    assert got[200] == [(5, 1.0), (5, 2.0), (300, 201.0), (29, 470.0)]
+    assert got[300] == [(4, 0.5), (5, 0.5), (3, 1.5), (6, 1.5)]
+    asked = by_query(ann.neighbours(frame(spark, rows), F.col("vec_id") == 5, k=3, leaf_rows=1, recall=1.0).collect())
+    assert asked[5] == [(4, 1.0), (6, 1.0), (3, 2.0)]
+
+
+def test_chunks_and_trees_change_nothing(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=5)) for i in range(400)]
+    whole = by_query(ann.neighbours(frame(spark, rows), F.col("vec_id") % 7 == 0, recall=1.0, leaf_rows=8).collect())
+    monkeypatch.setattr(ann, "CHUNK_ROWS", 3)
+    monkeypatch.setattr(ann, "CHUNK_QUERIES", 2)
+    assert by_query(ann.neighbours(frame(spark, rows), F.col("vec_id") % 7 == 0, recall=1.0, leaf_rows=8).collect()) == whole
+
+
 def test_few_candidates_and_empty_table(spark):
     assert by_query(ann.neighbours(frame(spark, [(0, [1.0]), (1, [3.0])]), F.lit(True)).collect()) == {0: [(1, 2.0)], 1: [(0, 2.0)]}
     assert ann.neighbours(frame(spark, [(0, [1.0])]), F.lit(True)).count() == 0

@@ -1,4 +1,6 @@
+import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -82,3 +84,55 @@ def test_edges_without_labels(spark, edge_rows):
     assert kept.columns == docs.columns and kept.filter("doc_id = 500").count() == 0
     nulls = spark.createDataFrame([(None, 1), (7, None)], "doc_id bigint, toxic int")
     assert t.toxicity(make_docs(spark, []), nulls).count() == 0
+
+
+def plain_sums(text, model):
+    """The matches of one text by the rules of the grammar, word after word, without any automaton."""
+    sums = [0.0] * t.N_SUMS
+    chunks = re.findall(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", (text or "").lstrip(" \t\n\v\f\r"))
+    aimed = pending = report = False
+    reach = 0
+    for chunk in chunks:
+        kind, weight, ends = model.lexical(chunk)
+        out, at_target = kind, aimed and kind in (t.INSULT, t.THREAT)
+        aimed |= kind == t.TARGET
+        if kind == t.THREAT:
+            pending, out = (False, kind) if at_target else (True, t.OTHER)
+        elif kind == t.TARGET and pending:
+            pending, out, at_target = False, t.THREAT, True
+        counts = out in (t.INSULT, t.THREAT)
+        negated, reported = counts and reach > 0, counts and report
+        reach = 3 if out == t.NEGATION else max(reach - 1, 0)
+        report |= out == t.REPORT
+        if counts:
+            what = t.NEGATED if negated else t.REPORTED if reported else t.THREATENING if out == t.THREAT else t.AIMED if at_target else t.PLAIN
+            sums[what] += weight if kind == t.INSULT else 1.0
+        if ends:
+            aimed = pending = report = False
+            reach = 0
+    return sums
+
+
+def test_scores_equal_a_plain_scorer(spark, edge_rows):
+    rng = random.Random(12)
+    parts = [*t.INSULTS[:4], *t.THREATS[:2], *t.TARGETS[:3], *t.NEGATIONS[:2], *t.REPORTS[:2], "word", "stemmy", "Idiot!", "you.", "x\n", "é,", '"kill"', "a?", "...", "\t"]
+    rows = edge_rows + [(9000 + i, " ".join(rng.choice(parts) for _ in range(rng.choice([1, 5, 30, 200])))) for i in range(200)]
+    model = t.Model(stems={"stem": 0.7})
+    got = {(r.doc_id, r.text): (list(r._sums), r._score) for r in t.scored(make_docs(spark, rows).select("doc_id", "text"), model).collect()}
+    for doc_id, text in rows:
+        sums, score = got[doc_id, text]
+        assert np.allclose(sums, plain_sums(text, model))
+        z = model.weights[0] + sum(w * math.log1p(s) for w, s in zip(model.weights[1:], plain_sums(text, model)))
+        assert math.isclose(score, 1 / (1 + math.exp(-z)), rel_tol=1e-9)
+
+
+def test_repeated_ids_and_shared_beginnings(spark):
+    """Rows of one doc_id are one labelled text; documents that share a passage stay different; scores repeat."""
+    rows, labels = labelled(300)
+    shared = "one line that all of the documents begin with "
+    rows = [(i, shared + x) for i, x in rows] + [(1, f"other text {k}") for k in range(50)]
+    frame = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    runs = [sorted((str(r.doc_id), r.score) for r in t.toxicity(make_docs(spark, x), frame).collect()) for x in (rows, rows[::-1])]
+    assert runs[0] == runs[1]
+    found = {r.doc_id: r.predicted for r in t.toxicity(make_docs(spark, rows), frame).collect()}
+    assert np.mean([found[i] == x for i, x in labels]) >= 0.97
