@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import functools
 import itertools
+import json
 import os
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -28,7 +30,7 @@ from tokenizers import Tokenizer
 from starproof.llm.words import distinct_chunks, found, slices, utf8
 
 #: Characters of a leaf, and tokens of a first window on either side of a join.
-LEAF_CHARS = 65_536
+LEAF_CHARS = 16_384
 FIRST_WINDOW = 8
 MOST_CACHED = 200_000
 SLICE_BYTES = 2 << 20
@@ -46,9 +48,31 @@ def tokenizer(path: str) -> Tokenizer:
     return t
 
 
-def _folded(chunk: str) -> str:
-    """A chunk as the vocabulary's normaliser leaves it, where that is plain: one key for many spellings."""
-    return chunk.strip(WHITE).lower() if chunk.isascii() and "<|" not in chunk else chunk
+def _steps(part: dict | None, name: str) -> list[str]:
+    """The types of the steps of a normaliser or pre-tokenizer, as its file declares them."""
+    if part is None:
+        return []
+    return [s["type"] for s in part[name]] if part["type"] == "Sequence" else [part["type"]]
+
+
+def _word_by_word(declared: dict) -> bool:
+    """Whether white space is dropped and only separates, so that the ids of a text are those of its words, end to end.
+
+    That is known for normalisers that look at single characters or at runs of white space, before a split that keeps
+    what its pattern matches and whose pattern matches no white space, without added tokens that hold or take in white space.
+    """
+    pre = declared["pre_tokenizer"] or {}
+    split = (pre.get("pretokenizers") or [pre])[0]
+    plain = all(s in ("NFC", "Replace", "Lowercase") for s in _steps(declared["normalizer"], "normalizers"))
+    steps = (declared["normalizer"] or {}).get("normalizers", [])
+    blanks = all(s["pattern"] == {"Regex": r"\s+"} and s["content"] == " " for s in steps if s["type"] == "Replace")
+    keeps = split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") is True
+    rest = _steps(pre or None, "pretokenizers")[1:] in ([], ["ByteLevel"]) and not any(
+        s.get("add_prefix_space") for s in pre.get("pretokenizers", []))
+    apart = keeps and not re.search(r"\\s(?![^\[]*\])|\\S|\.| ", split["pattern"].get("Regex", ".").replace(r"[^\s", "["))
+    tokens = all(not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or re.search(r"\s", t["content"]))
+                 for t in declared["added_tokens"])
+    return bool(plain and blanks and keeps and rest and apart and tokens and declared["post_processor"] is None)
 
 
 class Codec:
@@ -57,8 +81,11 @@ class Codec:
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
         self.cache: dict[str, tuple[bytes, str]] = {}
+        declared = json.loads(self.tokenizer.to_str())
         # Without a decoder the library puts one space between tokens, so texts can be decoded chunk by chunk.
-        self.by_chunk = self.tokenizer.decoder is None
+        self.by_chunk = declared["decoder"] is None
+        self.by_words, self.lowers = _word_by_word(declared), "Lowercase" in _steps(declared["normalizer"], "normalizers")
+        self.added = [t["content"] for t in declared["added_tokens"]]
 
     def encode(self, text: str):
         return self.tokenizer.encode(text, add_special_tokens=False)
@@ -66,13 +93,20 @@ class Codec:
     def decode(self, ids: np.ndarray) -> str:
         return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
 
+    def folded(self, chunk: str) -> str:
+        """A chunk as the vocabulary's own normaliser leaves it, where that is plain: one key for many spellings."""
+        low = chunk.lower()
+        if not chunk.isascii() or any(t.lower() in low for t in self.added):  # else a lower spelling may become a token of its own
+            return chunk
+        return low.strip(WHITE) if self.lowers else chunk.strip(WHITE)
+
     def known(self, chunks: list[str]) -> list[tuple[bytes, str]]:
         """(ids, decoded text) of each chunk. White space separates, so new chunks are encoded many to a text."""
         cache = self.cache
         if len(cache) > MOST_CACHED:  # the older half goes
             for k in list(itertools.islice(cache, len(cache) // 2)):
                 del cache[k]
-        keys = [_folded(c) for c in chunks]
+        keys = [self.folded(c) for c in chunks]
         new = [k for k in dict.fromkeys(keys) if k not in cache]
         for lo in range(0, len(new), CHUNKS_PER_TEXT):
             part = new[lo : lo + CHUNKS_PER_TEXT]
@@ -87,6 +121,11 @@ class Codec:
 
     def coded(self, column: pa.Array) -> Iterator[tuple[np.ndarray, str]]:
         """(ids, decoded text) of every text of a column, in order."""
+        if not self.by_words:
+            for text in column.to_pylist():
+                ids = np.array(self.encode(text or "").ids, "<u4")
+                yield ids, self.decode(ids)
+            return
         data, offsets = utf8(column)
         for lo, hi in slices(offsets, SLICE_BYTES):
             at = offsets[lo : hi + 1]

@@ -1,3 +1,4 @@
+import json
 import random
 
 import numpy as np
@@ -46,6 +47,28 @@ def test_columns_equal_the_library():
     assert got == [(ids, codec.tokenizer.decode(ids, skip_special_tokens=False)) for ids in want]
 
 
+def without(tmp_path, drop):
+    """The vocabulary with one of its normaliser's steps left out, or with an added token that holds white space."""
+    d = json.loads(open(PATH).read())
+    if drop == "added":
+        d["added_tokens"][0]["content"] = "a a"
+    else:
+        d["normalizer"]["normalizers"] = [s for s in d["normalizer"]["normalizers"] if s["type"] != drop]
+    path = tmp_path / f"{drop}.json"
+    path.write_text(json.dumps(d))
+    return str(path)
+
+
+@pytest.mark.parametrize("drop, by_words", [("Lowercase", True), ("NFC", True), ("Replace", True), ("added", False), ("bytes", False)])
+def test_other_vocabularies_equal_the_library(tmp_path, drop, by_words):
+    codec, rng = bpe.Codec(public_tokenizers.path("byte_bpe_50k.json") if drop == "bytes" else without(tmp_path, drop)), random.Random(8)
+    assert codec.by_words == by_words and bpe.Codec(PATH).by_words
+    texts = [random_text(rng, rng.choice([0, 5, 60])) for _ in range(200)] + ["Hello World NASA", "hello  world\nnasa", None, "", "A a<|endoftext|>A", "<|ENDOFTEXT|> <|EndOfText|>"]
+    got = [(ids.tolist(), text) for ids, text in codec.coded(pa.array(texts))]
+    want = [codec.encode(t or "").ids for t in texts]
+    assert got == [(ids, codec.tokenizer.decode(ids, skip_special_tokens=False)) for ids in want]
+
+
 def test_control_characters_at_the_edges_of_words():
     codec = bpe.Codec(PATH)
     texts = [t for c in [*map(chr, range(32)), "\x7f", "\x85", "\xa0", "\u2028"] for t in (c, f"{c}abc", f"abc{c}", f"Abc{c} abc", f"a {c}\n{c}b", c * 3)]
