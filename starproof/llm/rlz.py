@@ -97,10 +97,10 @@ def _indexer(window: int, seed: int):
                     h1, h2, starts = h1[order], h2[order], starts[order]
                     new = np.flatnonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(part.column("doc_id")[i], len(new)), pa.repeat(part.column("text_key")[i], len(new)),
+                        [pa.repeat(part.column("doc_id")[i], len(new)), pa.repeat(part.column("tag")[i], len(new)),
                          long_array(h1[new]), long_array(h2[new]),
                          ragged(pa.array(starts.astype(np.int32)), np.append(new, len(starts)))],
-                        ["doc_id", "text_key", "h1", "h2", "starts"],
+                        ["doc_id", "tag", "h1", "h2", "starts"],
                     )
     return run
 
@@ -187,22 +187,23 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, seed: int = SEED) ->
     spots = stored(
         seeds.join(shared, "seed").groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("positions")).alias("positions")), "spots"
     )
-    located = source.join(spots, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"])
+    # The tag tells the texts of one doc_id apart, at half the bytes of their key.
+    located = source.join(spots, ["doc_id", "text_key"]).dropDuplicates(["doc_id", "text_key"]).withColumn("tag", F.xxhash64("text_key"))
     blocks = stored(
         located.mapInArrow(
-            _indexer(window, seed), "doc_id bigint, text_key binary, h1 bigint, h2 bigint, starts array<int>"
+            _indexer(window, seed), "doc_id bigint, tag bigint, h1 bigint, h2 bigint, starts array<int>"
         ), "blocks",
     )
     index = blocks.groupBy("h1", "h2").agg(
         F.min(F.struct("doc_id", F.col("starts")[0].alias("place"))).alias("ref"), F.max("doc_id").alias("hi")
     ).select("h1", "h2", F.col("ref.doc_id").alias("ref"), F.col("ref.place").alias("place"), "hi").filter("ref < hi")
     repeats = blocks.join(index, ["h1", "h2"]).filter("doc_id > ref").select(
-        "doc_id", "text_key", "ref", "place", F.explode("starts").alias("start")
-    ).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "ref", "place")).alias("r"))
-    repeats = repeats.select("doc_id", "text_key", F.col("r.start").alias("dup"), F.col("r.ref").alias("refs"), F.col("r.place").alias("places"))
-    marks = parsed.select("doc_id", "text_key").distinct().join(first, "text_key").join(
-        repeats, ["doc_id", "text_key"], "left"
-    ).filter("first_doc < doc_id or dup is not null")
+        "doc_id", "tag", "ref", "place", F.explode("starts").alias("start")
+    ).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "ref", "place")).alias("r"))
+    repeats = repeats.select("doc_id", "tag", F.col("r.start").alias("dup"), F.col("r.ref").alias("refs"), F.col("r.place").alias("places"))
+    marks = parsed.select("doc_id", "text_key").distinct().withColumn("tag", F.xxhash64("text_key")).join(first, "text_key").join(
+        repeats, ["doc_id", "tag"], "left"
+    ).filter("first_doc < doc_id or dup is not null").drop("tag")
     return source.join(stored(marks, "marks"), ["doc_id", "text_key"], "left").mapInArrow(
         _cutter(window),
         "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, "
