@@ -1,7 +1,7 @@
 """BPE encoding and decoding of whole texts by tree concatenation.
 
-Long texts are halved until the leaves are short; leaves are rows of their own, so they are encoded in parallel. Neighbours
-are then joined pairwise, level by level: a window around the join is encoded again and grown on
+Long texts are halved until the leaves are short; leaves of very long ones are rows of their own, so they are encoded in
+parallel by many tasks, and others stay in their document's task. Neighbours are then joined pairwise, level by level: a window around the join is encoded again and grown on
 both sides until its outer tokens agree exactly with those of the halves, which fixes every
 token in between. White space always separates the pieces that the vocabulary merges, so a leaf
 preferably ends there; inside a long run without white space it ends anywhere and the windows
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -31,6 +32,8 @@ from starproof.llm.words import distinct_chunks, found, slices, utf8
 
 #: Characters of a leaf, and tokens of a first window on either side of a join.
 LEAF_CHARS = 16_384
+#: Characters of a text whose leaves are spread over tasks; those of shorter texts fill one task's batch anyway.
+SPREAD_CHARS = 65_536
 FIRST_WINDOW = 8
 MOST_CACHED = 200_000
 SLICE_BYTES = 2 << 20
@@ -241,6 +244,12 @@ def merged(codec: Codec, text: str, pieces: list[Piece]) -> Piece:
     return pieces[0]
 
 
+def by_tree(codec: Codec, text: str, leaf_chars: int) -> tuple[np.ndarray, str]:
+    """(ids, decoded text) of one text, from its leaves to the root."""
+    ids = merged(codec, text, [piece(codec, text, lo, hi) for lo, hi in leaves(text, leaf_chars)]).ids.astype("<u4")
+    return ids, codec.decode(ids)
+
+
 def packed(values: np.ndarray) -> bytes:
     """Whole numbers in two bytes each where all fit, else in four."""
     small = not len(values) or (values.min() >= -(2**15) and values.max() < 2**15)
@@ -266,14 +275,17 @@ def unpacked_piece(lo: int, hi: int, n: int, ids: bytes, spans: bytes) -> Piece:
 # -- Spark ---------------------------------------------------------------------------------------
 
 
-def _short(path: str):
+def _in_task(path: str, leaf_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(path)
         for batch in batches:
             size = 1_000
             for lo in range(0, batch.num_rows, size):
                 part = batch.slice(lo, size)
-                out = list(codec.coded(part.column("text")))
+                texts = part.column("text")
+                long = pc.greater(pc.utf8_length(texts), leaf_chars)
+                short = iter(codec.coded(texts.filter(pc.invert(long))))
+                out = [by_tree(codec, texts[i].as_py(), leaf_chars) if is_long else next(short) for i, is_long in enumerate(long.to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([i.tobytes() for i, _ in out], pa.binary()),
                      pa.array([t for _, t in out], pa.string())], ["doc_id", "ids", "decoded"])
@@ -323,19 +335,21 @@ def _join_leaves(path: str):
     return run
 
 
-def encode(docs: DataFrame, path: str, leaf_chars: int = LEAF_CHARS) -> DataFrame:
+def encode(docs: DataFrame, path: str, leaf_chars: int = LEAF_CHARS, spread_chars: int = SPREAD_CHARS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, ids (little-endian unsigned 32-bit), decoded.
 
     Ids are those of the tokenizers library for the vocabulary file at ``path``, without special tokens added;
     ``decoded`` is the library's decoding, special tokens kept. ``path`` must be readable on the executors.
 
-    Texts of more than ``leaf_chars`` characters take the tree; each distinct one is encoded once. Null and
+    Texts of more than ``leaf_chars`` characters take the tree; the leaves of those of more than ``spread_chars`` are rows of
+    their own, and each distinct one of these is encoded once. Null and
     empty texts give no ids and an empty text. Repeated rows and null doc_ids get a row each; other columns are
     ignored; an empty table gives an empty result.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    short = rows.filter(F.length("text") <= leaf_chars).mapInArrow(_short(path), "doc_id bigint, ids binary, decoded string")
-    long = rows.filter(F.length("text") > leaf_chars).withColumn("text_key", F.unhex(F.sha2("text", 256)))
+    spread = max(leaf_chars, spread_chars)
+    short = rows.filter(F.length("text") <= spread).mapInArrow(_in_task(path, leaf_chars), "doc_id bigint, ids binary, decoded string")
+    long = rows.filter(F.length("text") > spread).withColumn("text_key", F.unhex(F.sha2("text", 256)))
     parts = long.groupBy("text_key").agg(F.first("text").alias("text")).mapInArrow(
         _split(leaf_chars), "text_key binary, leaf int, lo bigint, part string")
     coded = parts.repartition("text_key", "leaf").mapInArrow(

@@ -77,10 +77,10 @@ def test_control_characters_at_the_edges_of_words():
     assert got == [(ids, codec.tokenizer.decode(ids, skip_special_tokens=False)) for ids in want]
 
 
-@pytest.mark.parametrize("leaf", [64, bpe.LEAF_CHARS])
-def test_documents(spark, edge_rows, leaf):
+@pytest.mark.parametrize("leaf, spread", [(64, 64), (64, 200), (64, 10**9), (bpe.LEAF_CHARS, bpe.SPREAD_CHARS)])
+def test_documents(spark, edge_rows, leaf, spread):
     rows = [r for r in edge_rows if len(r[1] or "") < 60_000]
-    got = bpe.encode(make_docs(spark, rows), PATH, leaf).collect()
+    got = bpe.encode(make_docs(spark, rows), PATH, leaf, spread).collect()
     codec = bpe.Codec(PATH)
     want = []
     for doc_id, text in rows:
