@@ -17,6 +17,7 @@ from starproof.sources.warehouse import table
 ROW_ORDER = ["_o1", "_o2", "_o3", "_o4", "_o5"]
 
 BAD_PRICE_EVERY, BAD_DATE_EVERY, UNKNOWN_EVERY = 250, 500, 97
+BAD_QUANTITY_EVERY, BAD_DISCOUNT_EVERY, HUGE_PRICE_EVERY = 300, 350, 770
 
 
 def _every(key: Column, n: int) -> Column:
@@ -47,6 +48,17 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spoiled_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exports with the defects that no revenue query expects: unreadable quantities and discounts, amounts of too many digits."""
+    key = F.col("`N° Commande`").cast("bigint")
+    huge = F.lit("99999999999999999999")
+    return raw_sales(spark, sf_dir).withColumns({
+        "Quantité ": F.when(_every(key, BAD_QUANTITY_EVERY), "x").when(_every(key, HUGE_PRICE_EVERY), "9000000000000000000").otherwise(F.col("Quantité ")),
+        "Remise %": F.when(_every(key, BAD_DISCOUNT_EVERY), "?").otherwise(F.col("Remise %")),
+        "PU Vente HT ": F.when(_every(key, HUGE_PRICE_EVERY), huge).otherwise(F.col("`PU Vente HT `")),
+    })
+
+
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, segment = F.col("c_custkey"), F.col("c_mktsegment")
     entered = (

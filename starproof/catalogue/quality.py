@@ -10,10 +10,10 @@ from starproof.catalogue.registry import BASE, BUDGET, RATE, REVENUE, dbl, query
 from starproof.functions import measures as m
 from starproof.functions import parsing
 from starproof.operators import cleaning, counters, facts
-from starproof.operators.keys import duplicate_key_count, orphan_count
+from starproof.operators.keys import duplicate_key_count, orphan_counts
 from starproof.operators.schema import coerce, star_table, drop_or_keep_invalid, normalise_headers
 from starproof.plans import checks, ingest, reporting, truth, views
-from starproof.sources.store import materialise
+from starproof.sources.store import fixed, materialise
 from starproof.sources.warehouse import DELIVERED, SEGMENTS, star, table
 
 
@@ -196,15 +196,21 @@ def order_header_distinct(spark, sf_dir):
     return headers.withColumns({c: F.col(c).cast("bigint") for c in codes})
 
 
-@query("sales_counters", f"""WITH {x.RAW_SALES}
-SELECT CAST(7 AS BIGINT) AS files_read, (SELECT count(*) FROM raw_sales) AS rows_raw, count(*) AS rows_after_dedup,
+@query("sales_counters", f"""WITH {x.RAW_SALES},
+spoiled AS (SELECT *, order_id % {x.BAD_QUANTITY_EVERY} = 0 AS bad_quantity, order_id % {x.BAD_DISCOUNT_EVERY} = 0 AS bad_discount,
+            order_id % {x.HUGE_PRICE_EVERY} = 0 AS huge FROM sales)
+SELECT (SELECT count(DISTINCT year(o_orderdate)) FROM orders) AS files_read, (SELECT count(*) FROM raw_sales) AS rows_raw, count(*) AS rows_after_dedup,
        (SELECT count(*) FROM raw_sales) - count(*) AS duplicates_removed,
-       count(*) FILTER (WHERE order_date IS NULL) AS invalid_dates, count(*) FILTER (WHERE unit_price IS NULL) AS invalid_amounts,
-       count(order_date) AS rows_kept, CAST(0 AS BIGINT) AS invalid_quantities, CAST(0 AS BIGINT) AS invalid_discounts
-FROM sales""")
+       count(*) FILTER (WHERE order_date IS NULL) AS invalid_dates, count(*) FILTER (WHERE unit_price IS NULL AND NOT huge) AS invalid_amounts,
+       count(order_date) AS rows_kept, count(*) FILTER (WHERE bad_quantity) AS invalid_quantities,
+       count(*) FILTER (WHERE bad_discount) AS invalid_discounts,
+       count(*) FILTER (WHERE huge AND NOT bad_quantity AND NOT bad_discount) AS overflowing_lines
+FROM spoiled""")
 def sales_counters(spark, sf_dir):
-    years = table(spark, sf_dir, "orders").select(F.countDistinct(F.year("o_orderdate"))).scalar()  # one export per year
-    return counters.sales_counters(_audited(spark, sf_dir, *_TYPED), years)
+    """Every counter above zero; counted while the audited lines are written."""
+    years = table(spark, sf_dir, "orders").select(F.countDistinct(F.year("o_orderdate"))).first()[0]  # one export per year
+    raw = cleaning.prepare(x.spoiled_sales(spark, sf_dir), specs.SALES).select(*cleaning.SALES_KEY, *_TYPED, *x.ROW_ORDER)
+    return ingest.counted_sales(cleaning.audit_sales(raw, x.ROW_ORDER), years)[1]
 
 
 @query("product_counters", f"""WITH {x.RAW_PRODUCTS}
@@ -233,9 +239,9 @@ def salesperson_counters(spark, sf_dir):
 # --- keys ------------------------------------------------------------------------
 
 
-def _with_unknown(df, key):
+def _with_unknown(df, *keys):
     """Every 97th key becomes a code no dimension knows."""
-    return df.withColumn(key, F.when(F.col(key) % x.UNKNOWN_EVERY == 0, -1 - F.col(key)).otherwise(F.col(key)))
+    return df.withColumns({k: F.when(F.col(k) % x.UNKNOWN_EVERY == 0, -1 - F.col(k)).otherwise(F.col(k)) for k in keys})
 
 
 def _orphan_sql(label, child, key):
@@ -253,11 +259,10 @@ def fk_orphans(spark, sf_dir):
         ("orders -> customers", "fact_order", "customer_code", "dim_customer"),
         ("lines -> salespeople", "fact_line", "salesperson_code", "dim_salesperson"),
     ]
-    out = None
-    for label, child, key, parent in fks:
-        row = orphan_count(_with_unknown(s[child], key), key, s[parent], key).select(F.lit(label).alias("fk"), "orphans")
-        out = row if out is None else out.unionByName(row)
-    return out
+    spoiled = {t: _with_unknown(s[t], *[k for _, c, k, _ in fks if c == t]) for t in {t for _, t, _, _ in fks}}
+    counts = orphan_counts([(spoiled[child], key, s[parent], key) for _, child, key, parent in fks])
+    rows = [F.struct(F.lit(label).alias("fk"), F.col(f"orphans_{i}").alias("orphans")) for i, (label, *_) in enumerate(fks)]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 @query("duplicate_keys", """SELECT 'lines' AS name, count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS duplicates FROM lineitem
@@ -369,7 +374,7 @@ def _dirty_star(spark, sf_dir):
     Writes what several checks read: the audited lines, the order headers and the small sources.
     """
     base = star(spark, sf_dir)
-    audited = materialise(_audited(spark, sf_dir), "sales")  # read by a dozen sub-plans
+    audited, sales_report = ingest.counted_sales(_audited(spark, sf_dir), 1)  # read by a dozen sub-plans
     products = materialise(_products(spark, sf_dir), "products")
     customers = materialise(_customers(spark, sf_dir), "customers")
     regions = base["dim_region"]
@@ -380,9 +385,9 @@ def _dirty_star(spark, sf_dir):
     built["fact_order"] = materialise(built["fact_order"], "orders")
     grid_rows = budget.select(F.lit("budget").alias("file"), "category")
     reports = {
-        "sales": counters.sales_counters(audited, 1), "products": counters.product_counters(products),
-        "customers": counters.customer_counters(customers, SEGMENTS),
-        "budget": counters.budget_counters(budget, grid_rows),
+        "sales": sales_report, "products": fixed(counters.product_counters(products)),
+        "customers": fixed(counters.customer_counters(customers, SEGMENTS)),
+        "budget": fixed(counters.budget_counters(budget, grid_rows)),
     }
     return built, reports
 
@@ -390,7 +395,8 @@ def _dirty_star(spark, sf_dir):
 _BUDGET_GRID = "(SELECT count(DISTINCT region_code) * count(DISTINCT category) * count(DISTINCT period) FROM budget)"
 _RECONCILED = "sum(quantity * unit_price * (1 - CAST(l_discount AS DECIMAL(4,2)))) FILTER (WHERE status = 'Livrée' AND order_date IS NOT NULL)"
 _CHECKS_SQL = f"""obtained AS (SELECT {dbl(_RECONCILED)} AS unrounded, {dbl(f"round({_RECONCILED}, 2)")} AS revenue FROM sales),
-unknown_people AS (SELECT DISTINCT order_id, customer_code % 10 AS code FROM sales WHERE order_date IS NOT NULL),
+dated AS (SELECT *, status = 'Retour' AND order_id % {x.UNKNOWN_EVERY} = 0 AS lost FROM sales WHERE order_date IS NOT NULL),
+headers AS (SELECT DISTINCT order_id, customer_code, customer_code % 10 AS code FROM dated WHERE NOT lost),
 checks AS (
   SELECT 1 AS check_no, 'Rows after de-duplication' AS label, (SELECT count(*) FROM sales)::DOUBLE AS obtained, n::DOUBLE AS expected, NULL AS verdict FROM expected
   UNION ALL SELECT 2, 'Invalid dates', (SELECT count(*) FROM sales WHERE order_date IS NULL), dates, NULL FROM expected
@@ -399,17 +405,29 @@ checks AS (
   UNION ALL SELECT 5, 'Reconciled revenue (€)', o.revenue, round(e.revenue, 2), abs(o.revenue - round(e.revenue, 2)) / abs(round(e.revenue, 2)) <= 0.001 FROM obtained o, expected e
   UNION ALL SELECT 6, 'Canonical customer segments', (SELECT count(*) FROM customers WHERE segment <> true_segment), 0, NULL
   UNION ALL SELECT 7, 'Complete budget grid', (SELECT count(*) FROM budget), {_BUDGET_GRID}, NULL
-  UNION ALL SELECT 8, 'FK lines -> products', 0, 0, NULL
-  UNION ALL SELECT 9, 'FK lines -> orders', 0, 0, NULL
-  UNION ALL SELECT 10, 'FK orders -> customers', 0, 0, NULL
-  UNION ALL SELECT 11, 'FK orders -> salespeople', (SELECT count(*) FROM unknown_people u WHERE u.code NOT IN (SELECT code FROM people)), 0, NULL
-  UNION ALL SELECT 12, 'FK budget -> regions', 0, 0, NULL),
+  UNION ALL SELECT 8, 'FK lines -> products', (SELECT count(*) FROM dated WHERE product_code % {x.UNKNOWN_EVERY} = 0), 0, NULL
+  UNION ALL SELECT 9, 'FK lines -> orders', (SELECT count(*) FROM dated WHERE lost), 0, NULL
+  UNION ALL SELECT 10, 'FK orders -> customers', (SELECT count(*) FROM headers WHERE customer_code % {x.UNKNOWN_EVERY} = 0), 0, NULL
+  UNION ALL SELECT 11, 'FK orders -> salespeople', (SELECT count(*) FROM headers h WHERE h.code NOT IN (SELECT code FROM people)), 0, NULL
+  UNION ALL SELECT 12, 'FK budget -> regions', (SELECT count(*) FROM budget WHERE region_code % {x.UNKNOWN_EVERY} = 0), 0, NULL),
 final AS (SELECT check_no, label, obtained, expected, COALESCE(verdict, obtained = expected) AS ok FROM checks)"""
 _RECON = f"WITH {x.RAW_SALES}, {x.RAW_PRODUCTS}, {x.RAW_CUSTOMERS}, {x.RAW_SALESPEOPLE}, {BUDGET}, {_EXPECTED_SQL}, {_CHECKS_SQL}"
 
 
+def _with_orphans(built):
+    """Faults that each foreign key check must count: unknown codes, and orders (not delivered ones) gone from their table."""
+    lost = (F.col("status") == "Retour") & (F.col("order_id").cast("bigint") % x.UNKNOWN_EVERY == 0)
+    unknown = lambda k: {k: F.when(F.col(k).cast("bigint") % x.UNKNOWN_EVERY == 0, -1 - F.col(k).cast("bigint")).otherwise(F.col(k)).cast("string")}
+    return {
+        **built, "fact_line": built["fact_line"].withColumns(unknown("product_code")),
+        "fact_order": built["fact_order"].filter(~lost).withColumns(unknown("customer_code")),
+        "fact_budget": built["fact_budget"].withColumns(unknown("region_code")),
+    }
+
+
 def _report(spark, sf_dir):
     built, reports = _dirty_star(spark, sf_dir)
+    built = _with_orphans(built)
     return checks.reconcile(built, reports, _expected(spark, sf_dir))
 
 
@@ -425,7 +443,7 @@ def reconciliation_verdict(spark, sf_dir):
 
 
 @query("complement_check", f"""WITH {BASE}, {', '.join(f'p_{a} AS (SELECT count(*) AS parts, {dbl("sum(part)")} AS s FROM (SELECT {a}, sum(revenue) AS part FROM base GROUP BY 1))' for a in ('month', 'region', 'segment', 'salesperson'))}
-{' UNION ALL '.join(f"SELECT '{a}' AS axis, parts, s AS sum_of_parts, (SELECT {dbl('sum(revenue)')} FROM base) AS total, true AS ok FROM p_{a}" for a in ('month', 'region', 'segment', 'salesperson'))}""")
+{' UNION ALL '.join(f"SELECT '{a}' AS axis, parts, s AS sum_of_parts, total, abs(s - total) <= 0.01 AS ok FROM p_{a}, (SELECT {dbl('sum(revenue)')} AS total FROM base)" for a in ('month', 'region', 'segment', 'salesperson'))}""")
 def complement_check(spark, sf_dir):
     axes = ["month", "region", "segment", "salesperson"]
     base = facts.delivered_lines(star(spark, sf_dir), axes, delivered=DELIVERED, cost=False)

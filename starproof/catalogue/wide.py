@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import contextlib
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from starproof import specs
 from starproof.catalogue import exports as x
-from starproof.catalogue.registry import BASE, BUDGET, dbl, query
+from starproof.catalogue.registry import BASE, BUDGET, REVENUE, dbl, query
+from starproof.functions import measures as m
 from starproof.functions import parsing
-from starproof.operators import counters, facts, reshape
+from starproof.operators import cleaning, counters, facts, reshape
 from starproof.operators.cleaning import prepare
 from starproof.operators.schema import union_by_name
-from starproof.plans import publish, views
-from starproof.sources import files, readers
-from starproof.sources.store import materialise, run_dir
+from starproof.plans import incremental, publish, views
+from starproof.sources import files, pointer, readers
+from starproof.sources.store import fixed, materialise, run_dir
 from starproof.sources.warehouse import DELIVERED, star, table
 
 _LABELS = specs.BUDGET_LAYOUT.month_labels
@@ -345,3 +349,217 @@ def ingested_report(spark, sf_dir):
     loaded = ingest.run_ingestion(spark, folder)
     expected = readers.read_manifest(spark, folder).select("attendus_apres_nettoyage.*")
     return checks.reconcile(loaded.star, loaded.reports, expected).drop("detail")
+
+
+# --- publication, gate, selections, names, incremental runs --------------------------
+
+
+_SALES_TOTALS = f"""sold AS (SELECT strftime(order_date, '%Y-%m') AS month, quantity * unit_price * (1 - CAST(l_discount AS DECIMAL(4,2))) AS revenue
+  FROM sales WHERE status = 'Livrée' AND order_date IS NOT NULL)"""
+
+
+def _proved_landing(spark, sf_dir) -> str:
+    """A landing that passes every check: all customers in known segments, all salespeople known and named once."""
+    folder = _landing(spark, sf_dir)
+    options = {"sep": ";", "header": True, "mode": "overwrite"}
+    segment = F.element_at(F.array(*[F.lit(v) for v in specs.SEGMENTS]), (F.col("code_client").cast("bigint") % len(specs.SEGMENTS) + 1).cast("int"))
+    x.raw_customers(spark, sf_dir).withColumn("segment", segment).write.csv(f"{folder}/export_clients_crm.csv", encoding="ISO-8859-1", **options)
+    people = spark.range(10).select(F.col("id").cast("string").alias("code_commercial"), F.concat(F.lit("P"), "id").alias("nom"),
+                                    F.lit("R01").alias("code_region"), F.lit("2020-01-01").alias("date_embauche"))
+    people.write.csv(f"{folder}/commerciaux.csv", **options)
+    return folder
+
+
+@query("published_set", f"""WITH {x.RAW_SALES}, {_SALES_TOTALS}, months AS (SELECT month, sum(revenue) AS revenue FROM sold GROUP BY 1)
+SELECT 'annex_lines' AS table_name, count(*)::DOUBLE AS rows, {dbl('sum(revenue)')} AS revenue FROM sold
+UNION ALL SELECT 'by_month', count(*), {dbl('sum(revenue)')} FROM months
+UNION ALL SELECT 'summary', 1, {dbl('sum(revenue)')} FROM sold
+UNION ALL SELECT 'dashboard', 1, {dbl('sum(revenue)')} FROM sold
+UNION ALL SELECT 'by_salesperson', (SELECT count(DISTINCT customer_code % 10) FROM sales WHERE status = 'Livrée' AND order_date IS NOT NULL), {dbl('sum(revenue)')} FROM sold
+UNION ALL SELECT 'customers_and_segments', (SELECT count(DISTINCT customer_code % {len(specs.SEGMENTS)}) FROM sales WHERE status = 'Livrée' AND order_date IS NOT NULL), {dbl('sum(revenue)')} FROM sold
+UNION ALL SELECT 'margin_by_category', (SELECT count(DISTINCT category) FROM sales JOIN (WITH {x.RAW_PRODUCTS} SELECT p_partkey, category FROM products) ON product_code = p_partkey
+  WHERE status = 'Livrée' AND order_date IS NOT NULL), {dbl('sum(revenue)')} FROM sold
+UNION ALL SELECT 'reconciliation', 12, NULL""")
+def published_set(spark, sf_dir):
+    """Landing -> proof -> publication; every table is read from the set that the pointer names."""
+    out = _scratch(spark, "published")
+    publish.run(spark, _proved_landing(spark, sf_dir), out)
+    tables = publish.published(spark, out)
+    money = {"annex_lines": "amount", "by_month": "revenue_eur", "dashboard": "total_revenue", "reconciliation": None}
+    rows = []
+    for name in publish.OUTPUT_ORDER:
+        if name != "budget_monthly":
+            column = money.get(name, "revenue")
+            total = F.sum(column).cast("double") if column else F.lit(None).cast("double")
+            rows.append(tables[name].agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).cast("double").alias("rows"), total.alias("revenue")))
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
+@query("gate_exit_codes", """WITH n AS (SELECT count(DISTINCT (l_orderkey, l_linenumber)) AS lines FROM lineitem)
+SELECT 'sound' AS landing, CASE WHEN lines > 0 THEN 0 ELSE 2 END AS exit_code, 1 AS version FROM n
+UNION ALL SELECT 'line lost', CASE WHEN lines - 1 = lines THEN 0 ELSE 2 END, 1 FROM n
+UNION ALL SELECT 'no manifest', 2, 1 UNION ALL SELECT 'column missing', 2, 1 UNION ALL SELECT 'no sales', 0, 1
+UNION ALL SELECT 'sound again', CASE WHEN lines > 0 THEN 0 ELSE 2 END, 2 FROM n""")
+def gate_exit_codes(spark, sf_dir):
+    """One folder, spoiled in several ways one after the other; a refused landing leaves the published version as it is."""
+    folder, out = _proved_landing(spark, sf_dir), _scratch(spark, "gated")
+    manifest, sales = f"{folder}/{specs.MANIFEST_NAME}", f"{folder}/export_ventes_all.csv"
+    seen = []
+
+    def run(landing):
+        code = publish.attempt(spark, folder, out)
+        seen.append((landing, code, pointer.current(spark, out)[0]))
+
+    run("sound")
+    wanted = readers.read_manifest(spark, folder)
+    wrong = wanted.withColumn("attendus_apres_nettoyage", F.col("attendus_apres_nettoyage").withField(
+        "nb_lignes_apres_dedup", F.col("attendus_apres_nettoyage.nb_lignes_apres_dedup") + 1))
+    wrong = fixed(wrong.select(F.to_json(F.struct("*")).alias("value")))
+    files.rename(spark, manifest, f"{folder}/kept_manifest")
+    run("no manifest")
+    publish.write_manifest(wrong, manifest)
+    run("line lost")
+    files.delete(spark, manifest)
+    files.rename(spark, f"{folder}/kept_manifest", manifest)
+    files.rename(spark, sales, f"{folder}/kept_sales.csv")
+    run("no sales")
+    spark.read.csv(f"{folder}/kept_sales.csv", sep=";", header=True).drop("Statut").write.csv(sales, sep=";", header=True)
+    run("column missing")
+    files.delete(spark, sales)
+    files.rename(spark, f"{folder}/kept_sales.csv", sales)
+    run("sound again")
+    return spark.createDataFrame(seen, "landing string, exit_code int, version int")
+
+
+_SELECTIONS = (
+    ("nothing chosen", "true"), ("all regions", "true"), ("two regions", "region IN (SELECT r_name FROM region WHERE r_regionkey < 2)"),
+    ("months of 1996 and 1997", "month BETWEEN '1996-01' AND '1997-12'"), ("all months", "true"),
+    ("one segment in one month", "segment = 'BUILDING' AND month = '1996-03'"),
+)
+
+
+@query("selection_filters", f"WITH {BASE} " + " UNION ALL ".join(
+    f"SELECT '{name}' AS selection, count(*) AS lines, {dbl('coalesce(sum(revenue), 0)')} AS revenue FROM base WHERE {where}" for name, where in _SELECTIONS))
+def selection_filters(spark, sf_dir):
+    """What a user picks in lists and month ranges, turned into filters; the choices come from the data."""
+    base = materialise(facts.delivered_lines(star(spark, sf_dir), ["month", "region", "segment"], delivered=DELIVERED, cost=False), "selections")
+    offered = {a: [r[0] for r in base.select(a).filter(F.col(a).isNotNull()).distinct().orderBy(a).collect()] for a in ("month", "region", "segment")}
+    two = [r.r_name for r in table(spark, sf_dir, "region").filter("r_regionkey < 2").collect()]
+    months, regions = offered["month"], offered["region"]
+    chosen = (
+        facts.Filters(regions=facts.selection([], regions)), facts.Filters(regions=facts.selection(regions, regions)),
+        facts.Filters(regions=facts.selection(two, regions)), facts.Filters(months=facts.month_range("1996-01", "1997-12", months)),
+        facts.Filters(months=facts.month_range(months[0], months[-1], months)),
+        facts.Filters(months=facts.selection(["1996-03"], months), segments=facts.selection(["BUILDING"], offered["segment"])),
+    )
+    rows = [f.on(base).agg(F.lit(name).alias("selection"), F.count(F.lit(1)).alias("lines"), m.as_double(m.sum_or_zero(F.col("revenue"))).alias("revenue"))
+            for (name, _), f in zip(_SELECTIONS, chosen)]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
+@query("star_by_name", f"""SELECT r_name AS region, count(DISTINCT c_custkey) AS customers, count(*) AS lines, {dbl(f'sum({REVENUE})')} AS revenue
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey WHERE o_orderstatus = 'F' GROUP BY 1""")
+def star_by_name(spark, sf_dir):
+    """The star under its table names, asked in SQL."""
+    s = star(spark, sf_dir)
+    readers.register({t: s[t] for t in ("fact_line", "fact_order", "dim_customer", "dim_region")})
+    return spark.sql("""
+        SELECT region_name AS region, count(DISTINCT c.customer_code) AS customers, count(*) AS lines,
+               CAST(sum(CAST(quantity * unit_price AS DECIMAL(18, 2)) * (1 - CAST(discount_rate AS DECIMAL(4, 2)))) AS DOUBLE) AS revenue
+        FROM fact_line l JOIN fact_order o ON l.order_id = o.order_id JOIN dim_customer c ON o.customer_code = c.customer_code
+        JOIN dim_region r ON c.region_code = r.region_code WHERE status = 'F' GROUP BY region_name""")
+
+
+def _write_exports(spark, rows, folder: str) -> None:
+    """One export per year of orders, copies of a line in the order in which the first is the true one; replaces what is there."""
+    rows = rows.withColumn("year", F.substring(F.col("Date Commande"), 7, 4))
+    rows = rows.repartition("year").sortWithinPartitions("year", "N° Commande", "N° Ligne", *x.ROW_ORDER)
+    written = _scratch(spark, "years")
+    rows.drop(*x.ROW_ORDER).write.partitionBy("year").parquet(written)
+    for part in files.list_files(spark, written, "year=*"):
+        entry = f"{folder}/export_ventes_{part.rsplit('=', 1)[-1]}.parquet"
+        files.delete(spark, entry)
+        files.rename(spark, part, entry)
+
+
+def _yearly_exports(spark, sf_dir) -> str:
+    folder = _scratch(spark, "exports")
+    _write_exports(spark, x.raw_sales(spark, sf_dir), folder)
+    return folder
+
+
+def _corrected(spark, sf_dir, folder: str) -> None:
+    """The export of one year lands again, every quantity one higher."""
+    again = x.raw_sales(spark, sf_dir).filter(F.substring(F.col("Date Commande"), 7, 4) == str(_CORRECTED))
+    _write_exports(spark, again.withColumn("Quantité ", (F.col("`Quantité `").cast("bigint") + 1).cast("string")), folder)
+
+
+_CORRECTED = 1998
+_INCREMENTAL = f"""corrected AS (SELECT *, substr(date_text, 7, 4) = '{_CORRECTED}' AS again,
+    quantity + CASE WHEN substr(date_text, 7, 4) = '{_CORRECTED}' THEN 1 ELSE 0 END AS now FROM sales)"""
+
+
+@query("incremental_ingestion", f"""WITH {x.RAW_SALES}, {_INCREMENTAL}
+SELECT strftime(order_date, '%Y-%m') AS month, count(*) AS lines, sum(now)::BIGINT AS quantity,
+       {dbl('sum(now * unit_price * (1 - CAST(l_discount AS DECIMAL(4,2))))')} AS revenue
+FROM corrected WHERE order_date IS NOT NULL GROUP BY 1""")
+def incremental_ingestion(spark, sf_dir):
+    """All exports are read once, then one of them changes and only that one is read again."""
+    folder, state = _yearly_exports(spark, sf_dir), _scratch(spark, "state")
+    incremental.update(spark, folder, state)
+    _corrected(spark, sf_dir, folder)
+    lines = cleaning.dated_sales(incremental.update(spark, folder, state).lines)
+    revenue = m.line_revenue(F.col("quantity"), F.col("unit_price"), F.col("discount_rate"))
+    return lines.groupBy(m.month_key(F.col("order_date")).alias("month")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("quantity"), m.as_double(F.sum(revenue)).alias("revenue"))
+
+
+@query("incremental_reads", f"""WITH {x.RAW_SALES}, y AS (SELECT DISTINCT substr(date_text, 7, 4) AS year FROM raw_sales)
+SELECT run, year, run = 1 OR (run = 3 AND year = '{_CORRECTED}') AS opened FROM y, (SELECT unnest([1, 2, 3])::INT AS run)""")
+def incremental_reads(spark, sf_dir):
+    """Which exports three runs open: all of them, none, the corrected one."""
+    folder, state = _yearly_exports(spark, sf_dir), _scratch(spark, "state")
+    rows = []
+    for run in (1, 2, 3):
+        if run == 3:
+            _corrected(spark, sf_dir, folder)
+        done = incremental.update(spark, folder, state)
+        rows += [(run, p[-len("1995.parquet"):][:4], p in done.read) for p in (*done.read, *done.kept)]
+    return spark.createDataFrame(rows, "run int, year string, opened boolean")
+
+
+@query("pointer_commits", f"""WITH {BASE}, t AS (SELECT {dbl('sum(revenue)')} AS revenue FROM base)
+SELECT 'first writer' AS event, 1 AS version, revenue FROM t UNION ALL SELECT 'second writer, overtaken', 1, revenue FROM t
+UNION ALL SELECT 'lost between tables', 1, revenue FROM t UNION ALL SELECT 'restart', 2, 2 * revenue FROM t
+UNION ALL SELECT 'leftovers deleted', 2, 2 * revenue FROM t""")
+def pointer_commits(spark, sf_dir):
+    """Two writers that began together, one that is lost, a restart, a sweep: what a reader finds after each."""
+    root = _scratch(spark, "pointer")
+    total = facts.delivered_lines(star(spark, sf_dir), [], delivered=DELIVERED, cost=False).agg(m.as_double(F.sum("revenue")).alias("revenue"))
+    total = materialise(total, "total")
+    seen = []
+
+    def write(name, factor=1.0):
+        publish.write_set({"total": total.select((F.col("revenue") * factor).alias("revenue"))}, publish.set_path(root, {"set": name}))
+
+    def found(event):
+        version, content = pointer.current(spark, root)
+        seen.append((event, version, spark.read.parquet(f"{publish.set_path(root, content)}/total").first().revenue))
+
+    began, _ = pointer.current(spark, root)
+    write("a")
+    write("b", 5.0)
+    pointer.advance(spark, root, began, {"set": "a"})
+    found("first writer")
+    with contextlib.suppress(pointer.Conflict):
+        pointer.advance(spark, root, began, {"set": "b"})
+    found("second writer, overtaken")
+    write("c", 7.0)  # and no pointer
+    found("lost between tables")
+    write("d", 2.0)
+    pointer.advance(spark, root, pointer.current(spark, root)[0], {"set": "d"})
+    found("restart")
+    if pointer.leftovers(spark, root, older_than=-1) == ["b", "c"]:
+        found("leftovers deleted")
+    return spark.createDataFrame(seen, "event string, version int, revenue double")

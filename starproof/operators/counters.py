@@ -20,27 +20,40 @@ def _missing(name: str) -> Column:
     return F.count_if(F.col(name).isNull())
 
 
-def sales_counters(audited: DataFrame, files_read: int | Column) -> DataFrame:
-    """Counters of ``audit_sales`` output: raw rows, copies, unreadable values, kept."""
-    raw = F.coalesce(F.sum("_copies"), F.lit(0))
+def _overflows() -> Column:
+    """All parts of the amount are readable but it has too many digits, hence NULL."""
+    parts = [F.col(c) for c in ("quantity", "unit_price", "discount_rate")]
+    return parts[0].isNotNull() & parts[1].isNotNull() & parts[2].isNotNull() & m.line_revenue(*parts).isNull()
+
+
+def sales_metrics() -> list[Column]:
+    """What is counted of ``audit_sales`` output; sums only, so they can be observed while it is written."""
+    return [
+        F.coalesce(F.sum("_copies"), F.lit(0)).cast("bigint").alias("rows_raw"), _rows().alias("rows_after_dedup"),
+        _missing("order_date").alias("invalid_dates"), _missing("unit_price").alias("invalid_amounts"),
+        _missing("quantity").alias("invalid_quantities"), _missing("discount_rate").alias("invalid_discounts"),
+        F.count_if(_overflows()).alias("overflowing_lines"),
+    ]
+
+
+def sales_report(counted: DataFrame, files_read: int | Column) -> DataFrame:
+    """The cleaning report from one row of ``sales_metrics``."""
     files = files_read if isinstance(files_read, Column) else F.lit(files_read).cast("bigint")
-    return audited.agg(
-        raw.alias("rows_raw"),
-        _rows().alias("rows_after_dedup"),
-        (raw - _rows()).alias("duplicates_removed"),
-        _missing("order_date").alias("invalid_dates"),
-        _missing("unit_price").alias("invalid_amounts"),
-        (_rows() - _missing("order_date")).alias("rows_kept"),
-        _missing("quantity").alias("invalid_quantities"),
-        _missing("discount_rate").alias("invalid_discounts"),
-    ).select(files.alias("files_read"), "*")
+    return counted.select(
+        files.alias("files_read"), "rows_raw", "rows_after_dedup",
+        (F.col("rows_raw") - F.col("rows_after_dedup")).alias("duplicates_removed"), "invalid_dates", "invalid_amounts",
+        (F.col("rows_after_dedup") - F.col("invalid_dates")).alias("rows_kept"), "invalid_quantities", "invalid_discounts",
+        "overflowing_lines",
+    )
+
+
+def sales_counters(audited: DataFrame, files_read: int | Column) -> DataFrame:
+    """Counters of ``audit_sales`` output: raw rows, copies, unreadable values, overflows, kept."""
+    return sales_report(audited.agg(*sales_metrics()), files_read)
 
 
 def overflowing_lines(lines: DataFrame) -> DataFrame:
-    """Lines whose parts are all readable but whose amount has too many digits, hence NULL."""
-    parts = [F.col(c) for c in ("quantity", "unit_price", "discount_rate")]
-    present = parts[0].isNotNull() & parts[1].isNotNull() & parts[2].isNotNull()
-    return lines.agg(F.count_if(present & m.line_revenue(*parts).isNull()).alias("overflowing_lines"))
+    return lines.agg(F.count_if(_overflows()).alias("overflowing_lines"))
 
 
 def product_counters(products: DataFrame) -> DataFrame:

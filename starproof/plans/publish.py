@@ -1,4 +1,4 @@
-"""Publication: write under a staging name, rename when every table is complete."""
+"""Publication: write a complete set in a place of its own, prove it, then move the pointer to it."""
 
 from __future__ import annotations
 
@@ -8,13 +8,14 @@ import datetime as dt
 import sys
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starproof import specs
 from starproof.operators.reshape import budget_to_wide
 from starproof.plans import checks, ingest, reporting, views
-from starproof.sources import files, readers
+from starproof.sources import files, pointer, readers
 from starproof.sources.store import materialise, release
 
 STAGING = "_staging"
@@ -41,10 +42,22 @@ def period_bounds(by_month: DataFrame) -> DataFrame:
     )
 
 
-def final_path(by_month: DataFrame, out_dir: str, stamp: str) -> str:
-    """Where a run is published, named after the data's own period."""
+def set_name(by_month: DataFrame, stamp: str) -> str:
+    """What a run is published as, after the data's own period."""
     row = period_bounds(by_month).first()
-    return f"{out_dir.rstrip('/')}/{row.folder or str(dt.date.today().year)}/{row.stem}_{stamp}"
+    return f"{row.folder or str(dt.date.today().year)}/{row.stem}_{stamp}"
+
+
+def published(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """The tables of the current set, all of one run; a missing publication is an error."""
+    _, content = pointer.current(spark, out_dir)
+    if content is None:
+        raise FileNotFoundError(f"nothing is published in {out_dir}")
+    return {t: spark.read.parquet(f"{set_path(out_dir, content)}/{t}") for t in content["tables"]}
+
+
+def set_path(out_dir: str, content: Mapping) -> str:
+    return f"{out_dir.rstrip('/')}/{pointer.SETS}/{content['set']}"
 
 
 def write_set(tables: Mapping[str, DataFrame], staging: str) -> None:
@@ -63,9 +76,9 @@ def monthly_export(by_month: DataFrame) -> DataFrame:
 
 
 def write_by_month(lines: DataFrame, path: str, month: str = "month") -> None:
-    """One directory per month. Rows go straight from their task to the month's
-    file, so a month holding most rows is written by many tasks."""
-    lines.write.partitionBy(month).parquet(path)
+    """One directory per month. Rows are brought together by month and adaptive execution evens that out by bytes: a month
+    that holds most rows is split over many tasks, small ones share a task. Files per month follow its size, not tasks x months."""
+    lines.hint("rebalance", month).write.partitionBy(month).parquet(path)
 
 
 def export_delimited(df: DataFrame, path: str) -> None:
@@ -127,26 +140,33 @@ def published_tables(
 
 
 def run(spark: SparkSession, raw_dir: str, out_dir: str, stamp: str | None = None) -> str:
-    """Ingest, prove, derive, publish; returns the published path.
+    """Ingest, prove, derive, publish; returns the path of the published set.
 
-    Raises FileNotFoundError without sources or manifest, IntegrityError when a
-    check fails: nothing is published then.
+    Raises FileNotFoundError without sources or manifest, IntegrityError when a check fails, also one of key
+    uniqueness or of budget regions; ``pointer.Conflict`` when another run has published since this one began. Nothing is
+    published then, and what was written is deleted; what a lost driver leaves is for ``pointer.leftovers``.
     """
     stamp = stamp or dt.datetime.now().strftime("%Hh%M")
+    seen, _ = pointer.current(spark, out_dir)
     loaded = ingest.run_ingestion(spark, raw_dir)
     expected = readers.read_manifest(spark, raw_dir).select("attendus_apres_nettoyage.*")
     proof = checks.reconcile(loaded.star, loaded.reports, expected)
     report = spark.createDataFrame(checks.gate(proof), proof.schema)
-    staging = f"{out_dir.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
-    write_set({"annex_lines": reporting.reporting_lines(loaded.star)}, staging)  # once; the rest reads it from there
-    lines = spark.read.parquet(f"{staging}/annex_lines")
-    by_month = materialise(reporting.revenue_by_month(lines), "by-month")
-    finance = views.build_views(loaded.star)
-    tables = {**published_tables(finance, lines, by_month, report), **_detail(finance)}
-    write_set({name: df for name, df in tables.items() if name != "annex_lines"}, staging)
-    final = final_path(by_month, out_dir, stamp)
-    commit(spark, staging, final)
-    return final
+    checks.gate(checks.structural_checks(loaded.star, loaded.unknown_budget_regions))
+    content = {"set": uuid.uuid4().hex}
+    target = set_path(out_dir, content)
+    try:
+        write_set({"annex_lines": reporting.reporting_lines(loaded.star)}, target)  # once; the rest reads it from there
+        lines = spark.read.parquet(f"{target}/annex_lines")
+        by_month = materialise(reporting.revenue_by_month(lines), "by-month")
+        finance = views.build_views(loaded.star)
+        tables = {**published_tables(finance, lines, by_month, report), **_detail(finance)}
+        write_set({name: df for name, df in tables.items() if name != "annex_lines"}, target)
+        pointer.advance(spark, out_dir, seen, {**content, "name": set_name(by_month, stamp), "tables": list(tables)})
+    except BaseException:
+        files.delete(spark, target)
+        raise
+    return target
 
 
 def _detail(finance: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -155,10 +175,15 @@ def _detail(finance: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {f"detail_{n}": finance[n] for n in names}
 
 
-def main(argv: list[str]) -> int:
-    """Exit codes: 0 published, or a source is absent; 2 manifest missing or a check failed."""
-    raw_dir, out_dir = argv
-    spark = SparkSession.builder.appName("starproof").getOrCreate()
+def _refused(problem: Exception) -> bool:
+    """Whether the input is at fault: a check, an absent or incomplete source. Anything else is a failure of the run."""
+    if isinstance(problem, (checks.IntegrityError, FileNotFoundError, ValueError, pointer.Conflict)):
+        return True
+    return isinstance(problem, PySparkException) and "USER_RAISED_EXCEPTION" in str(problem)
+
+
+def attempt(spark: SparkSession, raw_dir: str, out_dir: str) -> int:
+    """Exit codes: 0 published, or a source is absent; 2 manifest missing, input unfit or a check failed, or overtaken."""
     absent = [s.name for s in specs.SOURCES.values()
               if not files.exists(spark, raw_dir) or not files.list_files(spark, raw_dir, s.file_glob)]
     if absent:
@@ -167,9 +192,18 @@ def main(argv: list[str]) -> int:
     try:
         print(f"published {run(spark, raw_dir, out_dir)}")
         return 0
-    except (checks.IntegrityError, FileNotFoundError) as problem:
+    except Exception as problem:  # noqa: BLE001
+        if not _refused(problem):
+            raise
         print(f"not published: {problem}")
         return 2
+
+
+def main(argv: list[str]) -> int:
+    raw_dir, out_dir = argv
+    spark = SparkSession.builder.appName("starproof").getOrCreate()
+    try:
+        return attempt(spark, raw_dir, out_dir)
     finally:
         release(spark)
 

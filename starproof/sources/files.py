@@ -37,6 +37,42 @@ def list_files(spark: SparkSession, directory: str, pattern: str = "*") -> list[
     return sorted(str(s.getPath().toString()) for s in found or [])
 
 
+def stamps(spark: SparkSession, directory: str, pattern: str = "*") -> dict[str, tuple[int, int]]:
+    """(bytes, last change in ms) of every entry that matches; a landed folder counts with all of its parts. Metadata only."""
+    fs = filesystem(spark, directory)
+
+    def size_and_time(status) -> tuple[int, int]:
+        if not status.isDirectory():
+            return status.getLen(), status.getModificationTime()
+        inner = [size_and_time(s) for s in fs.listStatus(status.getPath())]
+        return sum(n for n, _ in inner), max([status.getModificationTime(), *[t for _, t in inner]])
+
+    found = fs.globStatus(_path(spark, f"{directory.rstrip('/')}/{pattern}"))
+    return {str(s.getPath().toString()): size_and_time(s) for s in found or []}
+
+
+def delete(spark: SparkSession, uri: str) -> None:
+    filesystem(spark, uri).delete(_path(spark, uri), True)
+
+
+def write_once(spark: SparkSession, uri: str, text: str) -> bool:
+    """A small control file, unless one of this name exists: then False, and it stays as it is."""
+    fs, path = filesystem(spark, uri), _path(spark, uri)
+    if fs.exists(path):
+        return False
+    try:
+        out = fs.create(path, False)
+    except Exception:  # noqa: BLE001 - another writer was faster, or the storage failed
+        if fs.exists(path):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
 def is_directory(spark: SparkSession, uri: str) -> bool:
     return filesystem(spark, uri).getFileStatus(_path(spark, uri)).isDirectory()
 
@@ -97,7 +133,21 @@ def fingerprints(spark: SparkSession, directory: str) -> DataFrame:
     ]
     if hidden:
         seen = seen.unionByName(spark.createDataFrame(hidden, "path string"))
-    return seen.mapInArrow(_hash_in_blocks, "file_name string, sha256 string")
+    return seen.mapInArrow(_hash_in_blocks, "path string, file_name string, sha256 string").select("file_name", "sha256")
+
+
+def entry_fingerprints(spark: SparkSession, entries: list[str]) -> dict[str, str]:
+    """One digest per landed entry: of a file's bytes, or of the sorted digests of a folder's parts. Tasks read, one file each."""
+    if not entries:
+        return {}
+    parts = [(e, p) for e in entries for p in (list_files(spark, e) if is_directory(spark, e) else [e])
+             if p == e or p.rsplit("/", 1)[-1][0] not in "_."]
+    paths = spark.createDataFrame(parts, "entry string, path string")
+    hashed = paths.repartition(min(len(parts), 10_000), "path").select("path").mapInArrow(
+        _hash_in_blocks, "path string, file_name string, sha256 string").join(paths, "path")
+    whole = F.when(F.count(F.lit(1)) == 1, F.first("sha256")).otherwise(
+        F.sha2(F.concat_ws(",", F.array_sort(F.collect_list("sha256"))), 256))
+    return dict(hashed.groupBy("entry").agg(whole.alias("sha256")).collect())
 
 
 def _hash_in_blocks(batches) -> Iterator:
@@ -115,6 +165,6 @@ def _hash_in_blocks(batches) -> Iterator:
             with system.open_input_stream(path, compression=None) as stream:
                 while block := stream.read(HASH_BLOCK):
                     digest.update(block)
-            rows.append({"file_name": uri.rsplit("/", 1)[-1], "sha256": digest.hexdigest()})
-        schema = pa.schema([("file_name", pa.string()), ("sha256", pa.string())])
+            rows.append({"path": uri, "file_name": uri.rsplit("/", 1)[-1], "sha256": digest.hexdigest()})
+        schema = pa.schema([("path", pa.string()), ("file_name", pa.string()), ("sha256", pa.string())])
         yield pa.RecordBatch.from_pylist(rows, schema=schema)

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from starproof import specs
 from starproof.operators import counters, reshape
-from starproof.plans import checks, ingest, publish, truth
-from starproof.sources import files, readers, spreadsheet, store
+from starproof.plans import checks, incremental, ingest, publish, truth
+from starproof.sources import files, pointer, readers, spreadsheet, store
 import rawfolder
 import stars
 import workbooks
@@ -27,7 +27,7 @@ def test_cleaning_reports(loaded):
     _, got = loaded
     assert first(got.reports["sales"]) == dict(
         files_read=2, rows_raw=6, rows_after_dedup=5, duplicates_removed=1, invalid_dates=1, invalid_amounts=1,
-        rows_kept=4, invalid_quantities=0, invalid_discounts=0)
+        rows_kept=4, invalid_quantities=0, invalid_discounts=0, overflowing_lines=0)
     assert first(got.reports["products"]) == dict(rows=2, categories_raw=2, categories_canonical=2, products_recategorised=1)
     # the trailing space alone is trimmed before the comparison, the case is not
     assert first(got.reports["customers"]) == dict(
@@ -133,11 +133,41 @@ def test_duplicate_keys_and_unknown_regions_are_reported(spark):
 
 
 def test_orphans_ignore_null_keys(spark):
-    from starproof.operators.keys import orphan_count
+    from starproof.operators.keys import orphan_count, orphan_counts
 
     child = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
     parent = spark.createDataFrame([("b",)], "k string")
     assert orphan_count(child, "k", parent, "k").first()[0] == 2
+    both = child.withColumn("other", F.lit(7))
+    sevens = spark.createDataFrame([(7,)], "n bigint")
+    assert tuple(orphan_counts([(both, "k", parent, "k"), (both, "other", sevens, "n"), (parent, "k", child, "k"), (both, "other", parent, "k")]).first()) == (2, 0, 0, 4)
+
+
+def test_counters_are_observed_while_the_lines_are_written(spark, tmp_path):
+    from starproof.operators.cleaning import audit_sales
+
+    folder = rawfolder.write(tmp_path / "raw")
+    audited = audit_sales(readers.scan(spark, folder, specs.SALES), list(readers.ORDER_COLUMNS))
+    lines, report = ingest.counted_sales(audited, 2)
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Relation") == report._jdf.queryExecution().optimizedPlan().toString().count("LocalRelation")
+    assert first(report) == first(counters.sales_counters(lines, 2))
+    none, empty = ingest.counted_sales(audited.filter("1 = 0"), 0)
+    assert none.count() == 0 and set(first(empty).values()) == {0}
+
+
+@pytest.mark.parametrize("most", [0, 10])
+def test_first_of_repeated_keys(spark, monkeypatch, most):
+    """A key that a third of the rows have, keys that occur once, null keys, ties."""
+    from starproof.operators import cleaning
+
+    monkeypatch.setattr(cleaning, "MOST_BROADCAST_KEYS", most)
+    rows = [("hot", i % 3, 1000 - i, f"v{i}") for i in range(300)] + [(f"k{i}", 1, i, "x") for i in range(300)] + [(None, 1, 5, "b"), (None, 1, 5, "a"), ("n", None, 1, None)]
+    got = {(r.k, r.j): (r.o, r.v, r.copies) for r in cleaning.keep_first(spark.createDataFrame(rows, "k string, j int, o int, v string"), ["k", "j"], ["o"], "copies").collect()}
+    want = {}
+    for k, j, o, v in rows:
+        best, n = want.get((k, j), ((o, v), 0))
+        want[k, j] = (min(best, (o, v)) if v else best, n + 1)
+    assert got == {key: (*best, n) for key, (best, n) in want.items()}
 
 
 # --- publication ---------------------------------------------------------------
@@ -146,14 +176,107 @@ def test_orphans_ignore_null_keys(spark):
 def test_publication_end_to_end(spark, tmp_path):
     folder, out = rawfolder.write(tmp_path / "raw"), str(tmp_path / "out")
     assert publish.main([folder, out]) == 0
-    year = os.path.join(out, "2024_2024")
-    (run,) = os.listdir(year)
-    assert run.startswith("reporting_2024-01_to_2024-02_")
-    tables = set(os.listdir(os.path.join(year, run)))
-    assert set(publish.OUTPUT_ORDER) <= tables and len(tables) == len(publish.OUTPUT_ORDER) + 7
-    assert spark.read.parquet(f"{year}/{run}/summary").first().revenue == pytest.approx(rawfolder.REVENUE)
-    assert spark.read.parquet(f"{year}/{run}/annex_lines").count() == 3
-    assert spark.read.parquet(f"{year}/{run}/reconciliation").count() == 12
+    version, content = pointer.current(spark, out)
+    assert version == 1 and content["name"].startswith("2024_2024/reporting_2024-01_to_2024-02_")
+    tables = publish.published(spark, out)
+    assert set(publish.OUTPUT_ORDER) <= set(tables) and len(tables) == len(publish.OUTPUT_ORDER) + 7
+    assert tables["summary"].first().revenue == pytest.approx(rawfolder.REVENUE)
+    assert tables["annex_lines"].count() == 3 and tables["reconciliation"].count() == 12
+
+
+def test_a_failed_or_overtaken_run_leaves_nothing(spark, tmp_path, monkeypatch):
+    folder, out = rawfolder.write(tmp_path / "raw"), str(tmp_path / "out")
+    with pytest.raises(FileNotFoundError):
+        publish.published(spark, out)
+    write = publish.write_set
+
+    def overtaken(tables, target):
+        write(tables, target)
+        if "summary" in tables:
+            assert pointer.advance(spark, out, 0, {"set": "theirs", "tables": []}) == 1
+
+    monkeypatch.setattr(publish, "write_set", overtaken)
+    assert publish.attempt(spark, folder, out) == 2
+    assert pointer.current(spark, out) == (1, {"set": "theirs", "tables": []})
+    assert os.listdir(os.path.join(out, pointer.SETS)) == []
+
+
+def test_pointer_of_a_lost_writer(spark, tmp_path):
+    root = str(tmp_path)
+    assert pointer.current(spark, root) == (0, None)
+    assert pointer.advance(spark, root, 0, {"set": "a"}) == 1
+    open(os.path.join(root, pointer.FOLDER, "0000000002.json"), "w").close()  # created, never written
+    assert pointer.current(spark, root) == (1, {"set": "a"})
+    with pytest.raises(pointer.Conflict):
+        pointer.advance(spark, root, 0, {"set": "b"})
+    assert pointer.advance(spark, root, 1, {"set": "c"}) == 2
+    for name in ("a", "b", "c"):
+        os.makedirs(os.path.join(root, pointer.SETS, name))
+    assert pointer.leftovers(spark, root) == [] and pointer.leftovers(spark, root, older_than=-1) == ["b"]
+
+
+def test_a_repeated_dimension_key_stops_publication(spark, tmp_path):
+    folder = rawfolder.write(tmp_path / "raw")
+    with open(os.path.join(folder, "commerciaux.csv"), "a", encoding="utf-8") as f:
+        f.write("S1;Autre;R01;2020-03-01\n")
+    assert publish.attempt(spark, folder, str(tmp_path / "out")) == 2
+
+
+# --- incremental ingestion ---------------------------------------------------------
+
+
+def _state(update):
+    return sorted(map(str, update.lines.collect())), first(update.report)
+
+
+def _full(spark, folder):
+    from starproof.operators.cleaning import audit_sales
+
+    lines = audit_sales(readers.scan(spark, folder, specs.SALES), list(readers.ORDER_COLUMNS))
+    return sorted(map(str, lines.collect())), first(counters.sales_counters(lines, len(files.list_files(spark, folder, specs.SALES.file_glob))))
+
+
+def test_incremental_runs_equal_full_ones(spark, tmp_path):
+    folder, state = rawfolder.write(tmp_path / "raw"), str(tmp_path / "state")
+    at = lambda month: os.path.join(folder, f"export_ventes_2024-{month}.csv")
+    names = lambda paths: [p.rsplit("-", 1)[-1][:2] for p in paths]
+    one = incremental.update(spark, folder, state)
+    assert names(one.read) == ["01", "02"] and _state(one) == _full(spark, folder)
+    os.utime(at("01"), (1, 1))  # another time, equal bytes: hashed, not read
+    two = incremental.update(spark, folder, state)
+    assert (two.read, names(two.kept)) == ((), ["01", "02"]) and _state(two) == _state(one)
+    with open(at("02"), "a", encoding="utf-8") as f:  # a copy of a January line, and a new one
+        f.write(";".join(rawfolder.JANUARY[0][::-1]) + "\n" + ";".join(["11/02/2024", "O9", "1", "C1", "P1", "1", "7,00", "0.0", "S1", "Livrée"][::-1]) + "\n")
+    three = incremental.update(spark, folder, state)
+    assert names(three.read) == ["02"] and _state(three) == _full(spark, folder) and _state(three) != _state(one)
+    assert first(three.report)["duplicates_removed"] == 2
+    rawfolder._csv(at("03"), rawfolder.HEADERS, [["01/03/2024", "O7", "1", "C1", "P1", "2", "9,00", "0.0", "S1", "Livrée"]])
+    os.remove(at("01"))
+    four = incremental.update(spark, folder, state)
+    assert names(four.read) == ["03"] and names(four.gone) == ["01"] and _state(four) == _full(spark, folder)
+    swept = incremental.sweep(spark, state, older_than=-1)
+    assert len(swept) == 2 and _state(incremental.update(spark, folder, state)) == _full(spark, folder)
+
+
+def test_a_run_that_was_overtaken_changes_no_state(spark, tmp_path, monkeypatch):
+    folder, state = rawfolder.write(tmp_path / "raw"), str(tmp_path / "state")
+    one = incremental.update(spark, folder, state)
+    with open(os.path.join(folder, "export_ventes_2024-01.csv"), "a", encoding="utf-8") as f:
+        f.write(";".join(["11/01/2024", "O9", "1", "C1", "P1", "1", "7,00", "0.0", "S1", "Livrée"]) + "\n")
+    partials = incremental._partials
+
+    def slow(*args):
+        partials(*args)
+        _, content = pointer.current(spark, state)
+        pointer.advance(spark, state, one.version, content)
+
+    monkeypatch.setattr(incremental, "_partials", slow)
+    with pytest.raises(pointer.Conflict):
+        incremental.update(spark, folder, state)
+    monkeypatch.setattr(incremental, "_partials", partials)
+    assert _state(incremental.update(spark, folder, state)) == _full(spark, folder)
+    with pytest.raises(FileNotFoundError):
+        incremental.update(spark, str(tmp_path / "none"), state)
 
 
 def test_exit_codes(spark, tmp_path):
