@@ -131,7 +131,8 @@ SELECT greatest(count(*) FILTER (WHERE cumulative_pct <= 80), 1) AS customers_fo
        100.0 * CAST(greatest(count(*) FILTER (WHERE cumulative_pct <= 80), 1) AS DOUBLE) / count(*) AS customers_pct
 FROM pareto""")
 def pareto_80(spark, sf_dir):
-    return reporting.customers_for_share(client_pareto(spark, sf_dir))
+    """By narrowing the range that holds the mark; the customers are not ranked."""
+    return reporting.customers_for_mark(_lines(spark, sf_dir, ["customer_code"], cost=False))
 
 
 def _top_sql(n: int) -> str:

@@ -66,3 +66,57 @@ def running_share(totals: DataFrame, key: str, value: str = "revenue", partition
         cumulative.alias("cumulative"),
         pct(cumulative, F.col("_total")).alias("cumulative_pct"),
     )
+
+
+#: Buckets of one narrowing step, and values that are small enough to be finished in one list.
+BUCKETS, FEW = 1024, 4096
+
+
+def rows_within_share(totals: DataFrame, value: str, share: float) -> tuple[int, int]:
+    """(rows, all rows): how many of the largest rows have a running share of the total of at most ``share`` per cent.
+
+    The rows are never sorted or ranked. A histogram of the range that holds the mark, combined in map tasks, says
+    in which bucket it lies; that bucket is the next range, until it is a single value or holds few. Equal values are
+    interchangeable, so the place inside a run of them follows by arithmetic: the result is that of ``running_share``. Each
+    step sends at most ``BUCKETS`` rows to the driver. A total that is not above zero has no such mark: then the curve decides.
+    """
+    values = materialise(totals.select(F.col(value).alias("v")), "shares")
+    everything = values.agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"), F.max("v").alias("high")).first()
+    if everything.total is None or everything.total <= 0:
+        curve = running_share(values.withColumn("k", F.monotonically_increasing_id()), "k", "v")
+        return curve.filter(F.col("cumulative_pct") <= share).count(), everything.n
+    total = float(everything.total)
+
+    def within(cumulative) -> bool:
+        return 100.0 * float(cumulative) / total <= share
+
+    taken, reached = 0, 0 * everything.total
+    low, high = 0 * everything.total, everything.high  # rows of nothing or less lie behind the mark: all above them make the total
+    positive = values.filter(F.col("v") > 0)
+    while True:
+        # The difference is taken between the exact values: what is close together stays apart.
+        depth = (F.lit(high) - F.col("v")).cast("double") * (BUCKETS / float(high - low))
+        found = positive.filter((F.col("v") >= F.lit(low)) & (F.col("v") <= F.lit(high))).groupBy(
+            F.least(F.floor(depth), F.lit(BUCKETS - 1)).alias("b")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("b").collect()
+        for bucket in found:
+            if not within(reached + bucket.s):
+                break
+            taken, reached = taken + bucket.n, reached + bucket.s
+        else:
+            return taken, everything.n
+        shrunk = (low, high) != (bucket.low, bucket.high)
+        low, high = bucket.low, bucket.high
+        if low == high or bucket.n <= FEW or not shrunk:
+            break
+    runs = [(high, bucket.n)] if low == high else positive.filter((F.col("v") >= F.lit(low)) & (F.col("v") <= F.lit(high))).groupBy(
+        "v").count().orderBy(F.desc("v")).collect()
+    for v, n in runs:
+        first, last = 0, n  # of n equal rows, as many as stay within the share
+        while first < last:
+            middle = (first + last + 1) // 2
+            first, last = (middle, last) if within(reached + middle * v) else (first, middle - 1)
+        taken, reached = taken + first, reached + first * v
+        if first < n:
+            break
+    return taken, everything.n

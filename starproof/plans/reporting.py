@@ -11,6 +11,7 @@ from starproof import specs
 from starproof.functions import measures as m
 from starproof.functions.text import favourable
 from starproof.operators.facts import delivered_orders
+from starproof.operators.ranking import rows_within_share
 
 
 def reporting_lines(star: dict[str, DataFrame], delivered: Sequence[str] = specs.DELIVERED) -> DataFrame:
@@ -182,6 +183,14 @@ def customers_for_share(pareto: DataFrame, share: float = 80.0) -> DataFrame:
     return counted.withColumn("customers_pct", m.pct(F.col("customers_for_share"), F.col("customers")))
 
 
+def customers_for_mark(base: DataFrame, share: float = 80.0) -> DataFrame:
+    """``customers_for_share`` straight from the lines of ``base`` (customer_code, revenue), without ranking the customers."""
+    per_customer = base.groupBy("customer_code").agg(F.sum("revenue").alias("revenue"))
+    rows, customers = rows_within_share(per_customer, "revenue", share)
+    counted = base.sparkSession.createDataFrame([(max(rows, 1), customers)], "customers_for_share bigint, customers bigint")
+    return counted.withColumn("customers_pct", m.pct(F.col("customers_for_share"), F.col("customers")))
+
+
 def oldest_customers(customers: DataFrame, segment: str, n: int) -> DataFrame:
     """The ``n`` longest-standing customers of a segment by first order date."""
     return customers.filter(F.col("segment") == segment).orderBy(
