@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starproof.llm.words import distinct_chunks, found, slices, utf8
+from starproof.llm.words import Words, chunks_of, found, slices, utf8
 
 #: Characters of a leaf, and tokens of a first window on either side of a join.
 LEAF_CHARS = 16_384
@@ -83,44 +83,83 @@ class Codec:
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
-        self.cache: dict[str, tuple[bytes, str]] = {}
+        # The chunks seen last: a row for each, and flat arrays of their ids and of the characters of each token.
+        self.cache: dict[str, int] = {}
+        self.size = np.zeros(0, np.int64)
+        self.ids, self.spans = np.zeros(0, "<u4"), np.zeros((0, 2), np.int32)
         declared = json.loads(self.tokenizer.to_str())
         # Without a decoder the library puts one space between tokens, so texts can be decoded chunk by chunk.
         self.by_chunk = declared["decoder"] is None
         self.by_words, self.lowers = _word_by_word(declared), "Lowercase" in _steps(declared["normalizer"], "normalizers")
         self.added = [t["content"] for t in declared["added_tokens"]]
+        self.tokens = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()} if self.by_chunk else {}
 
     def encode(self, text: str):
         return self.tokenizer.encode(text, add_special_tokens=False)
 
     def decode(self, ids: np.ndarray) -> str:
+        if self.by_chunk:
+            return " ".join(map(self.tokens.__getitem__, ids.tolist()))
         return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
 
-    def folded(self, chunk: str) -> str:
-        """A chunk as the vocabulary's own normaliser leaves it, where that is plain: one key for many spellings."""
-        low = chunk.lower()
-        if not chunk.isascii() or any(t.lower() in low for t in self.added):  # else a lower spelling may become a token of its own
-            return chunk
-        return low.strip(WHITE) if self.lowers else chunk.strip(WHITE)
-
-    def known(self, chunks: list[str]) -> list[tuple[bytes, str]]:
-        """(ids, decoded text) of each chunk. White space separates, so new chunks are encoded many to a text."""
+    def keyed(self, words: Words) -> tuple[list[str], np.ndarray]:
+        """The distinct chunks of the words, and the code of every word. A chunk is as the vocabulary's own normaliser leaves
+        it where that is plain, one key for many spellings; one that holds an added token, in any case, stays as it is."""
+        chunks, codes = chunks_of(words)
+        plain = pc.ascii_trim(chunks, characters=WHITE)
+        plain = pc.ascii_lower(plain) if self.lowers else plain
+        for token in self.added:
+            plain = pc.if_else(pc.match_substring(chunks, token, ignore_case=True), chunks, plain)
+        coded = plain.dictionary_encode()
+        return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[codes]
+
+    def known(self, keys: list[str]) -> np.ndarray:
+        """The row of each key. White space separates, so new keys are encoded many to a text."""
         cache = self.cache
-        if len(cache) > MOST_CACHED:  # the older half goes
-            for k in list(itertools.islice(cache, len(cache) // 2)):
-                del cache[k]
-        keys = [self.folded(c) for c in chunks]
-        new = [k for k in dict.fromkeys(keys) if k not in cache]
+        if len(cache) > MOST_CACHED:
+            cache.clear()
+            self.size, self.ids, self.spans = self.size[:0], self.ids[:0], self.spans[:0]
+        new = [k for k in keys if k not in cache]
+        sizes, ids, spans = [self.size], [self.ids], [self.spans]
         for lo in range(0, len(new), CHUNKS_PER_TEXT):
             part = new[lo : lo + CHUNKS_PER_TEXT]
             ends = np.cumsum([len(c) + 1 for c in part])
             e = self.encode("\n".join(part))
-            ids, tokens = np.array(e.ids, "<u4"), e.tokens
-            first = np.fromiter((x for x, _ in e.offsets), np.int64, len(ids))
-            at = np.concatenate([[0], np.searchsorted(first, ends)]).tolist()
-            for c, i, j in zip(part, at, at[1:]):
-                cache[c] = ids[i:j].tobytes(), " ".join(tokens[i:j])
-        return [cache[k] for k in keys]
+            ids.append(np.array(e.ids, "<u4"))
+            own = np.fromiter(itertools.chain.from_iterable(e.offsets), np.int32, 2 * len(ids[-1])).reshape(-1, 2)
+            sizes.append(np.diff(np.searchsorted(own[:, 0], ends), prepend=0))
+            spans.append(own - np.repeat(ends - np.diff(ends, prepend=0), sizes[-1])[:, None].astype(np.int32))
+        cache.update(zip(new, range(len(cache), len(cache) + len(new))))
+        self.size, self.ids, self.spans = np.concatenate(sizes), np.concatenate(ids), np.concatenate(spans)
+        return np.fromiter(map(cache.__getitem__, keys), np.int64, len(keys))
+
+    def laid_out(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in ``self.ids`` of every token of the words, tokens of each word, tokens before each word and in all)."""
+        keys, codes = self.keyed(words)
+        rows = self.known(keys)[codes]
+        start, n = np.cumsum(self.size) - self.size, self.size[rows]
+        total = np.concatenate([[0], np.cumsum(n)])
+        return np.repeat(start[rows] - total[:-1], n) + np.arange(total[-1]), n, total
+
+    def pieces(self, texts: list[str], cuts: list[list[tuple[int, int]]]) -> list[list["Piece"]]:
+        """The leaves ``cuts`` of some texts, from the words' ids where the vocabulary allows that."""
+        if not self.by_words:
+            return [[piece(self, text, lo, hi) for lo, hi in own] for text, own in zip(texts, cuts)]
+        data = np.frombuffer("".join(texts).encode(), np.uint8)
+        heads = np.flatnonzero((data & 0xC0) != 0x80)  # the byte at which each character starts
+        base = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        ends = [b + hi for b, own in zip(base, cuts) for _, hi in own]
+        words = found(data, np.append(heads, len(data))[[0, *ends]])
+        at, n, total = self.laid_out(words)
+        ids, spans = self.ids[at], self.spans[at] + np.repeat(np.searchsorted(heads, words.starts), n)[:, None]
+        tokens, out, leaf = total[words.first], [], 0
+        for b, leaves_ in zip(base, cuts):
+            out.append([])
+            for lo, hi in leaves_:
+                own = slice(tokens[leaf], tokens[leaf + 1])
+                out[-1].append(Piece(lo, hi, ids[own], spans[own] - b))
+                leaf += 1
+        return out
 
     def coded(self, column: pa.Array) -> Iterator[tuple[np.ndarray, str]]:
         """(ids, decoded text) of every text of a column, in order."""
@@ -133,23 +172,11 @@ class Codec:
         for lo, hi in slices(offsets, SLICE_BYTES):
             at = offsets[lo : hi + 1]
             words = found(data[at[0] : at[-1]], at - at[0])
-            chunks, codes = distinct_chunks(words)
-            known = self.known(chunks)
-            size = np.fromiter((len(k[0]) for k in known), np.int64, len(known)) // 4
-            flat = np.frombuffer(b"".join([k[0] for k in known]), "<u4")
-            start = np.cumsum(size) - size
-            n = size[codes]
-            total = np.concatenate([[0], np.cumsum(n)])
-            ids = flat[np.repeat(start[codes] - total[:-1], n) + np.arange(total[-1])]
-            texts = [k[1] for k in known]
-            full = codes[n > 0].tolist() if self.by_chunk else []
-            first = np.concatenate([[0], np.cumsum(n > 0)])
+            at, _, total = self.laid_out(words)
+            ids = self.ids[at]
             for a, b in zip(words.first[:-1], words.first[1:]):
                 own = ids[total[a] : total[b]]
-                if self.by_chunk:
-                    yield own, " ".join([texts[c] for c in full[first[a] : first[b]]])
-                else:
-                    yield own, self.decode(own)
+                yield own, self.decode(own)
 
 
 @functools.cache
@@ -244,10 +271,19 @@ def merged(codec: Codec, text: str, pieces: list[Piece]) -> Piece:
     return pieces[0]
 
 
-def by_tree(codec: Codec, text: str, leaf_chars: int) -> tuple[np.ndarray, str]:
-    """(ids, decoded text) of one text, from its leaves to the root."""
-    ids = merged(codec, text, [piece(codec, text, lo, hi) for lo, hi in leaves(text, leaf_chars)]).ids.astype("<u4")
-    return ids, codec.decode(ids)
+def by_tree(codec: Codec, texts: list[str], leaf_chars: int) -> Iterator[tuple[np.ndarray, str]]:
+    """(ids, decoded text) of each text, from its leaves to the root; a few texts at a time."""
+    lo = 0
+    while lo < len(texts):
+        hi, size = lo, 0
+        while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= SLICE_BYTES):
+            size += len(texts[hi])
+            hi += 1
+        some = texts[lo:hi]
+        for text, own in zip(some, codec.pieces(some, [leaves(t, leaf_chars) for t in some])):
+            ids = merged(codec, text, own).ids.astype("<u4")
+            yield ids, codec.decode(ids)
+        lo = hi
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -284,8 +320,8 @@ def _in_task(path: str, leaf_chars: int):
                 part = batch.slice(lo, size)
                 texts = part.column("text")
                 long = pc.greater(pc.utf8_length(texts), leaf_chars)
-                short = iter(codec.coded(texts.filter(pc.invert(long))))
-                out = [by_tree(codec, texts[i].as_py(), leaf_chars) if is_long else next(short) for i, is_long in enumerate(long.to_pylist())]
+                short, tree = codec.coded(texts.filter(pc.invert(long))), by_tree(codec, texts.filter(long).to_pylist(), leaf_chars)
+                out = [next(tree if is_long else short) for is_long in long.to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([i.tobytes() for i, _ in out], pa.binary()),
                      pa.array([t for _, t in out], pa.string())], ["doc_id", "ids", "decoded"])

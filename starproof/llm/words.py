@@ -133,12 +133,18 @@ def in_slices(column: pa.Array) -> Iterator[tuple[int, int, Words]]:
 
 
 def distinct_chunks(words: Words) -> tuple[list[str], np.ndarray]:
+    """``chunks_of`` with the distinct chunks as strings."""
+    chunks, codes = chunks_of(words)
+    return chunks.to_pylist(), codes
+
+
+def chunks_of(words: Words) -> tuple[pa.Array, np.ndarray]:
     """Each word with the white space that follows it: the distinct ones, and the code of every word.
 
     The chunks of a text, laid end to end, are the text without its leading white space.
     """
     if not len(words.starts):
-        return [], np.zeros(0, np.int64)
+        return pa.array([], pa.large_string()), np.zeros(0, np.int64)
     # A chunk ends where the next word starts, or where its text ends.
     edges = np.concatenate([words.starts, [len(words.data)]])
     lead = words.offsets[1:][words.counts > 0]  # ends of texts that have words
@@ -157,7 +163,7 @@ def distinct_chunks(words: Words) -> tuple[list[str], np.ndarray]:
     )
     coded = chunks.dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    return coded.dictionary.to_pylist(), codes[pick]
+    return coded.dictionary, codes[pick]
 
 
 def long_array(values: np.ndarray) -> pa.Array:

@@ -29,6 +29,9 @@ def test_tree_equals_the_library():
         assert "".join(text[a:b] for a, b in cuts) == text
         got = bpe.merged(codec, text, [bpe.piece(codec, text, a, b) for a, b in cuts]).ids.tolist()
         assert got == codec.encode(text).ids
+        by_words = bpe.merged(codec, text, codec.pieces([text], [cuts])[0]).ids
+        assert by_words.tolist() == got
+        assert codec.decode(by_words) == codec.tokenizer.decode(got, skip_special_tokens=False)
 
 
 def test_packed_pieces_come_back():
