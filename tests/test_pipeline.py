@@ -433,6 +433,12 @@ def test_workbook_grid(spark, tmp_path):
     assert got == {("A", 1): ["x", None, "3"], ("A", 3): ["é"], ("B", 1): ["1.5"]}
 
 
+def test_a_workbook_without_any_row_is_an_error(spark, tmp_path):
+    workbooks.write(str(tmp_path / "export_ventes_2024.xlsx"), {"A": [], "B": [rawfolder.HEADERS]})
+    with pytest.raises(Exception, match="not even a header"):
+        readers.scan(spark, str(tmp_path), specs.SALES).collect()
+
+
 def test_shared_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
