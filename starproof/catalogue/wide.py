@@ -45,10 +45,10 @@ def budget_wide_subtotals(spark, sf_dir):
     return reshape.budget_to_wide(_budget(spark, sf_dir), "budget_revenue")
 
 
-def _grid(spark, sf_dir):
+def _grid(spark, sf_dir, budget=None):
     """Both metrics as landed sheets: title, empty row, header, then region blocks
     whose region is written on the first row only, each closed by a subtotal."""
-    budget = materialise(_budget(spark, sf_dir), "budget")
+    budget = materialise(_budget(spark, sf_dir) if budget is None else budget, "budget")
     sheets = []
     for sheet, metric in specs.BUDGET_LAYOUT.sheet_metrics:
         wide = reshape.budget_to_wide(budget, metric).withColumn("sheet", F.lit(sheet))
@@ -294,7 +294,7 @@ def source_status(spark, sf_dir):
 # --- from files on storage to the check table -------------------------------------
 
 
-def _landing(spark, sf_dir) -> str:
+def _landing(spark, sf_dir, budget=None) -> str:
     """A raw folder of all five sources and the manifest, in the formats that exports land in."""
     from starproof.catalogue.quality import _expected
     from starproof.plans.truth import business_truth
@@ -310,7 +310,7 @@ def _landing(spark, sf_dir) -> str:
     x.raw_salespeople(spark, sf_dir).write.csv(f"{folder}/commerciaux.csv", **csv)
     names = table(spark, sf_dir, "region").orderBy("r_regionkey").limit(len(specs.REGIONS)).collect()
     french = F.create_map(*[F.lit(v) for r, v in zip(names, specs.REGIONS.values()) for v in (r.r_name, v)])
-    sheets = _grid(spark, sf_dir).withColumn("cells", F.transform("cells", lambda c: F.coalesce(F.try_element_at(french, c), c)))
+    sheets = _grid(spark, sf_dir, budget).withColumn("cells", F.transform("cells", lambda c: F.coalesce(F.try_element_at(french, c), c)))
     sheets.withColumn("budget_", parsing.year_in_file_name(F.col("file"))).drop("file").write.partitionBy("budget_").parquet(f"{folder}/years")
     for part in files.list_files(spark, f"{folder}/years", "budget_*"):
         files.rename(spark, part, f"{folder}/{part.rsplit('/', 1)[-1]}")
@@ -364,9 +364,19 @@ _SALES_TOTALS = f"""sold AS (SELECT strftime(order_date, '%Y-%m') AS month, quan
   FROM sales WHERE status = 'Livrée' AND order_date IS NOT NULL)"""
 
 
+def _complete_budget(spark, sf_dir):
+    """A plan for every month, region and category, whatever was sold."""
+    years = table(spark, sf_dir, "orders").agg(F.min(F.year("o_orderdate")).alias("a"), F.max(F.year("o_orderdate")).alias("z")).first()
+    listed = lambda name, column: F.array(*[F.lit(r[0]) for r in table(spark, sf_dir, name).select(column).distinct().collect()])
+    months = spark.range(12 * years.a, 12 * (years.z + 1)).select(F.format_string("%d-%02d", F.floor(F.col("id") / 12), F.col("id") % 12 + 1).alias("period"))
+    cells = months.withColumn("region_name", F.explode(listed("region", "r_name"))).withColumn("category", F.explode(listed("part", "p_type")))
+    amount = lambda n: F.lit(n).cast("decimal(18,4)")
+    return cells.withColumn("budget_revenue", amount(5000)).withColumn("budget_margin", amount(1500))
+
+
 def _proved_landing(spark, sf_dir) -> str:
-    """A landing that passes every check: all customers in known segments, all salespeople known and named once."""
-    folder = _landing(spark, sf_dir)
+    """A landing that passes every check: a complete budget, all customers in known segments, all salespeople known and named once."""
+    folder = _landing(spark, sf_dir, _complete_budget(spark, sf_dir))
     options = {"sep": ";", "header": True, "mode": "overwrite"}
     segment = F.element_at(F.array(*[F.lit(v) for v in specs.SEGMENTS]), (F.col("code_client").cast("bigint") % len(specs.SEGMENTS) + 1).cast("int"))
     x.raw_customers(spark, sf_dir).withColumn("segment", segment).write.csv(f"{folder}/export_clients_crm.csv", encoding="ISO-8859-1", **options)
