@@ -141,3 +141,9 @@ NARRATIVE = "revenue double, revenue_yoy_pct double, margin_rate_pct double, mar
 def test_narrative(spark, row, present, absent):
     got = spark.createDataFrame([row], NARRATIVE).select(text.narrative()).first()[0]
     assert all(p in got for p in present) and not any(a in got for a in absent)
+
+
+@pytest.mark.parametrize("value, want", [(-0.0, "0,00 €"), (-0.001, "0,00 €"), (-0.01, "-0,01 €"), (-100.0, "-100,00 €"), (0.0, "0,00 €")])
+def test_zero_money_has_no_sign(spark, value, want):
+    assert one(spark, value, text.money, "double") == want
+    assert one(spark, value, text.raw_amount, "double") == want.removesuffix(" €")
