@@ -124,3 +124,45 @@ def test_fingerprinted_bytes_grow_with_the_data(spark, monkeypatch):
     for sf in ("sf0.001", "sf0.01"):
         QUERIES["landing_fingerprints"](spark, f"/root/testdata/{sf}")
     assert sizes[1] > 5 * sizes[0]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Every table too large to broadcast, as at scale."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def _initial_exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_first_of_keys_reads_and_shuffles_once(spark):
+    df = QUERIES["dedup_natural_key"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and _initial_exchanges(df) == 1
+
+
+def test_lines_are_first_of_their_keys_where_they_met_their_orders(spark, no_broadcast):
+    """One shuffle of the lines, one of the orders; neither copies nor headers need another."""
+    assert _initial_exchanges(QUERIES["order_header_distinct"](spark, SF)) == 2
+
+
+def test_a_year_of_exports_is_written_by_many_tasks(spark, no_broadcast):
+    from starproof.catalogue import wide
+    from starproof.sources import files
+
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        folder = wide._yearly_exports(spark, SF)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    entries = files.list_files(spark, folder, "export_ventes_*")
+    assert len(entries) == 7 and all(len(files.list_files(spark, e, "part-*")) > 1 for e in entries)
+    rows = spark.read.parquet(*entries).selectExpr("`N° Commande` as o", "_metadata.file_path as f")
+    assert rows.groupBy("o").agg({"f": "min"}).count() == rows.distinct().count()  # an order lies in one part
