@@ -511,3 +511,23 @@ def test_wide_and_long_are_inverse(spark):
     budget = spark.createDataFrame([("2024-02", "Sud", "Mobilier", 5.4), ("2024-02", "Sud", "Autre", 1.0)], "period string, region_name string, category string, budget_revenue double")
     wide = {r.category: r for r in reshape.budget_to_wide(budget, "budget_revenue").collect()}
     assert wide["Sous-total"]["Févr"] == 6.0 and wide["Mobilier"]["Févr"] == 5.0 and wide["Mobilier"]["Janv"] == 0.0
+
+
+def test_a_missing_manifest_is_refused_before_anything_is_ingested(spark, tmp_path, monkeypatch):
+    folder = rawfolder.write(tmp_path / "raw")
+    os.remove(os.path.join(folder, specs.MANIFEST_NAME))
+
+    def ingested(*_):
+        raise AssertionError("ingested without a manifest")
+
+    monkeypatch.setattr(publish.ingest, "run_ingestion", ingested)
+    assert publish.attempt(spark, folder, str(tmp_path / "out")) == 2
+
+
+def test_lost_revenue_by_condition_on_lines_with_status(spark):
+    star = stars.shop(spark)
+    condition = F.col("line_id") == star["fact_line"].first().line_id
+    keys = star["fact_line"].filter(condition)
+    with_status = star["fact_line"].join(star["fact_order"].select("order_id", "status"), "order_id")
+    assert first(truth.revenue_lost(with_status, star["fact_order"], condition)) == first(truth.revenue_lost(star["fact_line"], star["fact_order"], keys))
+    assert first(truth.business_truth(star["fact_order"], with_status, star["dim_product"])) == first(truth.business_truth(star["fact_order"], star["fact_line"], star["dim_product"]))
