@@ -301,9 +301,8 @@ def _landing(spark, sf_dir, budget=None) -> str:
 
     folder = _scratch(spark, "raw")
     csv = {"sep": ";", "header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    sales = x.raw_sales(spark, sf_dir)
     # Copies of a line lie in one file, in the order in which the first one is the true one.
-    ordered = sales.repartition("N° Commande").sortWithinPartitions("N° Commande", "N° Ligne", *x.ROW_ORDER)
+    ordered = x.raw_sales(spark, sf_dir, together=True).sortWithinPartitions("N° Commande", "N° Ligne", *x.ROW_ORDER)
     ordered.drop(*x.ROW_ORDER).write.csv(f"{folder}/export_ventes_all.csv", **csv)
     x.raw_customers(spark, sf_dir).write.csv(f"{folder}/export_clients_crm.csv", encoding="ISO-8859-1", **csv)
     x.raw_products(spark, sf_dir).write.parquet(f"{folder}/catalogue_produits.parquet")
@@ -488,9 +487,10 @@ def star_by_name(spark, sf_dir):
 
 
 def _write_exports(spark, rows, folder: str) -> None:
-    """One export per year of orders, copies of a line in the order in which the first is the true one; replaces what is there."""
+    """One export per year of orders, copies of a line in one part and in the order in which the first is the true one; replaces
+    what is there. ``rows`` hold all lines of an order in one task; a year has as many parts as tasks, not one task."""
     rows = rows.withColumn("year", F.substring(F.col("Date Commande"), 7, 4))
-    rows = rows.repartition("year").sortWithinPartitions("year", "N° Commande", "N° Ligne", *x.ROW_ORDER)
+    rows = rows.sortWithinPartitions("year", "N° Commande", "N° Ligne", *x.ROW_ORDER)
     written = _scratch(spark, "years")
     rows.drop(*x.ROW_ORDER).write.partitionBy("year").parquet(written)
     for part in files.list_files(spark, written, "year=*"):
@@ -501,13 +501,13 @@ def _write_exports(spark, rows, folder: str) -> None:
 
 def _yearly_exports(spark, sf_dir) -> str:
     folder = _scratch(spark, "exports")
-    _write_exports(spark, x.raw_sales(spark, sf_dir), folder)
+    _write_exports(spark, x.raw_sales(spark, sf_dir, together=True), folder)
     return folder
 
 
 def _corrected(spark, sf_dir, folder: str) -> None:
     """The export of one year lands again, every quantity one higher."""
-    again = x.raw_sales(spark, sf_dir).filter(F.substring(F.col("Date Commande"), 7, 4) == str(_CORRECTED))
+    again = x.raw_sales(spark, sf_dir, together=True).filter(F.substring(F.col("Date Commande"), 7, 4) == str(_CORRECTED))
     _write_exports(spark, again.withColumn("Quantité ", (F.col("`Quantité `").cast("bigint") + 1).cast("string")), folder)
 
 

@@ -97,7 +97,7 @@ def _merged(spark: SparkSession, state: str, rows: list[tuple]) -> DataFrame:
     for frame in frames[1:]:
         union = union.unionByName(frame, allowMissingColumns=True)
     order = ["_file", *_POSITION]
-    first = cleaning.keep_first(union.drop(ENTRY), list(cleaning.SALES_KEY), order, copies="_all", weight="_copies")
+    first = cleaning.keep_first(union.drop(ENTRY), list(cleaning.SALES_KEY), order, copies="_all", weight="_copies", rare=True)  # a line lands in one export
     return cleaning.typed_sales(first.withColumnRenamed("_all", "_copies"))
 
 

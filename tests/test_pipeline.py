@@ -531,3 +531,15 @@ def test_lost_revenue_by_condition_on_lines_with_status(spark):
     with_status = star["fact_line"].join(star["fact_order"].select("order_id", "status"), "order_id")
     assert first(truth.revenue_lost(with_status, star["fact_order"], condition)) == first(truth.revenue_lost(star["fact_line"], star["fact_order"], keys))
     assert first(truth.business_truth(star["fact_order"], with_status, star["dim_product"])) == first(truth.business_truth(star["fact_order"], star["fact_line"], star["dim_product"]))
+
+
+@pytest.mark.parametrize("most", [0, 10])
+def test_first_of_rarely_repeated_keys(spark, monkeypatch, most):
+    """With weights: the same rows whether repeated keys are few enough to be broadcast or not."""
+    from starproof.operators import cleaning
+
+    monkeypatch.setattr(cleaning, "MOST_BROADCAST_KEYS", most)
+    rows = spark.createDataFrame([("hot", i, i + 1) for i in range(50)] + [(f"k{i}", i, 2) for i in range(20)] + [(None, 2, 3), (None, 1, 4)], "k string, o int, w bigint")
+    got = cleaning.keep_first(rows, ["k"], ["o"], "n", "w", rare=True)
+    assert got.columns == ["k", "o", "n"]
+    assert {(r.k, r.o, r.n) for r in got.collect()} == {("hot", 0, 1275), (None, 1, 7)} | {(f"k{i}", i, 2) for i in range(20)}
