@@ -543,3 +543,42 @@ def test_first_of_rarely_repeated_keys(spark, monkeypatch, most):
     got = cleaning.keep_first(rows, ["k"], ["o"], "n", "w", rare=True)
     assert got.columns == ["k", "o", "n"]
     assert {(r.k, r.o, r.n) for r in got.collect()} == {("hot", 0, 1275), (None, 1, 7)} | {(f"k{i}", i, 2) for i in range(20)}
+
+
+def test_an_export_without_a_column_is_refused_before_its_lines_are_read(spark, tmp_path, monkeypatch):
+    """Whatever its encoding; a header that has all columns in one encoding only is not refused."""
+    good = [";".join(rawfolder.HEADERS), "05/01/2024;O1;1;C1;P1;2;7,00;0.0;S1;Livrée"]
+    (tmp_path / "export_ventes_1.csv").write_text("\n".join(good), encoding="cp1252")
+    assert readers.scan(spark, str(tmp_path), specs.SALES).first().status == "Livrée"
+    (tmp_path / "export_ventes_2.csv").write_text("\n".join(x.rsplit(";", 1)[0] for x in good), encoding="cp1252")
+
+    def looked_into(*_):
+        raise AssertionError("lines were read")
+
+    monkeypatch.setattr(readers, "csv_groups", looked_into)
+    with pytest.raises(ValueError, match="missing required columns .'status'."):
+        readers.scan(spark, str(tmp_path), specs.SALES)
+
+
+@pytest.mark.parametrize("declared, wanted", [
+    (None, ["utf-8-sig", "utf-8-sig", "cp1252", "latin-1"]), ("cp1252", ["cp1252", "cp1252", "cp1252", "latin-1"]),
+])
+def test_groups_of_csv_files(spark, tmp_path, declared, wanted):
+    """Ends of lines, a byte order mark, names with blanks and an empty file; headers come without a sort of the lines."""
+    bodies = [b"a;b\r\n1;2\r\n", b"\xef\xbb\xbfa;b\n1;x\n", b"a;b\n1;\xe9\n", b"a;b\n1;\x81\xe9\n\"x\n\";1\n", b""]
+    paths = []
+    for i, body in enumerate(bodies):
+        (tmp_path / f"f {i}+%.csv").write_bytes(body)
+        paths.append(str(tmp_path / f"f {i}+%.csv"))
+    groups = readers.csv_groups(spark, paths, declared)
+    assert {g.header for g in groups} == {b"a;b"}
+    got = {p.rsplit("/", 1)[-1]: (g.encoding, g.multiline) for g in groups for p in g.paths}
+    assert got == {f"f {i}+%.csv": (e, i == 3) for i, e in enumerate(wanted)}
+
+
+def test_only_delivered_lines_look_up_their_product(spark):
+    from starproof.operators import facts
+
+    plan = facts.delivered_lines(stars.shop(spark), ["month", "category"])._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert "LeftOuter" in joins[0] and "Inner" in joins[1]  # the outer join is the later one
